@@ -1,20 +1,20 @@
 """Processing lag, and handing over between the primary and the fallback.
 
-The monitor is a small state machine per pipeline. Its state at a check follows from three
-running quantities: breaches since the last reset, the last time they reached the limit, and
-the last check that allows the primary to resume. Each is a running sum or maximum, so the
-machine needs no row-by-row fold and no task ever holds a whole pipeline.
+The monitor is a small state machine per pipeline, and a pipeline's checks may be most of the
+table. So the checks are shuffled once into (pipeline, block) groups. Inside a block, running
+sums and maxima tell everything about the machine but what it was when the block began; one
+summary row per block carries that forward.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from vitalflow import schemas as S
 from vitalflow.operators.filters import Moment, epoch_ms, recent_range
 from vitalflow.operators.ordered import block_of, running_before
-from vitalflow.operators.windows import violation_runs
 
 BLOCK = 1 << 16
 
@@ -36,6 +36,78 @@ def lag_by_source(
     )
 
 
+def _in_blocks(
+    checks: DataFrame, key: str, order: str, limit_s: float, resume_share: float, width: int
+) -> tuple[DataFrame, WindowSpec]:
+    """Checks with what can be told inside their block, and the window that told it.
+
+    `_run` counts the breaches since the last reset in the block, or since the block began.
+    """
+    lag = F.col("latency_s")
+    healthy = F.coalesce(F.col("healthy"), F.lit(False))
+    late = F.coalesce(lag > limit_s, F.lit(False))
+    resumes = F.coalesce((lag != 0) & (lag < limit_s * resume_share), F.lit(False))
+    flagged = checks.withColumns(
+        {
+            "breach": ~healthy | late,
+            "reset": healthy & ~late & lag.isNotNull(),
+            "_stop": healthy & resumes,
+            "_block": block_of(order, width),
+        }
+    )
+    so_far = (
+        Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    counted = flagged.withColumns(
+        {
+            "_breaches": F.sum(F.col("breach").cast("bigint")).over(so_far),
+            "_resets": F.sum(F.col("reset").cast("bigint")).over(so_far),
+        }
+    )
+    at_reset = F.max(F.when(F.col("reset"), F.col("_breaches"))).over(so_far)
+    run = F.col("_breaches") - F.coalesce(at_reset, F.lit(0))
+    return counted.withColumn("_run", run), so_far
+
+
+def violation_runs(
+    checks: DataFrame,
+    key: str = "pipeline",
+    order: str = "seq",
+    limit_s: float = S.LAG_LIMIT_S,
+    block_width: int = BLOCK,
+) -> DataFrame:
+    """Add `run`, the breaches since the last good check, and `run_id`, the stretch it belongs to.
+
+    An unhealthy check or a lag over the limit is a breach. A healthy check without a lag
+    neither adds nor resets.
+    """
+    rows, _ = _in_blocks(checks, key, order, limit_s, S.RESUME_SHARE, block_width)
+    totals = rows.groupBy(key, "_block").agg(
+        F.max("_resets").alias("_resets"), F.max_by("_run", order).alias("_tail")
+    )
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = totals.withColumn("_stretch", F.coalesce(F.sum("_resets").over(earlier), F.lit(0)))
+    carried = _with_open_run(numbered, key)
+    return rows.join(carried.select(key, "_block", "_stretch", "_open"), [key, "_block"]).select(
+        *checks.columns,
+        "breach",
+        "reset",
+        (F.col("_stretch") + F.col("_resets")).alias("run_id"),
+        (F.col("_run") + F.when(F.col("_resets") == 0, F.col("_open")).otherwise(0)).alias("run"),
+    )
+
+
+def _with_open_run(totals: DataFrame, key: str) -> DataFrame:
+    """Add `_open` to block summaries: the breaches that are still counted when a block begins."""
+    so_far = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
+    summed = totals.withColumn("_all", F.sum("_tail").over(so_far))
+    # a block with a reset starts the count anew with its own tail
+    base = F.max(F.when(F.col("_resets") > 0, F.col("_all") - F.col("_tail"))).over(so_far)
+    counted = summed.withColumn("_after", F.col("_all") - F.coalesce(base, F.lit(0)))
+    previous = F.lag("_after").over(Window.partitionBy(key).orderBy("_block"))
+    return counted.withColumn("_open", F.coalesce(previous, F.lit(0)))
+
+
 def fallback_state(
     checks: DataFrame,
     key: str = "pipeline",
@@ -51,31 +123,57 @@ def fallback_state(
     non-zero lag under `limit_s * resume_share` ends it and clears the count; breaches during
     the fallback count for nothing.
     """
-    runs = violation_runs(checks, key, order, limit_s, block_width)
-    lag = F.col("latency_s")
-    resumes = F.col("healthy") & (lag != 0) & (lag < limit_s * resume_share)
-    marked = runs.withColumn("_stop", F.coalesce(resumes, F.lit(False))).withColumn(
-        "_start", F.col("run") >= violations
+    base, so_far = _in_blocks(checks, key, order, limit_s, resume_share, block_width)
+    place = F.col(order)
+    rows = base.withColumns(
+        {
+            "_last_stop": F.max(F.when(F.col("_stop"), place)).over(so_far),
+            "_last_start": F.max(F.when(F.col("_run") >= violations, place)).over(so_far),
+            # breaches before the block's first reset, to which those of earlier blocks add up
+            "_opening": F.max(F.when(F.col("_resets") == 0, F.col("_run"))).over(so_far),
+        }
     )
-    before = running_before(
-        marked,
-        [key],
-        [order],
-        block_of(order, block_width),
-        _last_start=("max", F.when(F.col("_start"), F.col(order))),
-        _last_stop=("max", F.when(F.col("_stop"), F.col(order))),
-    )
-    was = F.coalesce(
-        F.col("_last_start").isNotNull()
-        & (F.col("_last_stop").isNull() | (F.col("_last_start") > F.col("_last_stop"))),
-        F.lit(False),
-    )
-    state = before.withColumn("was_fallback", was).withColumn(
-        "in_fallback", (F.col("was_fallback") | F.col("_start")) & ~F.col("_stop")
-    )
-    count = F.when(F.col("in_fallback"), F.lit(0)).otherwise(F.col("run")).cast("bigint")
-    return state.withColumn("violation_count", count).select(
-        *checks.columns, "was_fallback", "in_fallback", "violation_count"
+    fired = F.col("_last_start").isNotNull() & (
+        F.col("_last_stop").isNull() | (F.col("_last_start") > F.col("_last_stop"))
+    )
+    rows = rows.withColumn("_fired", fired).withColumn("_stopped", F.col("_last_stop").isNotNull())
+    step = Window.partitionBy(key, "_block").orderBy(order)
+    rows = rows.withColumns(
+        {f"_was{c}": F.lag(c).over(step) for c in ("_fired", "_stopped", "_opening")}
+    )
+
+    totals = rows.groupBy(key, "_block").agg(
+        F.max("_resets").alias("_resets"),
+        F.max_by("_run", order).alias("_tail"),
+        F.max("_opening").alias("_opening"),
+        F.max_by("_fired", order).alias("_fired"),
+        F.max_by("_stopped", order).alias("_stopped"),
+    )
+    opened = _with_open_run(totals, key)
+    # what a block makes of the mode: sets it, clears it, or (null) leaves it as it was
+    sets = F.col("_fired") | (
+        ~F.col("_stopped") & (F.coalesce("_opening", F.lit(0)) + F.col("_open") >= violations)
+    )
+    effect = F.when(sets, True).when(F.col("_stopped"), False)
+    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    mode = F.coalesce(F.last(effect, ignorenulls=True).over(earlier), F.lit(False))
+    carried = opened.select(key, "_block", "_open", mode.alias("_mode"))
+
+    def mode_after(fired: Column, stopped: Column, opening: Column) -> Column:
+        reached = F.coalesce(opening, F.lit(0)) + F.col("_open") >= violations
+        return fired | (~stopped & (F.col("_mode") | reached))
+
+    joined = rows.join(carried, [key, "_block"])
+    after = mode_after(F.col("_fired"), F.col("_stopped"), F.col("_opening"))
+    before = F.when(F.col("_was_fired").isNull(), F.col("_mode")).otherwise(
+        mode_after(F.col("_was_fired"), F.col("_was_stopped"), F.col("_was_opening"))
+    )
+    run = F.col("_run") + F.when(F.col("_resets") == 0, F.col("_open")).otherwise(0)
+    return joined.select(
+        *checks.columns,
+        before.alias("was_fallback"),
+        after.alias("in_fallback"),
+        F.when(after, F.lit(0)).otherwise(run).cast("bigint").alias("violation_count"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
-from vitalflow.operators.ordered import block_of, position, running_before, top_per_key
+from vitalflow.operators.ordered import block_of, position, top_per_key
 
 
 def _newest_first(order: Sequence[str]) -> list[Column]:
@@ -159,48 +159,3 @@ def _test_quota(df: DataFrame, label: str, share: float) -> DataFrame:
     spare = F.col("train") - F.sum("whole").over(everyone)
     extra = F.when(F.row_number().over(by_rest) <= spare, 1).otherwise(0)
     return parts.select(label, (F.col("n") - F.col("whole") - extra).alias("_n_test"))
-
-
-def violation_runs(
-    checks: DataFrame,
-    key: str = "pipeline",
-    order: str = "seq",
-    limit_s: float = S.LAG_LIMIT_S,
-    block_width: int = 1 << 16,
-) -> DataFrame:
-    """Add `run`, the breaches since the last good check, and `run_id`, the stretch it belongs to.
-
-    An unhealthy check or a lag over the limit is a breach. A healthy check without a lag
-    neither adds nor resets.
-    """
-    flagged = with_breach(checks, limit_s)
-    counted = running_before(
-        flagged,
-        [key],
-        [order],
-        block_of(order, block_width),
-        _breaches=("sum", F.col("breach").cast("bigint")),
-        _resets=("sum", F.col("reset").cast("bigint")),
-    )
-    total = F.col("_breaches") + F.col("breach").cast("bigint")
-    counted = counted.withColumn("_total", total).withColumn(
-        "run_id", F.col("_resets") + F.col("reset").cast("bigint")
-    )
-    based = running_before(
-        counted,
-        [key],
-        [order],
-        block_of(order, block_width),
-        _base=("max", F.when(F.col("reset"), F.col("_total"))),
-    )
-    base = F.when(F.col("reset"), F.col("_total")).otherwise(F.coalesce("_base", F.lit(0)))
-    return based.withColumn("run", F.col("_total") - base).select(*flagged.columns, "run_id", "run")
-
-
-def with_breach(checks: DataFrame, limit_s: float = S.LAG_LIMIT_S) -> DataFrame:
-    """Add `breach` (unhealthy or over the limit) and `reset` (healthy and within it)."""
-    healthy = F.coalesce(F.col("healthy"), F.lit(False))
-    late = F.col("latency_s") > limit_s
-    return checks.withColumn("breach", ~healthy | F.coalesce(late, F.lit(False))).withColumn(
-        "reset", healthy & F.coalesce(~late, F.lit(False))
-    )

@@ -86,9 +86,7 @@ def run_to_table(df: DataFrame, name: str) -> DataFrame:
 
 @query("read_stream_earliest")
 def read_stream_earliest(spark: SparkSession, sf: str) -> DataFrame:
-    data.use_utc(spark)
-    stream = streams.read_stream_earliest(spark, f"{sf}/events.parquet", data.EVENTS)
-    rows = run_to_table(data.to_sensors(stream), "earliest")
+    rows = run_to_table(data.to_sensors(data.events_stream(spark, sf)), "earliest")
     return rows.select("seq", "id", "us", *r4s(S.SENSORS))
 
 
@@ -645,7 +643,7 @@ def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("violation_runs")
 def violation_runs(spark: SparkSession, sf: str) -> DataFrame:
-    runs = windows.violation_runs(data.checks(spark, sf))
+    runs = control.violation_runs(data.checks(spark, sf))
     return runs.select("pipeline", "seq", "breach", "reset", "run_id", "run")
 
 

@@ -21,6 +21,7 @@ from vitalflow.sources.points import (
     read_points,
     write_points,
 )
+from vitalflow.sources.streams import read_stream_earliest
 
 EVENTS = T.StructType(
     [
@@ -70,8 +71,9 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as a stream; the glob lets `events.parquet` be a file or a folder."""
     use_utc(spark)
-    return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+    return read_stream_earliest(spark, f"{sf_dir}/events[.]parquet", EVENTS)
 
 
 def to_sensors(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ LABEL = "case {0} when 0 then 'No stress' when 1 then 'Moderate stress' when 2 t
 
 
 def r4(expr: str, name: str) -> str:
-    return f"floor(({expr})*10000 + 0.500001)/10000 as {name}"
+    return f"floor(cast({expr} as double)*10000 + 0.500001)/10000 as {name}"
 
 
 def r4s(names, prefix: str = "") -> str:
@@ -108,7 +108,7 @@ def sql(body: str, extra: str = "") -> str:
     while todo:
         text = todo.pop()
         for name, definition in TABLES.items():
-            if name not in needed and re.search(rf"\b(from|join)\s+{name}\b", text):
+            if name not in needed and re.search(rf"(\bfrom|\bjoin|,)\s+{name}\b", text):
                 needed.add(name)
                 todo.append(definition)
     parts = [f"{n} as ({d})" for n, d in TABLES.items() if n in needed]
@@ -135,7 +135,7 @@ def _grid(value: str, series: str, range_ms: int, step: int, fill: str = "", whe
 
 def _rounded(query: str) -> str:
     """Round the `value` column of a bucket query."""
-    return f"select * replace (floor(value*10000 + 0.500001)/10000 as value) from ({query})"
+    return f"select * replace (floor(cast(value as double)*10000 + 0.500001)/10000 as value) from ({query})"
 
 
 def _last(field: str) -> str:

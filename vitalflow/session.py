@@ -21,6 +21,8 @@ def build_session(name: str = "vitalflow", master: str | None = None, **conf: st
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.ui.enabled": "false",
+        # call-site capture costs more than building most of the plans here
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(name)

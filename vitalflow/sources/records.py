@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ MAX_LENGTH_BYTES = 5
 def avro_available(spark: SparkSession) -> bool:
     loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
     try:
-        loader.loadClass("org.apache.spark.sql.avro.AvroFileFormat")
+        loader.loadClass("org.apache.spark.sql.avro.AvroDataToCatalyst")
     except Exception:  # noqa: BLE001 - any failure to load means it is absent
         return False
     return True
@@ -160,7 +161,7 @@ def decode_values(values: pa.Array) -> tuple[list[pa.Array], np.ndarray]:
         ok &= valid
         columns.append(texts)
     bad = pa.array(~ok)
-    return [pa.compute.if_else(bad, pa.scalar(None, c.type), c) for c in columns], ok
+    return [pc.if_else(bad, pa.scalar(None, c.type), c) for c in columns], ok
 
 
 def _texts(
@@ -189,7 +190,7 @@ def _texts(
         size = np.where(valid, size, 0)
         return _texts(body, present & valid, start, size)[0], valid
     mask = pa.array(present).buffers()[1]
-    text = pa.LargeStringArray.from_buffers(
+    text = pa.Array.from_buffers(
         pa.large_string(), len(size), [mask, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)]
     )
     return text.cast(pa.string()), valid
@@ -242,7 +243,7 @@ def encode_values(batch: pa.RecordBatch) -> pa.Array:
             inner = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
             out[np.repeat(spot, size) + inner] = body[np.repeat(bounds[:-1], size) + inner]
         at += width
-    return pa.LargeBinaryArray.from_buffers(
+    return pa.Array.from_buffers(
         pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(out)]
     ).cast(pa.binary())
 

@@ -46,7 +46,7 @@ def count_or_time_trigger(
 def read_stream_earliest(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Files at `path`, from the first one on, as a stream."""
+    """Files at `path` (a folder or a glob), from the first one on, as a stream."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -54,7 +54,7 @@ def _in_blocks(
             "_stop": healthy & resumes,
             "_block": block_of(order, width),
         }
-    )
+    ).filter(F.col(key).isNotNull() & F.col("_block").isNotNull())
     so_far = (
         Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
@@ -69,19 +69,30 @@ def fill_buckets(
     as_of: Moment = None,
     fill: int | float | None = None,
 ) -> DataFrame:
-    """Emit every bucket of the range for each series that has one."""
+    """Emit every bucket of the range for each series that has one.
+
+    Each row also emits the empty buckets up to the next row of its series, and the first row
+    those before it. That needs the aggregated rows once and no join; a series has at most
+    `MAX_BUCKETS` of them.
+    """
     if range_ms // step_ms + 1 > MAX_BUCKETS:
         raise ValueError(f"more than {MAX_BUCKETS} buckets per series; use a wider interval")
-    end = epoch_ms(as_of)
+    end, step = epoch_ms(as_of), F.lit(step_ms).cast("bigint")
     first = bucket_start(end - F.lit(range_ms).cast("bigint"), step_ms)
     last = bucket_start(end, step_ms)
-    grid = found.select(*series).distinct().select(
-        *series, F.explode(F.sequence(first, last, F.lit(step_ms).cast("bigint"))).alias("bucket_ms")
+    along = Window.partitionBy(*series).orderBy("bucket_ms")
+    placed = found.withColumns(
+        {
+            "_from": F.when(F.row_number().over(along) == 1, first).otherwise(F.col("bucket_ms")),
+            "_until": F.coalesce(F.lead("bucket_ms").over(along) - step, last),
+        }
     )
-    filled = grid.join(found, [*series, "bucket_ms"], "left")
-    if fill is None:
-        return filled
-    return filled.withColumn("value", F.coalesce("value", F.lit(fill).cast(found.schema["value"].dataType)))
+    spread = placed.withColumn("_at", F.explode(F.sequence("_from", "_until", step)))
+    empty = F.lit(fill).cast(found.schema["value"].dataType)
+    value = F.when(F.col("_at") == F.col("bucket_ms"), F.col("value")).otherwise(empty)
+    if fill is not None:
+        value = F.coalesce(value, empty)
+    return spread.select(*series, F.col("_at").alias("bucket_ms"), value.alias("value"))
 
 
 def last_by_bucket(

@@ -129,20 +129,22 @@ def stratified_split(
     left over by rounding go to the training parts with the largest remainders. Rows are ranked
     inside hash blocks, as a class may hold most of the data.
     """
-    quotas = _test_quota(df, label, test_share)
     width = (1 << 32) // blocks
     known = df.filter(F.col(label).isin(*S.CLASSES))
     hashed = known.withColumn("_hash", fn.stable_hash(key, seed))
     ranked = position(hashed, [label], ["_hash", key], block_of("_hash", width), "_pos")
+    # counted per block first, as `position` does, so that Spark can share the exchange
+    in_blocks = hashed.withColumn("_block", block_of("_hash", width)).groupBy(label, "_block")
+    counts = in_blocks.agg(F.sum(F.lit(1).cast("bigint")).alias("n")).groupBy(label)
+    quotas = _test_quota(counts.agg(F.sum("n").alias("n")), label, test_share)
     return ranked.join(F.broadcast(quotas), label).select(
         *df.columns, (F.col("_pos") < F.col("_n_test")).alias("is_test")
     )
 
 
-def _test_quota(df: DataFrame, label: str, share: float) -> DataFrame:
-    """Test rows per class; `CLASSES` bounds the result to a handful of rows."""
-    counts = df.filter(F.col(label).isin(*S.CLASSES)).groupBy(label)
-    collected = counts.agg(F.count(F.lit(1)).alias("n")).agg(
+def _test_quota(counts: DataFrame, label: str, share: float) -> DataFrame:
+    """Test rows per class, from at most one row for each of `CLASSES`."""
+    collected = counts.agg(
         F.collect_list(F.struct(label, "n")).alias("classes"), F.sum("n").alias("total")
     )
     train = F.col("total") - F.ceil(F.col("total") * F.lit(share)).cast("bigint")

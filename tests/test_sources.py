@@ -47,7 +47,7 @@ def frame(spark, rows):
 def test_encoded_bytes_match_the_format(spark):
     rows = records.encode_sensor_values(frame(spark, ROWS), use_avro=False).collect()
     assert [bytes(r.value) for r in rows] == [datum(r) for r in ROWS]
-    assert [r.key and bytes(r.key).decode() for r in rows] == [r[6] for r in ROWS]
+    assert [None if r.key is None else bytes(r.key).decode() for r in rows] == [r[6] for r in ROWS]
 
 
 def test_round_trip(spark):

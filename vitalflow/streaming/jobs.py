@@ -142,7 +142,7 @@ def start_fallback_state(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch
+        fresh = batch = batch.withColumn(order, F.col(order).cast("bigint"))
         before = None
         if batch_id > 0:
             before = spark.read.parquet(f"{state_path}/{batch_id - 1}")

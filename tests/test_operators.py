@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.operators import aggregates, control, filters, metrics, timeseries, windows
-from vitalflow.operators.ordered import block_of, position, running_before, top_per_key
+from vitalflow.operators.ordered import blocks, position, running_before, top_per_key
 
 
 def readings(spark, rows):
@@ -47,7 +47,7 @@ def test_running_fold_matches_plain_loop(spark, width):
     rows = [(rng.choice("ab"), i, rng.randint(-5, 5)) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
     got = running_before(
-        df, ["k"], ["n"], block_of("n", width),
+        df, ["k"], ["n"], blocks(df, "n", width),
         total=("sum", F.col("v")), top=("max", F.col("v")), low=("min", F.col("v")),
     ).collect()
     seen = {"a": [], "b": []}
@@ -61,7 +61,7 @@ def test_running_fold_matches_plain_loop(spark, width):
 
 def test_position_without_keys(spark):
     df = spark.range(1000).withColumn("t", F.col("id") * 3).repartition(4)
-    got = position(df, [], ["t"], block_of("t", 64), "pos").filter("pos != id").count()
+    got = position(df, [], ["t"], blocks(df, "t", 64), "pos").filter("pos != id").count()
     assert got == 0
 
 
@@ -112,7 +112,7 @@ def test_fallback_state_matches_rules(spark, width):
         rows += [(key, i, h, lag) for i, (h, lag) in enumerate(checks)]
         want.update({(key, i): s for i, s in enumerate(monitor(checks))})
     df = spark.createDataFrame(rows, "pipeline string, seq int, healthy boolean, latency_s double")
-    got = control.fallback_state(df.repartition(4), block_width=width).collect()
+    got = control.fallback_state(df.repartition(4), block_rows=width).collect()
     assert {
         (r.pipeline, r.seq): (r.was_fallback, r.in_fallback, r.violation_count) for r in got
     } == want
@@ -149,12 +149,12 @@ def test_violation_runs_and_timeline(spark, width):
         elif lag is not None:
             run = 0
         want[i] = run
-    got = control.violation_runs(df, block_width=width).collect()
+    got = control.violation_runs(df, block_rows=width).collect()
     assert {r.seq: r.run for r in got} == want
 
     states = monitor(checks)
     changes = [i for i, (before, after, _) in enumerate(states) if before != after]
-    timeline = control.mode_timeline(control.fallback_state(df), block_width=width)
+    timeline = control.mode_timeline(control.fallback_state(df), block_rows=width)
     lines = sorted(timeline.collect(), key=lambda r: r.seq)
     assert [r.seq for r in lines] == changes
     assert [r.change for r in lines[:2]] == ["TRIGGER", "RESUME"]
@@ -172,7 +172,7 @@ def test_dual_path_keeps_fallback_points_of_fallback_time(spark):
     )
     both = control.dual_path_points(
         points("primary", [1, 15_000]), points("fallback", [9_999, 10_000, 19_999, 20_000]), timeline,
-        block_ms=3_000,
+        block_rows=2,
     )
     assert sorted((r.source, r.time_ms) for r in both.collect()) == [
         ("fallback", 10_000), ("fallback", 19_999), ("primary", 1), ("primary", 15_000),
@@ -205,7 +205,7 @@ def test_fleet_summary_counts_missing_as_agreeing(spark):
 def test_replay_stops_with_the_shorter_file(spark, sizes, want):
     rows = [("A", i) for i in range(sizes[0])] + [("B", i) for i in range(sizes[1])]
     df = spark.createDataFrame(rows, "id string, seq int")
-    out = windows.replay_batches(df, 0, block_width=64)
+    out = windows.replay_batches(df, 0, block_rows=64)
     counts = {r.id: r["count"] for r in out.groupBy("id").count().collect()}
     assert counts == {"A": want[0], "B": want[1]}
     assert out.agg(F.max("clock_us")).first()[0] == (want[0] - 1) * 3_000
@@ -216,13 +216,15 @@ def test_split_is_exact_per_class(spark):
         F.col("id").alias("seq"),
         F.when(F.col("id") < 700, 0).when(F.col("id") < 900, 1).otherwise(2).alias("label"),
     )
-    out = windows.stratified_split(df, blocks=16)
+    out = windows.stratified_split(df)
     assert out.count() == 1003
     got = {r.label: r.n for r in out.filter("is_test").groupBy("label").agg(F.count("*").alias("n")).collect()}
     # 802 training rows: 559.7 -> 560, 159.9 -> 160, 82.3 -> 82
     assert got == {0: 140, 1: 40, 2: 21}
-    again = windows.stratified_split(df.repartition(7), blocks=64)
+    again = windows.stratified_split(df.repartition(7), digit_bits=(3, 2, 4))
     assert out.exceptAll(again).count() == 0
+    assert windows.stratified_split(df, test_share=0.0).filter("is_test").count() == 0
+    assert windows.stratified_split(df, test_share=1.0).filter("is_test").count() == 1003
 
 
 def test_report_with_class_never_predicted(spark):

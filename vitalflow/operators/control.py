@@ -14,9 +14,8 @@ from pyspark.sql.window import WindowSpec
 
 from vitalflow import schemas as S
 from vitalflow.operators.filters import Moment, epoch_ms, recent_range
-from vitalflow.operators.ordered import block_of, running_before
-
-BLOCK = 1 << 16
+from vitalflow.operators.ordered import BLOCK_ROWS, blocks, running_before
+from vitalflow.session import staged
 
 
 def processing_lag(
@@ -37,7 +36,7 @@ def lag_by_source(
 
 
 def _in_blocks(
-    checks: DataFrame, key: str, order: str, limit_s: float, resume_share: float, width: int
+    checks: DataFrame, key: str, order: str, limit_s: float, resume_share: float, block_rows: int
 ) -> tuple[DataFrame, WindowSpec]:
     """Checks with what can be told inside their block, and the window that told it.
 
@@ -52,7 +51,7 @@ def _in_blocks(
             "breach": ~healthy | late,
             "reset": healthy & ~late & lag.isNotNull(),
             "_stop": healthy & resumes,
-            "_block": block_of(order, width),
+            "_block": blocks(checks, order, block_rows),
         }
     ).filter(F.col(key).isNotNull() & F.col("_block").isNotNull())
     so_far = (
@@ -74,14 +73,14 @@ def violation_runs(
     key: str = "pipeline",
     order: str = "seq",
     limit_s: float = S.LAG_LIMIT_S,
-    block_width: int = BLOCK,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `run`, the breaches since the last good check, and `run_id`, the stretch it belongs to.
 
     An unhealthy check or a lag over the limit is a breach. A healthy check without a lag
     neither adds nor resets.
     """
-    rows, _ = _in_blocks(checks, key, order, limit_s, S.RESUME_SHARE, block_width)
+    rows, _ = _in_blocks(checks, key, order, limit_s, S.RESUME_SHARE, block_rows)
     totals = rows.groupBy(key, "_block").agg(
         F.max("_resets").alias("_resets"), F.max_by("_run", order).alias("_tail")
     )
@@ -115,7 +114,7 @@ def fallback_state(
     limit_s: float = S.LAG_LIMIT_S,
     violations: int = S.VIOLATIONS,
     resume_share: float = S.RESUME_SHARE,
-    block_width: int = BLOCK,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `violation_count` and `in_fallback` after each check, and `was_fallback` before it.
 
@@ -123,7 +122,7 @@ def fallback_state(
     non-zero lag under `limit_s * resume_share` ends it and clears the count; breaches during
     the fallback count for nothing.
     """
-    base, so_far = _in_blocks(checks, key, order, limit_s, resume_share, block_width)
+    base, so_far = _in_blocks(checks, key, order, limit_s, resume_share, block_rows)
     place = F.col(order)
     rows = base.withColumns(
         {
@@ -182,18 +181,20 @@ def mode_timeline(
     key: str = "pipeline",
     order: str = "seq",
     time_us: str = "check_us",
-    block_width: int = BLOCK,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per change of mode: TRIGGER or RESUME, until when, and for how long.
 
-    The last mode of a pipeline is open: its end and duration are null.
+    The last mode of a pipeline is open: its end and duration are null. The changes are written
+    to the shared folder first, as they are few and read several times.
     """
-    changes = states.filter(F.col("was_fallback") != F.col("in_fallback"))
+    changed = states.filter(F.col("was_fallback") != F.col("in_fallback"))
+    changes = staged(changed.select(key, order, time_us, "in_fallback"), "mode-changes")
     backwards = running_before(
         changes,
         [key],
         [F.col(order).desc()],
-        -block_of(order, block_width),
+        -blocks(changes, order, block_rows),
         until_us=("min", F.col(time_us)),
     )
     return backwards.select(
@@ -222,7 +223,7 @@ def dual_path_points(
     primary: DataFrame,
     fallback: DataFrame,
     timeline: DataFrame,
-    block_ms: int = 3_600_000,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """All primary points, and the fallback points of times in fallback mode.
 
@@ -242,7 +243,7 @@ def dual_path_points(
         marked,
         [],
         ["time_ms", "_kind", "_at"],
-        block_of("time_ms", block_ms),
+        blocks(marked, "time_ms", block_rows),
         _last=("max", F.when(F.col("_kind") == 0, F.col("_at") * 2 + F.col("_mode"))),
     )
     during = carried.filter((F.col("_kind") == 1) & (F.pmod("_last", F.lit(2)) == 1))

@@ -13,20 +13,28 @@ from vitalflow import schemas as S
 def correlation_matrix(
     df: DataFrame, columns: Sequence[str] = (*S.FEATURES, "label")
 ) -> DataFrame:
-    """Pearson correlation of every pair, as rows (a, b, corr)."""
+    """Pearson correlation of every pair over the complete rows, as rows (a, b, corr).
+
+    The means come first, as one scalar subquery; then each pair needs a single sum of centred
+    products. Spark's own `corr` keeps six numbers a pair, which is too wide to compile.
+    """
     names = list(columns)
+    rows = df.dropna(subset=names)
+    means = rows.agg(F.struct(*[F.avg(c).alias(c) for c in names])).scalar()
+    centred = rows.select(*[(F.col(c) - means.getField(c)).alias(c) for c in names])
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
-    once = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [
-        F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            F.col(f"`{'|'.join(sorted((a, b), key=names.index))}`").alias("corr"),
-        )
-        for a in names
-        for b in names
-    ]
-    return once.select(F.inline(F.array(*cells)))
+    sums = centred.agg(*[F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs])
+
+    def total(a: str, b: str) -> Column:
+        return F.col(f"`{'|'.join(sorted((a, b), key=names.index))}`")
+
+    cells = []
+    for a in names:
+        for b in names:
+            spread = F.sqrt(total(a, a)) * F.sqrt(total(b, b))
+            corr = F.when(spread > 0, total(a, b) / spread)
+            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), corr.alias("corr")))
+    return sums.select(F.inline(F.array(*cells)))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

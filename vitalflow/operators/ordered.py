@@ -1,8 +1,9 @@
 """Ordered computations that stay spread out when one key holds most of the rows.
 
 A plain window over a hot key puts all its rows into one task. Here rows are grouped by
-(key, block), a block being a bounded stretch of the order: the blocks are summed before any
-shuffle, the block totals are carried forward per key, and the window runs inside a block only.
+(key, block), a block being a stretch of the order that holds a bounded number of rows: the
+blocks are summed before any shuffle, the block totals are carried forward per key, and the
+window runs inside a block only.
 """
 
 from __future__ import annotations
@@ -12,14 +13,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BLOCK_ROWS = 250_000
 _FOLD = {"sum": F.sum, "max": F.max, "min": F.min}
 _START = Window.unboundedPreceding
 
 
-def block_of(order: str | Column, width: int) -> Column:
-    """Number of the stretch of `width` order units a row lies in."""
-    c = F.col(order) if isinstance(order, str) else order
-    return F.floor(c / F.lit(width)).cast("bigint")
+def blocks(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> Column:
+    """Number of the stretch of `order` a row of `df` lies in.
+
+    The stretches are equally long and hold about `rows` rows each over all keys, so a key
+    never has much more than that in one. Their length comes from the extent and the number of
+    rows, read first as a scalar subquery.
+    """
+    c = F.col(order)
+    extent = df.agg(
+        F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n"))
+    ).scalar()
+    low = extent.getField("lo").cast("bigint")
+    length = (extent.getField("hi").cast("bigint") - low).cast("double") + 1
+    number = F.ceil(extent.getField("n") / F.lit(rows)).cast("double")
+    return F.floor((c.cast("bigint") - low).cast("double") * number / length).cast("bigint")
 
 
 def running_before(

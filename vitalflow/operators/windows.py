@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
-from vitalflow.operators.ordered import block_of, position, top_per_key
+from vitalflow.operators.ordered import BLOCK_ROWS, blocks, position, top_per_key
 
 
 def _newest_first(order: Sequence[str]) -> list[Column]:
@@ -74,10 +74,10 @@ def disagreement_log(
 
 
 def numbered(
-    df: DataFrame, order: str = "seq", name: str = "pos", block_width: int = 1 << 20
+    df: DataFrame, order: str = "seq", name: str = "pos", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Add each reading's 0-based position in its person's file order."""
-    return position(df, ["id"], [order], block_of(order, block_width), name)
+    return position(df, ["id"], [order], blocks(df, order, block_rows), name)
 
 
 def synthetic_clock(
@@ -85,10 +85,10 @@ def synthetic_clock(
     start_us: int,
     order: str = "seq",
     step_ms: int = S.EVENT_STEP_MS,
-    block_width: int = 1 << 20,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Replace the time by start + position * step, per person in file order."""
-    placed = numbered(df, order, "pos", block_width)
+    placed = numbered(df, order, "pos", block_rows)
     return with_clock(placed, start_us, step_ms).drop("pos")
 
 
@@ -105,11 +105,11 @@ def replay_batches(
     order: str = "seq",
     per_person: int = S.EVENTS_PER_SEND,
     step_ms: int = S.EVENT_STEP_MS,
-    block_width: int = 1 << 20,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Sends of `per_person` readings a person; the send in which the first file ends is the last."""
     batch = F.floor(F.col("pos") / F.lit(per_person)).cast("bigint")
-    placed = numbered(df, order, "pos", block_width).withColumn("batch", batch)
+    placed = numbered(df, order, "pos", block_rows).withColumn("batch", batch)
     sizes = df.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     last = sizes.agg(F.floor(F.min("n") / F.lit(per_person)).cast("bigint"))
     return with_clock(placed.filter(F.col("batch") <= last.scalar()), start_us, step_ms)
@@ -121,27 +121,56 @@ def stratified_split(
     key: str = "seq",
     test_share: float = 0.2,
     seed: int = 42,
-    blocks: int = 4_096,
+    digit_bits: tuple[int, ...] = (10, 10),
 ) -> DataFrame:
     """Add `is_test`: an exact, repeatable share of each class, by hash order of `key`.
 
     The test set has ceil(share * rows) rows. Each class gets its proportional part, and rows
-    left over by rounding go to the training parts with the largest remainders. Rows are ranked
-    inside hash blocks, as a class may hold most of the data.
+    left over by rounding go to the training parts with the largest remainders.
+
+    No row is shuffled: the hash at which a class's test part ends is found by counting the
+    leading bits of the hash, then the next ones among rows that share the digits found; only
+    the few rows left are ranked. One cut per class is what the rows are compared with.
     """
-    width = (1 << 32) // blocks
     known = df.filter(F.col(label).isin(*S.CLASSES))
     hashed = known.withColumn("_hash", fn.stable_hash(key, seed))
-    ranked = position(hashed, [label], ["_hash", key], block_of("_hash", width), "_pos")
-    # counted per block first, as `position` does, so that Spark can share the exchange
-    in_blocks = hashed.withColumn("_block", block_of("_hash", width)).groupBy(label, "_block")
-    counts = in_blocks.agg(F.sum(F.lit(1).cast("bigint")).alias("n")).groupBy(label)
-    quotas = _test_quota(counts.agg(F.sum("n").alias("n")), label, test_share)
-    return ranked.join(F.broadcast(quotas), label).select(
-        *df.columns, (F.col("_pos") < F.col("_n_test")).alias("is_test")
+    counts = known.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    place = _test_quota(counts, label, test_share).select(
+        label, F.col("_n_test").alias("_rank"), F.lit(0).cast("bigint").alias("_digits")
+    )
+    shift = 32
+    for bits in digit_bits:
+        near = _at_digits(hashed, place, label, shift)
+        shift -= bits
+        digits = F.floor(F.col("_hash") / F.lit(1 << shift)).cast("bigint")
+        sizes = near.groupBy(label, "_rank", digits.alias("_digits")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+        up_to = F.sum("_n").over(Window.partitionBy(label).orderBy("_digits"))
+        place = (
+            sizes.withColumn("_before", up_to - F.col("_n"))
+            .filter(F.col("_rank").between(F.col("_before") + 1, F.col("_before") + F.col("_n")))
+            .select(label, (F.col("_rank") - F.col("_before")).alias("_rank"), "_digits")
+        )
+    near = _at_digits(hashed, place, label, shift)
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
+    cut = (
+        near.select(label, "_hash", key, "_rank", rank.alias("_place"))
+        .filter(F.col("_place") == F.col("_rank"))
+        .select(label, F.col("_hash").alias("_cut_hash"), F.col(key).alias("_cut_key"))
+    )
+    is_test = F.struct("_hash", key) <= F.struct("_cut_hash", "_cut_key")
+    return hashed.join(F.broadcast(cut), label, "left").select(
+        *df.columns, (F.col("_cut_hash").isNotNull() & is_test).alias("is_test")
     )
 
 
+def _at_digits(hashed: DataFrame, place: DataFrame, label: str, shift: int) -> DataFrame:
+    """Rows whose leading hash bits are those of their class's `place` (one row per class)."""
+    same = F.floor(F.col("_hash") / F.lit(1 << shift)).cast("bigint") == F.col("_digits")
+    return hashed.join(F.broadcast(place), label).filter(same).drop("_digits")
+
+
 def _test_quota(counts: DataFrame, label: str, share: float) -> DataFrame:
     """Test rows per class, from at most one row for each of `CLASSES`."""
     collected = counts.agg(

@@ -16,7 +16,7 @@ from vitalflow.functions import scalars as fn
 from vitalflow.models import boosted, scoring
 from vitalflow.operators import aggregates as agg
 from vitalflow.operators import control, filters, metrics, timeseries, windows
-from vitalflow.operators.ordered import block_of, position
+from vitalflow.operators.ordered import blocks, position
 from vitalflow.plans import datasets as data
 from vitalflow.session import fresh_path, staged
 from vitalflow.sources import files, points as pts, records, streams
@@ -135,7 +135,7 @@ def read_sensor_csv(spark: SparkSession, sf: str) -> DataFrame:
 @query("read_zipped_csv")
 def read_zipped_csv(spark: SparkSession, sf: str) -> DataFrame:
     """Archives of one person and stretch of readings each, packed and read back."""
-    rows = data.records(spark, sf).withColumn("block", block_of("seq", 20_000))
+    rows = data.records(spark, sf).withColumn("block", F.floor(F.col("seq") / 20_000))
     archives = files.pack_csv(rows, ["id", "block"], "seq")
     return files.read_zipped_csv(archives).select("id", "datetime", *r4s(S.SENSORS))
 
@@ -710,13 +710,14 @@ def stress_alert(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("late_drop")
 def late_drop(spark: SparkSession, sf: str) -> DataFrame:
-    return jobs.late_rows(data.replay(spark, sf)).select("seq", "batch", "us", "late")
+    replay = staged(data.replay(spark, sf).select("seq", "batch", "us"), "replay")
+    return jobs.late_rows(replay)
 
 
 @query("count_or_time_batches")
 def count_or_time_batches(spark: SparkSession, sf: str) -> DataFrame:
     rows = data.sensors(spark, sf)
-    placed = position(rows, [], ["seq"], block_of("seq", 1 << 20), "pos")
+    placed = position(rows, [], ["seq"], blocks(rows, "seq"), "pos")
     batch = F.floor(F.col("pos") / S.BATCH_RECORDS).cast("bigint")
     return placed.select("seq", "id", batch.alias("batch"))
 

@@ -13,7 +13,7 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import RuleModel
 from vitalflow.operators.aggregates import batch_average, window_average
-from vitalflow.operators.ordered import block_of, position
+from vitalflow.operators.ordered import blocks, position
 from vitalflow.session import fresh_path
 from vitalflow.sources.points import (
     fallback_points,
@@ -76,6 +76,11 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream_earliest(spark, f"{sf_dir}/events[.]parquet", EVENTS)
 
 
+def one_number(text: str) -> Column:
+    """The number in text of the form {"k": n}, by position rather than by parsing."""
+    return F.substring_index(F.substring_index(text, ": ", -1), "}", 1).cast("double")
+
+
 def to_sensors(rows: DataFrame) -> DataFrame:
     """Sensor readings of events; for tables and streams."""
     seq, value = F.col("event_id"), F.col("value")
@@ -93,7 +98,7 @@ def to_sensors(rows: DataFrame) -> DataFrame:
         F.when(seq % 17 != 0, axis(71)).alias("Z"),
         F.when(seq % 13 != 0, value / 10).alias("EDA"),
         (F.lit(55) + value % 100).alias("HR"),
-        (F.lit(27) + F.get_json_object("props", "$.k").cast("double") / 10).alias("TEMP"),
+        (F.lit(27) + one_number("props") / 10).alias("TEMP"),
         "event_type",
     )
 
@@ -147,7 +152,7 @@ def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings in arrival order, cut into batches of 500; every tenth arrives 20 s late."""
     arrival = F.col("us") + F.when(F.col("seq") % 10 == 0, 20_000_000).otherwise(0)
     arrived = sensors(spark, sf_dir).withColumn("arrival", arrival)
-    ordered = position(arrived, [], ["arrival", "seq"], block_of("arrival", 60_000_000), "_pos")
+    ordered = position(arrived, [], ["arrival", "seq"], blocks(arrived, "arrival"), "_pos")
     batch = F.floor((F.col("_pos") + 1) / 500).cast("bigint")
     return ordered.withColumn("batch", batch).drop("_pos")
 

@@ -13,7 +13,7 @@ from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import Model, with_default
 from vitalflow.operators.aggregates import batch_average, window_average
 from vitalflow.operators.control import fallback_state
-from vitalflow.operators.ordered import block_of, running_before
+from vitalflow.operators.ordered import BLOCK_ROWS, blocks, running_before
 from vitalflow.sources.points import fallback_points, primary_points, write_points
 
 
@@ -103,24 +103,22 @@ def start_fallback(
     return start_batches(numbered, write, checkpoint, trigger)
 
 
-# Below every real order value: room for the checks that rebuild a carried state.
-_BEFORE_ALL = -(1 << 62)
-
-
-def resume_checks(state: DataFrame, checks: DataFrame, key: str, order: str, violations: int) -> DataFrame:
-    """Unhealthy checks that bring a new machine to the carried state, put before all others."""
+def resume_checks(
+    state: DataFrame, checks: DataFrame, key: str, order: str, violations: int
+) -> DataFrame:
+    """`checks` behind unhealthy ones (`_seed`) that bring a new machine to the carried state."""
     repeats = F.when(F.col("in_fallback"), F.lit(violations)).otherwise(
         F.col("violation_count").cast("int")
     )
-    rebuilt = state.filter(repeats > 0).select(
-        key,
-        F.explode(F.sequence(F.lit(1), repeats)).alias("_n"),
-    ).select(
+    first = checks.agg(F.min(order)).scalar()
+    rebuilt = state.filter(repeats > 0).select(key, F.explode(F.sequence(F.lit(1), repeats)).alias("_n"))
+    seeds = rebuilt.select(
         key,
-        (F.lit(_BEFORE_ALL) + F.col("_n")).alias(order),
+        (first - F.lit(violations + 1) + F.col("_n")).alias(order),
         F.lit(False).alias("healthy"),
+        F.lit(True).alias("_seed"),
     )
-    return checks.unionByName(rebuilt, allowMissingColumns=True)
+    return checks.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
 
 
 def start_fallback_state(
@@ -142,14 +140,15 @@ def start_fallback_state(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch = batch.withColumn(order, F.col(order).cast("bigint"))
-        before = None
+        batch = batch.withColumn(order, F.col(order).cast("bigint"))
+        fresh, before = batch.withColumn("_seed", F.lit(False)), None
         if batch_id > 0:
             before = spark.read.parquet(f"{state_path}/{batch_id - 1}")
             fresh = resume_checks(before, batch, key, order, violations)
         states = fallback_state(fresh, key, order, violations=violations)
         target = f"{path}/batch={batch_id}"
-        states.filter(F.col(order) > _BEFORE_ALL + violations).write.mode("overwrite").parquet(target)
+        states = states.filter(~F.col("_seed")).drop("_seed")
+        states.write.mode("overwrite").parquet(target)
         written = spark.read.schema(states.schema).parquet(target)
         after = written.groupBy(key).agg(
             F.max_by("in_fallback", order).alias("in_fallback"),
@@ -169,7 +168,7 @@ def late_rows(
     event_us: str = "us",
     window_ms: int = S.WINDOW_MS,
     delay_ms: int = S.ALLOWED_DELAY_MS,
-    block_width: int = 4_096,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `late`: whether a stream reading these batches in order drops the row.
 
@@ -178,7 +177,7 @@ def late_rows(
     """
     newest = replay.groupBy(batch).agg(F.max(event_us).alias("_newest"))
     up_to = running_before(
-        newest, [], [batch], block_of(batch, block_width), _seen=("max", F.col("_newest"))
+        newest, [], [batch], blocks(newest, batch, block_rows), _seen=("max", F.col("_newest"))
     )
     # the running value before batch b + 1 is that of batches up to b; it filters batch b + 2
     marks = up_to.select(

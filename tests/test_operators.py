@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
-from vitalflow.operators import aggregates, control, filters, metrics, timeseries, windows
+from vitalflow.operators import aggregates, batching, control, filters, metrics, timeseries, windows
 from vitalflow.operators.ordered import blocks, position, running_before, top_per_key
 
 
@@ -277,3 +277,24 @@ def test_latest_uses_group_limit(spark):
     df = spark.range(100).select((F.col("id") % 3).cast("string").alias("id"), F.col("id").alias("time_ms"))
     plan = windows.latest_per_id(df)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+@pytest.mark.parametrize("block, group", [(10, 1), (16, 3), (50, 2), (1000, 512)])
+def test_count_or_time_batches_match_plain_loop(spark, block, group):
+    rng = random.Random(block)
+    rows, want = [], {}
+    for part, pace in ((0, [0, 1, 2]), (1, [0, 0, 0, 40]), (2, [50]), (3, [0])):
+        now, start = 0, None
+        for offset in range(170 if part < 3 else 20):
+            now += rng.choice(pace)
+            rows.append((part, offset, now))
+            if start is None or offset - start[0] == 10 or now > start[1] + 30:
+                start = (offset, now)
+            want[(part, offset)] = start[0]
+    df = spark.createDataFrame(rows, "partition int, offset long, arrival_ms long").repartition(3)
+    got = batching.count_or_time_batches(
+        df, ["partition"], ["offset"], "arrival_ms", size=10, wait_ms=30,
+        block_records=block, blocks_per_group=group,
+    )
+    assert {(r.partition, r.offset): r.batch_start for r in got.collect()} == want
+    assert got.count() == len(rows)

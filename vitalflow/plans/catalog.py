@@ -15,7 +15,7 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.models import boosted, scoring
 from vitalflow.operators import aggregates as agg
-from vitalflow.operators import control, filters, metrics, timeseries, windows
+from vitalflow.operators import batching, control, filters, metrics, timeseries, windows
 from vitalflow.operators.ordered import blocks, position
 from vitalflow.plans import datasets as data
 from vitalflow.session import fresh_path, staged
@@ -714,14 +714,24 @@ def late_drop(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.late_rows(replay)
 
 
-@query("count_or_time_batches")
-def count_or_time_batches(spark: SparkSession, sf: str) -> DataFrame:
+@query("count_batches")
+def count_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches of a thousand records, by position in the log."""
     rows = data.sensors(spark, sf)
     placed = position(rows, [], ["seq"], blocks(rows, "seq"), "pos")
     batch = F.floor(F.col("pos") / S.BATCH_RECORDS).cast("bigint")
     return placed.select("seq", "id", batch.alias("batch"))
 
 
+@query("count_or_time_batches")
+def count_or_time_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Batches that close at a thousand records or after thirty seconds of the log."""
+    log = data.sensors(spark, sf).select(
+        "seq", "id", F.floor(F.col("us") / 1_000).cast("bigint").alias("arrival_ms")
+    )
+    return batching.count_or_time_batches(log, [], ["arrival_ms", "seq"], "arrival_ms")
+
+
 @query("fallback_stream")
 def fallback_stream(spark: SparkSession, sf: str) -> DataFrame:
     path = fresh_path(spark, "fallback")

@@ -441,7 +441,15 @@ def build() -> dict[str, str]:
         " from replay join (select batch, max(newest) over (order by batch rows between unbounded preceding"
         " and 2 preceding) as seen from (select batch, max(us) as newest from replay group by batch)) using (batch)"
     )
-    q["count_or_time_batches"] = sql("select seq, id, seq // 1000 as batch from sensors")
+    q["count_batches"] = sql("select seq, id, seq // 1000 as batch from sensors")
+    q["count_or_time_batches"] = sql(
+        "select p.seq, p.id, p.arrival_ms, h.pos as batch_start from placed p asof join heads h on p.pos >= h.pos",
+        "placed as materialized (select seq, id, us // 1000 as arrival_ms,"
+        " row_number() over (order by us // 1000, seq) - 1 as pos from sensors),"
+        " heads as (select pos, arrival_ms from placed where pos = 0 union all"
+        " select min(p.pos), arg_min(p.arrival_ms, p.pos) from heads h join placed p"
+        " on p.pos > h.pos and (p.pos = h.pos + 1000 or p.arrival_ms > h.arrival_ms + 30000) group by h.pos)",
+    ).replace("with ", "with recursive ", 1)
     q["fallback_stream"] = q["write_points_batch"]
     full = " and ".join(f"{c} is not null" for c in SENSORS)
     q["score_with_default"] = sql(

@@ -20,6 +20,7 @@ def build_session(name: str = "vitalflow", master: str | None = None, **conf: st
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.ui.enabled": "false",
         # call-site capture costs more than building most of the plans here
         "spark.python.sql.dataFrameDebugging.enabled": "false",

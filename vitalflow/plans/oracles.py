@@ -15,6 +15,14 @@ def r4(expr: str, name: str) -> str:
     return f"floor(cast({expr} as double)*10000 + 0.500001)/10000 as {name}"
 
 
+def half_up(names) -> str:
+    """Arguments for `%f` that show six decimals with halves rounded up, which printf does not.
+
+    A single-precision value times a million is exact in double precision.
+    """
+    return ", ".join(f"sign({c})*floor(abs({c}::double)*1000000 + 0.5)/1000000" for c in names)
+
+
 def r4s(names, prefix: str = "") -> str:
     return ", ".join(r4(prefix + c, c) for c in names)
 
@@ -227,8 +235,8 @@ def build() -> dict[str, str]:
 
     # sinks
     q["to_line_protocol"] = sql(
-        "select printf('flink_events,id=%s EDA=%f,HR=%f,TEMP=%f,stressLevel=%d %d', id, EDA::double, HR::double,"
-        " TEMP::double, stress_level, datetime*1000000) as line from primary_scored"
+        "select printf('flink_events,id=%s EDA=%f,HR=%f,TEMP=%f,stressLevel=%d %d', id,"
+        f" {half_up(('EDA', 'HR', 'TEMP'))}, stress_level, datetime*1000000) as line from primary_scored"
     )
     q["write_points"] = sql(
         f"select measurement, {point_cols} from points where source = 'primary'"
@@ -294,8 +302,8 @@ def build() -> dict[str, str]:
         "select seq, case event_type when 'error' then null else label end as prediction from labeled"
     )
     q["feature_text"] = sql(
-        "select id, windowEnd, printf('x=%f&y=%f&z=%f&eda=%f&hr=%f&temp=%f', X::double, Y::double, Z::double,"
-        " EDA::double, HR::double, TEMP::double) as request from primary_scored"
+        "select id, windowEnd, printf('x=%f&y=%f&z=%f&eda=%f&hr=%f&temp=%f',"
+        f" {half_up(SENSORS)}) as request from primary_scored"
     )
     q["prediction_response"] = sql(
         f"select id, windowEnd, cast(stress_level as varchar) as stress_level_prediction, {label_of('stress_level')}"

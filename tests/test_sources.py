@@ -159,3 +159,26 @@ def test_fallback_point_time_is_cut_to_the_second(spark):
     df = frame(spark, [ROWS[0]]).withColumn("stress_level", F.lit(1))
     row = pts.fallback_points(df).first()
     assert row.time_ms == 1_704_067_200_000 and row.source == "fallback" and row.stress_level == 1
+
+
+def test_lines_are_sent_in_calls(spark):
+    df = spark.range(25).select(
+        F.col("id").cast("string").alias("id"),
+        *[F.lit(1.0).alias(c) for c in ("EDA", "HR", "TEMP")],
+        F.col("id").alias("datetime"),
+        F.lit(1).alias("stress_level"),
+    ).coalesce(1)
+    calls = pts.send_lines(df, lambda text: 500 if "id=0 " in text else 204, lines_per_call=10)
+    assert [(r.lines, r.status, r.failed) for r in calls.collect()] == [
+        (10, 500, True), (10, 204, False), (5, 204, False),
+    ]
+
+
+def test_tables_may_be_folders(spark, sf_dir, tmp_path):
+    from vitalflow.plans import catalog, datasets
+
+    folder = str(tmp_path)
+    datasets.events(spark, sf_dir).repartition(3).write.parquet(f"{folder}/events.parquet")
+    for name in ("flagship", "read_stream_earliest"):
+        run = catalog.QUERIES[name]
+        assert run(spark, folder).count() == run(spark, sf_dir).count()

@@ -97,13 +97,16 @@ def position(
 def top_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int, salts: int = 64
 ) -> DataFrame:
-    """First `k` rows of each key by `order`, cut down per salt before a key's rows meet."""
-    salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    part = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    near = salted.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= k)
+    """First `k` rows of each key by `order`.
+
+    Every task keeps `k` rows a key before the shuffle. For k > 1 the rows of a key meet in two
+    steps, per salt and then whole, so that many tasks times `k` rows never fall on one.
+    """
+    near = df
+    if k > 1:
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        part = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        ranked = salted.withColumn("_rank", F.row_number().over(part))
+        near = ranked.filter(F.col("_rank") <= k).drop("_salt", "_rank")
     full = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        near.withColumn("_rank", F.row_number().over(full))
-        .filter(F.col("_rank") <= k)
-        .drop("_salt", "_rank")
-    )
+    return near.withColumn("_rank", F.row_number().over(full)).filter(F.col("_rank") <= k).drop("_rank")

@@ -76,8 +76,9 @@ def disagreement_log(
 def numbered(
     df: DataFrame, order: str = "seq", name: str = "pos", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Add each reading's 0-based position in its person's file order."""
-    return position(df, ["id"], [order], blocks(df, order, block_rows), name)
+    """Add each reading's 0-based position in its person's file order; rows without id are left out."""
+    known = df.filter(F.col("id").isNotNull())
+    return position(known, ["id"], [order], blocks(known, order, block_rows), name)
 
 
 def synthetic_clock(
@@ -110,7 +111,7 @@ def replay_batches(
     """Sends of `per_person` readings a person; the send in which the first file ends is the last."""
     batch = F.floor(F.col("pos") / F.lit(per_person)).cast("bigint")
     placed = numbered(df, order, "pos", block_rows).withColumn("batch", batch)
-    sizes = df.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    sizes = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     last = sizes.agg(F.floor(F.min("n") / F.lit(per_person)).cast("bigint"))
     return with_clock(placed.filter(F.col("batch") <= last.scalar()), start_us, step_ms)
 

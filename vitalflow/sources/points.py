@@ -6,6 +6,9 @@ Each batch owns its folders, so writing a batch again replaces it.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,3 +111,30 @@ def write_lines(scored: DataFrame, path: str, measurement: str = S.LINE_MEASUREM
     to_line_protocol(scored, measurement).withColumnRenamed("line", "value").write.mode(
         "append"
     ).text(path)
+
+
+def send_lines(
+    scored: DataFrame,
+    send: Callable[[str], int],
+    measurement: str = S.LINE_MEASUREMENT,
+    lines_per_call: int = 5_000,
+) -> DataFrame:
+    """Hand the lines to `send`, which returns a status code, from every partition.
+
+    The result has one row per call: lines sent, status, and whether it failed (400 and above).
+    A failure does not stop the others. `send` must bear repeats, as a lost task runs again; a
+    store that keeps one point per identity does.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for first in range(0, len(frame), lines_per_call):
+                group = frame["line"].iloc[first : first + lines_per_call]
+                status = send("\n".join(group))
+                yield pd.DataFrame(
+                    {"lines": [len(group)], "status": [status], "failed": [status >= 400]}
+                )
+
+    return to_line_protocol(scored, measurement).mapInPandas(
+        run, "lines long, status int, failed boolean"
+    )

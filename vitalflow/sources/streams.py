@@ -36,6 +36,13 @@ def read_topic(
     return reader.load().select("value", "partition", "offset")
 
 
+def write_topic(encoded: DataFrame, brokers: str, topic: str) -> None:
+    """Publish rows (key, value), as `encode_sensor_values` gives them."""
+    encoded.select("key", "value").write.format("kafka").option(
+        "kafka.bootstrap.servers", brokers
+    ).option("topic", topic).save()
+
+
 def count_or_time_trigger(
     records: int = S.BATCH_RECORDS, seconds: int = S.BATCH_SECONDS
 ) -> dict[str, int | str]:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from vitalflow import schemas as S
 from vitalflow.operators.ordered import blocks, position
+from vitalflow.session import staged
 
 BLOCK_RECORDS = 100_000
 BLOCKS_PER_GROUP = 512
@@ -46,7 +47,8 @@ def count_or_time_batches(
     first = order[0]
     part = [*keys, "_block"]
     columns = [*df.columns, "batch_start"]
-    placed = position(df, list(keys), list(order), blocks(df, first), "_pos")
+    # both tables are read more than once below: the rows in order, and the blocks' maps
+    placed = staged(position(df, list(keys), list(order), blocks(df, first), "_pos"), "placed")
     block = F.floor(F.col("_pos") / block_records).cast("bigint")
     head = (F.col("_pos") % block_records < size) & (block > 0)
     # the first records of a block are also shown to the block before it
@@ -66,12 +68,13 @@ def count_or_time_batches(
         found = _exits(_next_starts(frame[time_ms].to_numpy(), size, wait_ms), own, size)
         return frame.head(1)[part].assign(_exits=[found.tolist()])
 
-    maps = (
+    mapped = (
         shown.select(*part, "_pos", time_ms)
         .groupBy(*part)
         .applyInPandas(block_map, T.StructType([*key_fields, block_field, exits]))
         .withColumn("_group", F.floor(F.col("_block") / blocks_per_group).cast("bigint"))
     )
+    maps = staged(mapped, "block-maps")
 
     def group_map(frame: pd.DataFrame) -> pd.DataFrame:
         at = np.arange(size)

@@ -229,10 +229,11 @@ def dual_path_points(
 
     The mode at a point is that of the last change at or before it. Changes and points are laid
     on one time line and the last change is carried forward, so neither side is broadcast.
-    `timeline` is that of one monitor.
+    `timeline` is that of one monitor; it is written once, as it is read several times.
     """
     columns = primary.columns
-    changes = timeline.select(
+    kept = staged(timeline.select("from_us", "change"), "timeline")
+    changes = kept.select(
         F.floor(F.col("from_us") / 1000).cast("bigint").alias("time_ms"),
         F.lit(0).alias("_kind"),
         F.col("from_us").alias("_at"),

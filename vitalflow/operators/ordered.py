@@ -1,7 +1,7 @@
 """Ordered computations that stay spread out when one key holds most of the rows.
 
 A plain window over a hot key puts all its rows into one task. Here rows are grouped by
-(key, block), a block being a stretch of the order that holds a bounded number of rows: the
+(key, block), a block being a stretch of the order sized to the number of rows: the
 blocks are summed before any shuffle, the block totals are carried forward per key, and the
 window runs inside a block only.
 """
@@ -21,9 +21,10 @@ _START = Window.unboundedPreceding
 def blocks(df: DataFrame, order: str, rows: int = BLOCK_ROWS) -> Column:
     """Number of the stretch of `order` a row of `df` lies in.
 
-    The stretches are equally long and hold about `rows` rows each over all keys, so a key
-    never has much more than that in one. Their length comes from the extent and the number of
-    rows, read first as a scalar subquery.
+    The stretches are equally long and hold `rows` rows on average over all keys together, so
+    even a key with most of the rows has no more than that in one. Their length comes from the
+    extent and the number of rows, read first as a scalar subquery. Where rows come in bursts,
+    choose a smaller `rows`.
     """
     c = F.col(order)
     extent = df.agg(

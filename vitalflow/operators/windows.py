@@ -135,24 +135,15 @@ def stratified_split(
     """
     known = df.filter(F.col(label).isin(*S.CLASSES))
     hashed = known.withColumn("_hash", fn.stable_hash(key, seed))
-    counts = known.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    place = _test_quota(counts, label, test_share).select(
-        label, F.col("_n_test").alias("_rank"), F.lit(0).cast("bigint").alias("_digits")
-    )
-    shift = 32
-    for bits in digit_bits:
+    shift = 32 - digit_bits[0]
+    sizes = _sizes(hashed, label, [], shift)
+    counts = sizes.groupBy(label).agg(F.sum("_n").alias("n"))
+    quotas = _test_quota(counts, label, test_share).withColumnRenamed("_n_test", "_rank")
+    place = _place(sizes.join(F.broadcast(quotas), label), label)
+    for bits in digit_bits[1:]:
         near = _at_digits(hashed, place, label, shift)
         shift -= bits
-        digits = F.floor(F.col("_hash") / F.lit(1 << shift)).cast("bigint")
-        sizes = near.groupBy(label, "_rank", digits.alias("_digits")).agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-        up_to = F.sum("_n").over(Window.partitionBy(label).orderBy("_digits"))
-        place = (
-            sizes.withColumn("_before", up_to - F.col("_n"))
-            .filter(F.col("_rank").between(F.col("_before") + 1, F.col("_before") + F.col("_n")))
-            .select(label, (F.col("_rank") - F.col("_before")).alias("_rank"), "_digits")
-        )
+        place = _place(_sizes(near, label, ["_rank"], shift), label)
     near = _at_digits(hashed, place, label, shift)
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_hash", key))
     cut = (
@@ -166,6 +157,22 @@ def stratified_split(
     )
 
 
+def _sizes(rows: DataFrame, label: str, kept: list[str], shift: int) -> DataFrame:
+    """Rows of each class per value of the hash's leading bits."""
+    digits = F.floor(F.col("_hash") / F.lit(1 << shift)).cast("bigint")
+    return rows.groupBy(label, *kept, digits.alias("_digits")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def _place(sizes: DataFrame, label: str) -> DataFrame:
+    """Leading bits among which each class's row number `_rank` is, and its number there."""
+    up_to = F.sum("_n").over(Window.partitionBy(label).orderBy("_digits"))
+    ranged = sizes.withColumn("_before", up_to - F.col("_n"))
+    here = F.col("_rank").between(F.col("_before") + 1, F.col("_before") + F.col("_n"))
+    return ranged.filter(here).select(
+        label, (F.col("_rank") - F.col("_before")).alias("_rank"), "_digits"
+    )
+
+
 def _at_digits(hashed: DataFrame, place: DataFrame, label: str, shift: int) -> DataFrame:
     """Rows whose leading hash bits are those of their class's `place` (one row per class)."""
     same = F.floor(F.col("_hash") / F.lit(1 << shift)).cast("bigint") == F.col("_digits")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, mixing
+from vitalflow.llm import exact_dedup, mixing, near_dedup
 from vitalflow.llm.common import documents
 
 
@@ -23,7 +23,19 @@ def op3_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_mix": op2_mix, "op3_exact_dedup": op3_exact_dedup}
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    _, groups = near_dedup.near_groups(documents(spark, sf), size=3, percent=85)
+    component = F.col("component_id")
+    return groups.select(
+        "doc_id", "n_shingles", "component_id", component.eqNullSafe(F.col("doc_id")).alias("kept")
+    )
+
+
+QUERIES = {
+    "op2_mix": op2_mix,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_near_dedup": op4_near_dedup,
+}
 
 OP2_SQL = r"""
 with sized as (
@@ -72,4 +84,33 @@ from normal
 window g as (partition by norm)
 """
 
-ORACLES: dict[str, str] = {"op2_mix": OP2_SQL, "op3_exact_dedup": OP3_SQL}
+OP4_SQL = r"""
+with recursive worded as (
+  select doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                      'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingled as (
+  select doc_id, list_distinct(case
+    when len(w) = 0 then []::varchar[]
+    when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+  end) as s from worded),
+sized as (select doc_id, s, len(s) as n from shingled),
+items as (select doc_id, n, unnest(s) as item from sized),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, any_value(a.n) as na, any_value(b.n) as nb, count(*) as c
+  from items a join items b on a.item = b.item and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (select a, b from pairs where 100 * c >= 85 * (na + nb - c)),
+edges as (select a, b from links union all select b, a from links),
+reached(doc_id, seen) as (
+  select doc_id, doc_id from sized
+  union
+  select r.doc_id, e.b from reached r join edges e on r.seen = e.a),
+smallest as (select doc_id, min(seen) as component_id from reached group by doc_id)
+select doc_id, n::bigint as n_shingles, component_id, doc_id = component_id as kept
+from sized join smallest using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op2_mix": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_near_dedup": OP4_SQL}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.operators import aggregates, batching, control, filters, metrics, timeseries, windows
-from vitalflow.operators.ordered import blocks, position, running_before, top_per_key
+from vitalflow.operators.ordered import in_runs, position, running_before, top_per_key
 
 
 def readings(spark, rows):
@@ -41,28 +41,54 @@ def test_rows_without_id_are_rejected(spark):
     assert valid.count() == 1 and rejects.first().HR == 70.0
 
 
-@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
-def test_running_fold_matches_plain_loop(spark, width):
-    rng = random.Random(width)
-    rows = [(rng.choice("ab"), i, rng.randint(-5, 5)) for i in range(500)]
+@pytest.fixture(params=[1, 3, 40])
+def parted(spark, request):
+    """Shuffles into so many partitions, none of them joined afterwards."""
+    wanted = {
+        "spark.sql.shuffle.partitions": str(request.param),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield request.param
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_running_fold_matches_plain_loop(spark, parted):
+    rng = random.Random(parted)
+    keys = ["a", "b", None, *"cdefgh"]
+    rows = [(rng.choice(keys), i, rng.choice([None, *range(-5, 6)])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, n int, v int").repartition(5)
     got = running_before(
-        df, ["k"], ["n"], blocks(df, "n", width),
+        df, ["k"], ["n"],
         total=("sum", F.col("v")), top=("max", F.col("v")), low=("min", F.col("v")),
     ).collect()
-    seen = {"a": [], "b": []}
+    seen = {k: [] for k in keys}
     want = {}
     for k, n, v in rows:
         past = seen[k]
         want[n] = (sum(past), max(past, default=None), min(past, default=None))
-        past.append(v)
+        past += [v] if v is not None else []
     assert {r.n: (r.total, r.top, r.low) for r in got} == want
 
 
 def test_position_without_keys(spark):
     df = spark.range(1000).withColumn("t", F.col("id") * 3).repartition(4)
-    got = position(df, [], ["t"], blocks(df, "t", 64), "pos").filter("pos != id").count()
-    assert got == 0
+    assert position(df, [], ["t"], "pos").filter("pos != id").count() == 0
+    assert position(df.limit(0), [], ["t"], "pos").count() == 0
+
+
+def test_far_off_order_value_leaves_partitions_even(spark):
+    t = F.when(F.col("id") == 0, 0).otherwise(1_700_000_000_000 + F.col("id"))
+    df = spark.range(20_000).withColumn("t", t)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = in_runs(df, [], ["t"], lambda columns, starts: {}, [])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sizes = [r["count"] for r in rows.groupBy("_part").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * sum(sizes) / len(sizes)
 
 
 def test_top_per_key_keeps_exact_rows(spark):
@@ -103,16 +129,15 @@ def random_checks(rng, n):
     ]
 
 
-@pytest.mark.parametrize("width", [1, 3, 10, 1000])
-def test_fallback_state_matches_rules(spark, width):
-    rng = random.Random(width)
+def test_fallback_state_matches_rules(spark, parted):
+    rng = random.Random(parted)
     rows, want = [], {}
     for key in ("p", "q", "r"):
         checks = random_checks(rng, 150)
         rows += [(key, i, h, lag) for i, (h, lag) in enumerate(checks)]
         want.update({(key, i): s for i, s in enumerate(monitor(checks))})
     df = spark.createDataFrame(rows, "pipeline string, seq int, healthy boolean, latency_s double")
-    got = control.fallback_state(df.repartition(4), block_rows=width).collect()
+    got = control.fallback_state(df.repartition(4)).collect()
     assert {
         (r.pipeline, r.seq): (r.was_fallback, r.in_fallback, r.violation_count) for r in got
     } == want
@@ -134,8 +159,7 @@ def test_fallback_state_named_cases(spark):
     assert final([(True, 300.0)] * 5).violation_count == 0
 
 
-@pytest.mark.parametrize("width", [1, 5, 1000])
-def test_violation_runs_and_timeline(spark, width):
+def test_violation_runs_and_timeline(spark, parted):
     rng = random.Random(5)
     checks = random_checks(rng, 200)
     rows = [("p", i, i * 60_000_000, h, lag) for i, (h, lag) in enumerate(checks)]
@@ -149,12 +173,12 @@ def test_violation_runs_and_timeline(spark, width):
         elif lag is not None:
             run = 0
         want[i] = run
-    got = control.violation_runs(df, block_rows=width).collect()
+    got = control.violation_runs(df).collect()
     assert {r.seq: r.run for r in got} == want
 
     states = monitor(checks)
     changes = [i for i, (before, after, _) in enumerate(states) if before != after]
-    timeline = control.mode_timeline(control.fallback_state(df), block_rows=width)
+    timeline = control.mode_timeline(control.fallback_state(df))
     lines = sorted(timeline.collect(), key=lambda r: r.seq)
     assert [r.seq for r in lines] == changes
     assert [r.change for r in lines[:2]] == ["TRIGGER", "RESUME"]
@@ -171,8 +195,7 @@ def test_dual_path_keeps_fallback_points_of_fallback_time(spark):
         [("TRIGGER", 10_000_000), ("RESUME", 20_000_000)], "change string, from_us long"
     )
     both = control.dual_path_points(
-        points("primary", [1, 15_000]), points("fallback", [9_999, 10_000, 19_999, 20_000]), timeline,
-        block_rows=2,
+        points("primary", [1, 15_000]), points("fallback", [9_999, 10_000, 19_999, 20_000]), timeline
     )
     assert sorted((r.source, r.time_ms) for r in both.collect()) == [
         ("fallback", 10_000), ("fallback", 19_999), ("primary", 1), ("primary", 15_000),
@@ -205,7 +228,7 @@ def test_fleet_summary_counts_missing_as_agreeing(spark):
 def test_replay_stops_with_the_shorter_file(spark, sizes, want):
     rows = [("A", i) for i in range(sizes[0])] + [("B", i) for i in range(sizes[1])]
     df = spark.createDataFrame(rows, "id string, seq int")
-    out = windows.replay_batches(df, 0, block_rows=64)
+    out = windows.replay_batches(df, 0)
     counts = {r.id: r["count"] for r in out.groupBy("id").count().collect()}
     assert counts == {"A": want[0], "B": want[1]}
     assert out.agg(F.max("clock_us")).first()[0] == (want[0] - 1) * 3_000

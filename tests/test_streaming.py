@@ -71,10 +71,9 @@ def test_late_rows_are_dropped_one_batch_later(spark, tmp_path):
     assert dropped == 1
     rows = [(b, int(t * 1_000_000)) for b, times in enumerate(batches) for t in times]
     replay = spark.createDataFrame(rows, "batch long, us long")
-    for width in (1, 2, 100):
-        kept, late = jobs.split_late(replay, block_rows=width)
-        assert [(r.batch, r.us) for r in late.collect()] == [(2, 4_900_000)]
-        assert kept.count() == len(rows) - 1
+    kept, late = jobs.split_late(replay)
+    assert [(r.batch, r.us) for r in late.collect()] == [(2, 4_900_000)]
+    assert kept.count() == len(rows) - 1
 
 
 def test_stop_and_restart_loses_and_repeats_nothing(spark, tmp_path):

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalflow import schemas as S
-from vitalflow.operators.ordered import blocks, position
+from vitalflow.operators.ordered import position
 from vitalflow.session import staged
 
 BLOCK_RECORDS = 100_000
@@ -44,11 +44,10 @@ def count_or_time_batches(
     """
     if block_records < size:
         raise ValueError("a block must hold at least one whole batch")
-    first = order[0]
     part = [*keys, "_block"]
     columns = [*df.columns, "batch_start"]
     # both tables are read more than once below: the rows in order, and the blocks' maps
-    placed = staged(position(df, list(keys), list(order), blocks(df, first), "_pos"), "placed")
+    placed = staged(position(df, list(keys), list(order), "_pos"), "placed")
     block = F.floor(F.col("_pos") / block_records).cast("bigint")
     head = (F.col("_pos") % block_records < size) & (block > 0)
     # the first records of a block are also shown to the block before it

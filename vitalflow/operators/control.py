@@ -1,20 +1,31 @@
 """Processing lag, and handing over between the primary and the fallback.
 
 The monitor is a small state machine per pipeline, and a pipeline's checks may be most of the
-table. So the checks are shuffled once into (pipeline, block) groups. Inside a block, running
-sums and maxima tell everything about the machine but what it was when the block began; one
-summary row per block carries that forward.
+table. So the checks are shuffled once into range partitions of (pipeline, order). Inside one,
+running sums and maxima tell everything about the machine but what it was when the partition
+began; one row per partition carries that forward.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
+from pyspark.sql import types as T
 
 from vitalflow import schemas as S
 from vitalflow.operators.filters import Moment, epoch_ms, recent_range
-from vitalflow.operators.ordered import BLOCK_ROWS, blocks, running_before
+from vitalflow.operators.ordered import (
+    fold_runs,
+    hand_on,
+    in_runs,
+    key_so_far,
+    running_before,
+    with_carry,
+)
 from vitalflow.session import staged
 
 
@@ -35,37 +46,89 @@ def lag_by_source(
     )
 
 
-def _in_blocks(
-    checks: DataFrame, key: str, order: str, limit_s: float, resume_share: float, block_rows: int
-) -> tuple[DataFrame, WindowSpec]:
-    """Checks with what can be told inside their block, and the window that told it.
-
-    `_run` counts the breaches since the last reset in the block, or since the block began.
-    """
+def _flagged(checks: DataFrame, limit_s: float, resume_share: float) -> DataFrame:
     lag = F.col("latency_s")
     healthy = F.coalesce(F.col("healthy"), F.lit(False))
     late = F.coalesce(lag > limit_s, F.lit(False))
     resumes = F.coalesce((lag != 0) & (lag < limit_s * resume_share), F.lit(False))
-    flagged = checks.withColumns(
+    return checks.withColumns(
         {
             "breach": ~healthy | late,
             "reset": healthy & ~late & lag.isNotNull(),
             "_stop": healthy & resumes,
-            "_block": blocks(checks, order, block_rows),
         }
-    ).filter(F.col(key).isNotNull() & F.col("_block").isNotNull())
-    so_far = (
-        Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     )
-    counted = flagged.withColumns(
+
+
+def _told(
+    checks: DataFrame, key: str, order: str, limit_s: float, resume_share: float, violations: int
+) -> DataFrame:
+    """Checks with what their partition tells of the machine, and what earlier ones hand on.
+
+    `_run` counts the breaches since the last reset in the partition, or since it began;
+    `_opening` is the largest such count before its first reset, to which the breaches of earlier
+    partitions add up. `_fired` and `_stopped` say whether the partition has set or cleared the
+    mode. `_open`, `_mode` and `_stretch` are the breaches still counted, the mode and the number
+    of resets when the partition begins.
+    """
+
+    def compute(columns: Mapping[str, pa.ChunkedArray], starts: np.ndarray) -> dict[str, object]:
+        def flag(name: str) -> np.ndarray:
+            return columns[name].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
+
+        def newest(places: np.ndarray, where: np.ndarray) -> np.ndarray:
+            """The largest of `places` so far in the run among the rows marked, else -1."""
+            marked = pa.chunked_array([pa.array(np.where(where, places, -1))])
+            return fold_runs(marked, starts, "max")[1].to_numpy(zero_copy_only=False)
+
+        def total(where: np.ndarray) -> np.ndarray:
+            counts = pa.chunked_array([pa.array(where.astype(np.int64))])
+            return fold_runs(counts, starts, "sum")[1].to_numpy(zero_copy_only=False)
+
+        def before(values: np.ndarray) -> pa.Array:
+            first = np.zeros(len(values), dtype=bool)
+            first[starts] = True
+            return pa.array(np.roll(values, 1), mask=first)
+
+        breaches, resets = total(flag("breach")), total(flag("reset"))
+        run = breaches - np.maximum(newest(breaches, flag("reset")), 0)
+        rows = np.arange(len(run))
+        opening = np.maximum(newest(run, resets == 0), 0)
+        last_stop, last_start = newest(rows, flag("_stop")), newest(rows, run >= violations)
+        fired, stopped = last_start > last_stop, last_stop >= 0
+        return {
+            "_run": run, "_resets": resets, "_opening": opening, "_fired": fired,
+            "_stopped": stopped, "_was_opening": before(opening), "_was_fired": before(fired),
+            "_was_stopped": before(stopped),
+        }
+
+    counts, flags = ("_run", "_resets", "_opening", "_was_opening"), ("_fired", "_stopped")
+    fields = [T.StructField(n, T.LongType()) for n in counts] + [
+        T.StructField(p + n, T.BooleanType()) for n in flags for p in ("", "_was")
+    ]
+    flagged = _flagged(checks, limit_s, resume_share)
+    rows = in_runs(flagged, [key], [order], compute, fields, "monitor")
+
+    so_far = key_so_far([key])
+    ends = rows.filter("_end").withColumn("_all", F.sum("_run").over(so_far))
+    # a partition with a reset starts the count anew with its own tail
+    base = F.max(F.when(F.col("_resets") > 0, F.col("_all") - F.col("_run"))).over(so_far)
+    ends = ends.withColumn("_open", F.col("_all") - F.coalesce(base, F.lit(0)))
+    opened = F.coalesce(
+        F.lag("_open").over(Window.partitionBy(key).orderBy("_part")), F.lit(0)
+    )
+    # what a partition makes of the mode: sets it, clears it, or (null) leaves it as it was
+    sets = F.col("_fired") | (~F.col("_stopped") & (F.col("_opening") + opened >= violations))
+    ends = ends.withColumn("_effect", F.when(sets, True).when(F.col("_stopped"), False))
+    ends = ends.withColumns(
         {
-            "_breaches": F.sum(F.col("breach").cast("bigint")).over(so_far),
-            "_resets": F.sum(F.col("reset").cast("bigint")).over(so_far),
+            "_mode": F.last("_effect", ignorenulls=True).over(so_far),
+            "_stretch": F.sum("_resets").over(so_far),
         }
     )
-    at_reset = F.max(F.when(F.col("reset"), F.col("_breaches"))).over(so_far)
-    run = F.col("_breaches") - F.coalesce(at_reset, F.lit(0))
-    return counted.withColumn("_run", run), so_far
+    nothing = {"_open": F.lit(0), "_mode": F.lit(False), "_stretch": F.lit(0)}
+    joined = with_carry(rows, [key], hand_on(ends, [key], list(nothing)))
+    return joined.withColumns({c: F.coalesce(c, none) for c, none in nothing.items()})
 
 
 def violation_runs(
@@ -73,21 +136,14 @@ def violation_runs(
     key: str = "pipeline",
     order: str = "seq",
     limit_s: float = S.LAG_LIMIT_S,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `run`, the breaches since the last good check, and `run_id`, the stretch it belongs to.
 
     An unhealthy check or a lag over the limit is a breach. A healthy check without a lag
-    neither adds nor resets.
+    neither adds nor resets. Checks without a key form a pipeline of their own.
     """
-    rows, _ = _in_blocks(checks, key, order, limit_s, S.RESUME_SHARE, block_rows)
-    totals = rows.groupBy(key, "_block").agg(
-        F.max("_resets").alias("_resets"), F.max_by("_run", order).alias("_tail")
-    )
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = totals.withColumn("_stretch", F.coalesce(F.sum("_resets").over(earlier), F.lit(0)))
-    carried = _with_open_run(numbered, key)
-    return rows.join(carried.select(key, "_block", "_stretch", "_open"), [key, "_block"]).select(
+    rows = _told(checks, key, order, limit_s, S.RESUME_SHARE, S.VIOLATIONS)
+    return rows.select(
         *checks.columns,
         "breach",
         "reset",
@@ -96,17 +152,6 @@ def violation_runs(
     )
 
 
-def _with_open_run(totals: DataFrame, key: str) -> DataFrame:
-    """Add `_open` to block summaries: the breaches that are still counted when a block begins."""
-    so_far = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)
-    summed = totals.withColumn("_all", F.sum("_tail").over(so_far))
-    # a block with a reset starts the count anew with its own tail
-    base = F.max(F.when(F.col("_resets") > 0, F.col("_all") - F.col("_tail"))).over(so_far)
-    counted = summed.withColumn("_after", F.col("_all") - F.coalesce(base, F.lit(0)))
-    previous = F.lag("_after").over(Window.partitionBy(key).orderBy("_block"))
-    return counted.withColumn("_open", F.coalesce(previous, F.lit(0)))
-
-
 def fallback_state(
     checks: DataFrame,
     key: str = "pipeline",
@@ -114,61 +159,25 @@ def fallback_state(
     limit_s: float = S.LAG_LIMIT_S,
     violations: int = S.VIOLATIONS,
     resume_share: float = S.RESUME_SHARE,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `violation_count` and `in_fallback` after each check, and `was_fallback` before it.
 
     `violations` breaches with no reset between them start the fallback. A healthy check with a
     non-zero lag under `limit_s * resume_share` ends it and clears the count; breaches during
-    the fallback count for nothing.
+    the fallback count for nothing. Checks without a key form a pipeline of their own.
     """
-    base, so_far = _in_blocks(checks, key, order, limit_s, resume_share, block_rows)
-    place = F.col(order)
-    rows = base.withColumns(
-        {
-            "_last_stop": F.max(F.when(F.col("_stop"), place)).over(so_far),
-            "_last_start": F.max(F.when(F.col("_run") >= violations, place)).over(so_far),
-            # breaches before the block's first reset, to which those of earlier blocks add up
-            "_opening": F.max(F.when(F.col("_resets") == 0, F.col("_run"))).over(so_far),
-        }
-    )
-    fired = F.col("_last_start").isNotNull() & (
-        F.col("_last_stop").isNull() | (F.col("_last_start") > F.col("_last_stop"))
-    )
-    rows = rows.withColumn("_fired", fired).withColumn("_stopped", F.col("_last_stop").isNotNull())
-    step = Window.partitionBy(key, "_block").orderBy(order)
-    rows = rows.withColumns(
-        {f"_was{c}": F.lag(c).over(step) for c in ("_fired", "_stopped", "_opening")}
-    )
-
-    totals = rows.groupBy(key, "_block").agg(
-        F.max("_resets").alias("_resets"),
-        F.max_by("_run", order).alias("_tail"),
-        F.max("_opening").alias("_opening"),
-        F.max_by("_fired", order).alias("_fired"),
-        F.max_by("_stopped", order).alias("_stopped"),
-    )
-    opened = _with_open_run(totals, key)
-    # what a block makes of the mode: sets it, clears it, or (null) leaves it as it was
-    sets = F.col("_fired") | (
-        ~F.col("_stopped") & (F.coalesce("_opening", F.lit(0)) + F.col("_open") >= violations)
-    )
-    effect = F.when(sets, True).when(F.col("_stopped"), False)
-    earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    mode = F.coalesce(F.last(effect, ignorenulls=True).over(earlier), F.lit(False))
-    carried = opened.select(key, "_block", "_open", mode.alias("_mode"))
+    rows = _told(checks, key, order, limit_s, resume_share, violations)
 
     def mode_after(fired: Column, stopped: Column, opening: Column) -> Column:
-        reached = F.coalesce(opening, F.lit(0)) + F.col("_open") >= violations
+        reached = opening + F.col("_open") >= violations
         return fired | (~stopped & (F.col("_mode") | reached))
 
-    joined = rows.join(carried, [key, "_block"])
     after = mode_after(F.col("_fired"), F.col("_stopped"), F.col("_opening"))
     before = F.when(F.col("_was_fired").isNull(), F.col("_mode")).otherwise(
         mode_after(F.col("_was_fired"), F.col("_was_stopped"), F.col("_was_opening"))
     )
     run = F.col("_run") + F.when(F.col("_resets") == 0, F.col("_open")).otherwise(0)
-    return joined.select(
+    return rows.select(
         *checks.columns,
         before.alias("was_fallback"),
         after.alias("in_fallback"),
@@ -181,7 +190,6 @@ def mode_timeline(
     key: str = "pipeline",
     order: str = "seq",
     time_us: str = "check_us",
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One row per change of mode: TRIGGER or RESUME, until when, and for how long.
 
@@ -194,7 +202,6 @@ def mode_timeline(
         changes,
         [key],
         [F.col(order).desc()],
-        -blocks(changes, order, block_rows),
         until_us=("min", F.col(time_us)),
     )
     return backwards.select(
@@ -223,7 +230,6 @@ def dual_path_points(
     primary: DataFrame,
     fallback: DataFrame,
     timeline: DataFrame,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """All primary points, and the fallback points of times in fallback mode.
 
@@ -244,7 +250,6 @@ def dual_path_points(
         marked,
         [],
         ["time_ms", "_kind", "_at"],
-        blocks(marked, "time_ms", block_rows),
         _last=("max", F.when(F.col("_kind") == 0, F.col("_at") * 2 + F.col("_mode"))),
     )
     during = carried.filter((F.col("_kind") == 1) & (F.pmod("_last", F.lit(2)) == 1))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
-from vitalflow.operators.ordered import BLOCK_ROWS, blocks, position, top_per_key
+from vitalflow.operators.ordered import position, top_per_key
 
 
 def _newest_first(order: Sequence[str]) -> list[Column]:
@@ -74,11 +74,11 @@ def disagreement_log(
 
 
 def numbered(
-    df: DataFrame, order: str = "seq", name: str = "pos", block_rows: int = BLOCK_ROWS
+    df: DataFrame, order: str = "seq", name: str = "pos"
 ) -> DataFrame:
     """Add each reading's 0-based position in its person's file order; rows without id are left out."""
     known = df.filter(F.col("id").isNotNull())
-    return position(known, ["id"], [order], blocks(known, order, block_rows), name)
+    return position(known, ["id"], [order], name)
 
 
 def synthetic_clock(
@@ -86,10 +86,9 @@ def synthetic_clock(
     start_us: int,
     order: str = "seq",
     step_ms: int = S.EVENT_STEP_MS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Replace the time by start + position * step, per person in file order."""
-    placed = numbered(df, order, "pos", block_rows)
+    placed = numbered(df, order, "pos")
     return with_clock(placed, start_us, step_ms).drop("pos")
 
 
@@ -106,11 +105,10 @@ def replay_batches(
     order: str = "seq",
     per_person: int = S.EVENTS_PER_SEND,
     step_ms: int = S.EVENT_STEP_MS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Sends of `per_person` readings a person; the send in which the first file ends is the last."""
     batch = F.floor(F.col("pos") / F.lit(per_person)).cast("bigint")
-    placed = numbered(df, order, "pos", block_rows).withColumn("batch", batch)
+    placed = numbered(df, order, "pos").withColumn("batch", batch)
     sizes = df.filter(F.col("id").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
     last = sizes.agg(F.floor(F.min("n") / F.lit(per_person)).cast("bigint"))
     return with_clock(placed.filter(F.col("batch") <= last.scalar()), start_us, step_ms)

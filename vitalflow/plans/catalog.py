@@ -16,7 +16,7 @@ from vitalflow.functions import scalars as fn
 from vitalflow.models import boosted, scoring
 from vitalflow.operators import aggregates as agg
 from vitalflow.operators import batching, control, filters, metrics, timeseries, windows
-from vitalflow.operators.ordered import blocks, position
+from vitalflow.operators.ordered import position
 from vitalflow.plans import datasets as data
 from vitalflow.session import fresh_path, staged
 from vitalflow.sources import files, points as pts, records, streams
@@ -718,7 +718,7 @@ def late_drop(spark: SparkSession, sf: str) -> DataFrame:
 def count_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Batches of a thousand records, by position in the log."""
     rows = data.sensors(spark, sf)
-    placed = position(rows, [], ["seq"], blocks(rows, "seq"), "pos")
+    placed = position(rows, [], ["seq"], "pos")
     batch = F.floor(F.col("pos") / S.BATCH_RECORDS).cast("bigint")
     return placed.select("seq", "id", batch.alias("batch"))
 

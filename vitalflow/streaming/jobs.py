@@ -13,7 +13,7 @@ from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import Model, with_default
 from vitalflow.operators.aggregates import batch_average, window_average
 from vitalflow.operators.control import fallback_state
-from vitalflow.operators.ordered import BLOCK_ROWS, blocks, running_before
+from vitalflow.operators.ordered import running_before
 from vitalflow.sources.points import fallback_points, primary_points, write_points
 
 
@@ -168,7 +168,6 @@ def late_rows(
     event_us: str = "us",
     window_ms: int = S.WINDOW_MS,
     delay_ms: int = S.ALLOWED_DELAY_MS,
-    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add `late`: whether a stream reading these batches in order drops the row.
 
@@ -177,7 +176,7 @@ def late_rows(
     """
     newest = replay.groupBy(batch).agg(F.max(event_us).alias("_newest"))
     up_to = running_before(
-        newest, [], [batch], blocks(newest, batch, block_rows), _seen=("max", F.col("_newest"))
+        newest, [], [batch], _seen=("max", F.col("_newest"))
     )
     # the running value before batch b + 1 is that of batches up to b; it filters batch b + 2
     marks = up_to.select(

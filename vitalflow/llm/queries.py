@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, mixing, near_dedup
-from vitalflow.llm.common import documents
+from vitalflow.llm import exact_dedup, mixing, near_dedup, quality
+from vitalflow.llm.common import documents, labels
 
 
 def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -31,10 +31,15 @@ def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_scores(documents(spark, sf), labels(spark, sf))
+
+
 QUERIES = {
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
+    "op5_quality": op5_quality,
 }
 
 OP2_SQL = r"""

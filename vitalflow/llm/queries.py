@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, mixing, near_dedup, quality
+from vitalflow.llm import exact_dedup, mixing, near_dedup, pieces, quality
 from vitalflow.llm.common import documents, labels
 
 
@@ -35,11 +36,16 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(documents(spark, sf), labels(spark, sf))
 
 
+def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, sf), public_tokenizers.path(pieces.MODEL))
+
+
 QUERIES = {
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
+    "op8_pieces": op8_pieces,
 }
 
 OP2_SQL = r"""

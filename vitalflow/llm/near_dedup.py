@@ -27,7 +27,7 @@ from vitalflow.llm import words
 from vitalflow.llm.common import numbered_rows
 from vitalflow.session import staged
 
-WIDTH = 3
+WIDTH = 4
 MISS = 5e-5
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, mixing, near_dedup, pieces, quality
+from vitalflow.llm import exact_dedup, mixing, near_dedup, pieces, quality, toxicity
 from vitalflow.llm.common import documents, labels
 
 
@@ -40,12 +40,17 @@ def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf), public_tokenizers.path(pieces.MODEL))
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxic_scores(documents(spark, sf), labels(spark, sf))
+
+
 QUERIES = {
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op8_pieces": op8_pieces,
+    "op9_toxicity": op9_toxicity,
 }
 
 OP2_SQL = r"""

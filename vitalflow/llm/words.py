@@ -60,31 +60,64 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         row = end
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words, first word of each document and the end) of one chunk."""
+def _runs(
+    data: np.ndarray, offsets: np.ndarray, inside: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of marked bytes start and end; no run crosses a document's bounds."""
     n = len(data)
-    if lower:
-        data = _LOWER[data]
-    inside = _IS_WORD[data]
     before = np.zeros(n + 1, dtype=bool)
     before[1:] = inside
+    starts = inside & ~before[:-1]
     begins = offsets[:-1][offsets[:-1] < n]
-    starts_at = inside & ~before[:-1]
-    starts_at[begins] = inside[begins]
-    starts = np.flatnonzero(starts_at)
-    after = np.zeros(n + 1, dtype=bool)
-    after[:-1] = inside
-    ends_at = inside & ~after[1:]
+    starts[begins] = inside[begins]
+    ends = inside.copy()
+    ends[: n - 1] &= ~inside[1:]
     closes = offsets[1:][offsets[1:] > 0] - 1
-    ends_at[closes] = inside[closes]
-    ends = np.flatnonzero(ends_at) + 1
-    up, down = _power_tables(n + 1)
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+    ends[closes] = inside[closes]
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
+
+
+def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of bytes times powers, and the inverse powers."""
+    up, down = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    return sums, down
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, first word of each document and the end) of one chunk."""
+    if lower:
+        data = _LOWER[data]
+    starts, ends = _runs(data, offsets, _IS_WORD[data])
+    sums, down = _sums(data)
     hashes = scrambled((sums[ends] - sums[starts]) * down[starts])
     return hashes, np.searchsorted(starts, offsets)
 
 
+def word_beginnings(
+    data: np.ndarray, offsets: np.ndarray, marked: np.ndarray, lengths: tuple[int, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words, as runs of `marked` bytes in lower case, and of their first bytes.
+
+    A word longer than one of `lengths` also has the hash of so many bytes, told apart from a whole
+    word's. With the first of each document and the end.
+    """
+    data = _LOWER[data]
+    starts, ends = _runs(data, offsets, marked[data])
+    sums, down = _sums(data)
+    hashes = [scrambled((sums[ends] - sums[starts]) * down[starts])]
+    of = [starts]
+    for k in lengths:
+        long = starts[ends - starts > k]
+        cut = scrambled((sums[long + k] - sums[long]) * down[long] + np.uint64(k))
+        hashes.append(scrambled(cut))
+        of.append(long)
+    place = np.concatenate(of)
+    order = np.argsort(place, kind="stable")
+    return np.concatenate(hashes)[order], np.searchsorted(place[order], offsets)
+
+
 def shingles(hashes: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingle hashes, sorted per document; first one of each document and the end).
 

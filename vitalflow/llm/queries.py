@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, mixing, near_dedup, pieces, quality, toxicity
+from vitalflow.llm import exact_dedup, fingerprints, mixing, near_dedup, pieces, quality, toxicity
 from vitalflow.llm.common import documents, labels
 
 
+def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf))
+
+
 def op2_mix(spark: SparkSession, sf: str) -> DataFrame:
     plan = mixing.mix_plan(documents(spark, sf))
     return plan.select(
@@ -45,6 +49,7 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_mix": op2_mix,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,

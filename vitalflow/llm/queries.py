@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, fingerprints, mixing, near_dedup, pieces, quality, toxicity
+from vitalflow.llm import exact_dedup, fingerprints, mixing, near_dedup, pieces, quality, token_files, toxicity
 from vitalflow.llm.common import documents, labels
+from vitalflow.session import fresh_path
 
 
 def op1_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,6 +41,13 @@ def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(documents(spark, sf), labels(spark, sf))
 
 
+def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fresh_path(spark, "tokens")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    files = token_files.write_token_files(documents(spark, sf), tokenizer, folder)
+    return token_files.token_file_sums(files, folder)
+
+
 def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf), public_tokenizers.path(pieces.MODEL))
 
@@ -54,6 +62,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
+    "op6_token_files": op6_token_files,
     "op8_pieces": op8_pieces,
     "op9_toxicity": op9_toxicity,
 }

@@ -51,6 +51,8 @@ def first_rows(content: DataFrame, path: str, files_per_batch: int) -> DataFrame
     spark_settings = {
         "spark__sql__streaming__stateStore__providerClass": ROCKSDB,
         "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+        # else every store sets 4 MB aside, however small its share of the digests
+        "spark__sql__streaming__stateStore__rocksdb__allowFAllocate": "false",
     }
     with settings(spark, **spark_settings):
         query = (

@@ -6,8 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalflow.llm import exact_dedup, fingerprints, mixing, near_dedup, pieces, quality, token_files, toxicity
-from vitalflow.llm.common import documents, labels
+from vitalflow.llm import (
+    archives,
+    exact_dedup,
+    fingerprints,
+    html_text,
+    mixing,
+    near_dedup,
+    pieces,
+    quality,
+    token_files,
+    toxicity,
+)
+from vitalflow.llm.common import documents, labels, pages
 from vitalflow.session import fresh_path
 
 
@@ -48,6 +59,10 @@ def op6_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_file_sums(files, folder)
 
 
+def op7_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract_pages(pages(spark, sf))
+
+
 def op8_pieces(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.encode_documents(documents(spark, sf), public_tokenizers.path(pieces.MODEL))
 
@@ -56,6 +71,12 @@ def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxic_scores(documents(spark, sf), labels(spark, sf))
 
 
+def op10_archives(spark: SparkSession, sf: str) -> DataFrame:
+    folder = fresh_path(spark, "archives")
+    files = archives.write_archives(pages(spark, sf), folder)
+    return archives.read_archives(files, folder).drop("url")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_mix": op2_mix,
@@ -63,8 +84,10 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_quality": op5_quality,
     "op6_token_files": op6_token_files,
+    "op7_html_text": op7_html_text,
     "op8_pieces": op8_pieces,
     "op9_toxicity": op9_toxicity,
+    "op10_archives": op10_archives,
 }
 
 OP2_SQL = r"""
@@ -143,4 +166,22 @@ select doc_id, n::bigint as n_shingles, component_id, doc_id = component_id as k
 from sized join smallest using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_mix": OP2_SQL, "op3_exact_dedup": OP3_SQL, "op4_near_dedup": OP4_SQL}
+OP10_SQL = r"""
+with paged as (select page_id, coalesce(html, '') as html from pages),
+kept as (select *, max(page_id) over (partition by html) as keeper, sha1(html) as hex from paged)
+select page_id, strlen(html)::bigint as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(hex, 1 + 10 * (i // 8)::int, 10))::bigint >> (35 - 5 * (i % 8))::int) & 31)::int,
+         1)), '') as payload_digest,
+       case when page_id is distinct from keeper then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from keeper then keeper end as refers_to
+from kept
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_mix": OP2_SQL,
+    "op3_exact_dedup": OP3_SQL,
+    "op4_near_dedup": OP4_SQL,
+    "op10_archives": OP10_SQL,
+}

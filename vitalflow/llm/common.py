@@ -90,7 +90,7 @@ def write_file(folder: str, name: str, data: bytes) -> str:
     path = f"{folder}/{base}-{uuid.uuid4().hex}{dot}{ending}"
     store, inner = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
     store.create_dir(inner.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(inner) as out:
+    with store.open_output_stream(inner, compression=None) as out:
         out.write(data)
     return path
 

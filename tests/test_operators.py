@@ -246,6 +246,10 @@ def test_split_is_exact_per_class(spark):
     assert got == {0: 140, 1: 40, 2: 21}
     again = windows.stratified_split(df.repartition(7), digit_bits=(3, 2, 4))
     assert out.exceptAll(again).count() == 0
+    odd = spark.createDataFrame([(2000, None), (2001, 7)], "seq long, label int")
+    more = windows.stratified_split(df.unionByName(odd))
+    assert more.count() == 1005 and more.filter("is_test is null").count() == 2
+    assert more.filter("is_test").exceptAll(out.filter("is_test")).count() == 0
     assert windows.stratified_split(df, test_share=0.0).filter("is_test").count() == 0
     assert windows.stratified_split(df, test_share=1.0).filter("is_test").count() == 1003
 
@@ -259,6 +263,16 @@ def test_report_with_class_never_predicted(spark):
     assert report["macro avg"].recall == pytest.approx(1 / 3)
     matrix = {r.label: r for r in metrics.confusion_matrix(df).collect()}
     assert matrix[2].predicted_0 == 1 and matrix[2].predicted_2 == 0
+    odd = spark.createDataFrame([(0, 2), (None, 1), (9, 0), (1, None)], "label int, prediction int")
+    matrix = {r.label: tuple(r)[1:] for r in metrics.confusion_matrix(odd).collect()}
+    assert matrix == {0: (0, 0, 1), 1: (0, 0, 0), 2: (0, 0, 0)}
+
+
+def test_logloss_leaves_out_rows_it_cannot_judge(spark):
+    rows = [(0, 0.5, 0.3, 0.2), (None, 0.1, 0.1, 0.8), (7, 0.1, 0.1, 0.8), (1, 0.5, None, 0.5)]
+    df = spark.createDataFrame(rows, "label int, p0 double, p1 double, p2 double")
+    assert metrics.multi_logloss(df).first().logloss == pytest.approx(0.6931471805599453)
+    assert metrics.multi_logloss(df.filter("label = 7")).first().logloss is None
 
 
 def test_fill_emits_every_bucket_of_known_series(spark):
@@ -272,8 +286,10 @@ def test_fill_emits_every_bucket_of_known_series(spark):
     assert got[("b", 120_000)] == 7.0
     counts = timeseries.count_by_bucket(points, "HR", ["id"], 180_000, as_of=240_000)
     assert {r.value for r in counts.collect()} == {0, 1, 2}
-    with pytest.raises(ValueError):
-        timeseries.mean_by_bucket(points, "HR", ["id"], range_ms=10**9, step_ms=1, as_of=0)
+    few = points.filter("id = 'b'")
+    wide = timeseries.mean_by_bucket(few, "HR", ["id"], range_ms=1_300_000, step_ms=1, as_of=1_300_000)
+    told = wide.agg(F.count("*"), F.count_distinct("bucket_ms"), F.min("bucket_ms"), F.max("bucket_ms"), F.count("value"))
+    assert tuple(told.first()) == (1_300_001, 1_300_001, 0, 1_300_000, 1)
 
 
 def test_processing_lag_without_recent_points(spark):

@@ -69,11 +69,24 @@ def test_late_rows_are_dropped_one_batch_later(spark, tmp_path):
         op.numRowsDroppedByWatermark for p in query.recentProgress for op in p.stateOperators
     )
     assert dropped == 1
-    rows = [(b, int(t * 1_000_000)) for b, times in enumerate(batches) for t in times]
-    replay = spark.createDataFrame(rows, "batch long, us long")
-    kept, late = jobs.split_late(replay)
-    assert [(r.batch, r.us) for r in late.collect()] == [(2, 4_900_000)]
-    assert kept.count() == len(rows) - 1
+
+
+def test_numbered_batches_over_micro_batches_are_averaged_once(spark, tmp_path):
+    log = Log(spark, tmp_path)
+    log.add([("a", 1.0, 80.0), ("a", 2.0, 90.0), ("a", 11.0, 60.0)])
+    log.add([("a", 12.0, 70.0), ("a", 21.0, 50.0)])
+    log.add([("a", 22.0, 70.0)])
+    batch = F.floor(F.unix_seconds(F.to_timestamp("datetime")) / 10).cast("bigint")
+    path, open_path = str(tmp_path / "points"), str(tmp_path / "open")
+    run = jobs.start_fallback(
+        log.read(), RULE, path, str(tmp_path / "progress"), batch, open_path=open_path
+    )
+    run.awaitTermination()
+    jobs.finish_fallback(spark, RULE, path, open_path, run.lastProgress["batchId"])
+    got = sorted((r.time_ms, r.HR) for r in pts.read_points(spark, path).collect())
+    assert got == [(2_000, 85.0), (12_000, 65.0), (22_000, 60.0)]
+    with pytest.raises(ValueError):
+        jobs.start_fallback(log.read(), RULE, path, str(tmp_path / "other"), batch)
 
 
 def test_stop_and_restart_loses_and_repeats_nothing(spark, tmp_path):
@@ -109,8 +122,12 @@ def test_latest_reader_skips_older_files(spark, tmp_path):
     log.add([("a", 1.0, 80.0)])
     there = spark.read.parquet(f"{tmp_path}/log").select("_metadata.file_modification_time")
     started = there.agg(F.max(F.unix_millis("file_modification_time"))).first()[0]
+    names = spark.read.parquet(f"{tmp_path}/log").select("_metadata.file_path").distinct()
+    seen = [r.file_path for r in names.collect()]
     log.add([("a", 2.0, 81.0)])
-    stream = streams.read_stream_latest_bounded(spark, f"{tmp_path}/log", S.SENSOR_RECORD, started)
+    stream = streams.read_stream_latest_bounded(
+        spark, f"{tmp_path}/log", S.SENSOR_RECORD, started, there=seen
+    )
     jobs.start_files(stream, f"{tmp_path}/out", f"{tmp_path}/progress").awaitTermination()
     assert [r.HR for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [81.0]
 
@@ -140,7 +157,7 @@ def test_mode_state_survives_restarts(spark, tmp_path):
 
 
 def test_remote_scoring_keeps_order_and_defaults(spark):
-    def ask(request):
+    def ask(request, timeout_s):
         import time
 
         hr = float(request.split("hr=")[1].split("&")[0])
@@ -159,6 +176,22 @@ def test_remote_scoring_keeps_order_and_defaults(spark):
         scoring.score_remote(df, ask).collect()
 
 
+def test_stuck_calls_hold_up_no_others(spark):
+    def ask(request, timeout_s):
+        import time
+
+        hr = int(float(request.split("hr=")[1].split("&")[0]))
+        if hr < 25:
+            time.sleep(20)
+        return f'{{"stress_level_prediction": "{hr % 2 * 2}"}}'
+
+    rows = [(1.0, 1.0, 1.0, 1.0, float(i), 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in S.SENSORS)).coalesce(1)
+    got = scoring.score_remote(df, ask, timeout_s=1.0, in_flight=20, default=1).collect()
+    want = {i: 1 if i < 25 else i % 2 * 2 for i in range(60)}
+    assert {int(r.HR): r.stress_level for r in got} == want
+
+
 def test_count_or_time_trigger():
     assert streams.count_or_time_trigger() == {
         "max_offsets": 1000, "min_offsets": 1000, "max_delay": "30s",

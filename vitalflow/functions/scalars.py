@@ -84,9 +84,11 @@ def nan_as_null(value: ColumnOrName) -> Column:
 
 
 def empty_as_null(text: ColumnOrName, dtype: str = "double") -> Column:
-    """Empty text is a missing reading; other text must be a number."""
+    """Empty text is a missing reading; other text must be a number, else the query fails."""
     c = _col(text)
-    return F.when(c != "", c).try_cast(dtype)
+    number = F.when(c != "", c).try_cast(dtype)
+    wrong = F.raise_error(F.concat(F.lit("not a number: "), c)).cast(dtype)
+    return F.when((c != "") & number.isNull(), wrong).otherwise(number)
 
 
 def stress_label(level: ColumnOrName, default: str = S.UNKNOWN_LABEL) -> Column:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future
 from dataclasses import dataclass
+from threading import Thread
 from typing import Protocol
 
 import pandas as pd
@@ -93,7 +96,7 @@ def complete_only(df: DataFrame, model: Model, out: str = "stress_level") -> Dat
 
 def score_remote(
     df: DataFrame,
-    ask: Callable[[str], str],
+    ask: Callable[[str, float], str],
     out: str = "stress_level",
     timeout_s: float = S.SCORE_TIMEOUT_S,
     in_flight: int = S.SCORE_IN_FLIGHT,
@@ -101,26 +104,25 @@ def score_remote(
     default: int | None = None,
     request: Column | None = None,
 ) -> DataFrame:
-    """Score by calling `ask` with the request text, for models behind an endpoint.
+    """Score by calling `ask` with the request text and the seconds it may take, for models behind
+    an endpoint.
 
     The text has six decimals unless another `request` column is given.
 
-    Each task keeps `in_flight` calls running and emits rows in order. A call that fails or
-    takes longer than `timeout_s` is tried `attempts` times; then the row gets `default`, or
-    the task fails if there is none.
+    Each task keeps `in_flight` calls running, a new one as soon as the oldest is answered, and
+    emits rows in order. A call has `timeout_s` from when it is sent. One that fails or takes longer
+    is tried `attempts` times; then the row gets `default`, or the task fails if there is none. A
+    call that outlives its time holds up no other: its place is given away.
     """
     asked = df.withColumn("_request", fn.feature_text() if request is None else request)
     schema = T.StructType([*df.schema.fields, T.StructField("_body", T.StringType())])
     kept = df.columns
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with ThreadPoolExecutor(in_flight) as pool:
-            for frame in frames:
-                bodies = _ordered_calls(
-                    pool, ask, list(frame["_request"]), timeout_s, in_flight, attempts,
-                    default is not None,
-                )
-                yield frame[kept].assign(_body=bodies)
+        for frame in frames:
+            requests = list(frame["_request"])
+            bodies = _ordered_calls(ask, requests, timeout_s, in_flight, attempts, default is not None)
+            yield frame[kept].assign(_body=bodies)
 
     answered = asked.mapInPandas(run, schema)
     level = fn.parse_prediction("_body")
@@ -130,30 +132,44 @@ def score_remote(
 
 
 def _ordered_calls(
-    pool: ThreadPoolExecutor,
-    ask: Callable[[str], str],
+    ask: Callable[[str, float], str],
     requests: Sequence[str],
     timeout_s: float,
     in_flight: int,
     attempts: int,
     may_fail: bool,
 ) -> list[str | None]:
+    """Answers in the order of the requests, None where all attempts failed."""
+
+    def send(request: str) -> tuple[Future, float]:
+        call: Future = Future()
+
+        def work() -> None:
+            try:
+                call.set_result(ask(request, timeout_s))
+            except BaseException as e:  # noqa: BLE001 - handed to whoever waits
+                call.set_exception(e)
+
+        Thread(target=work, daemon=True).start()
+        return call, time.monotonic() + timeout_s
+
+    def answer(request: str, call: Future, deadline: float) -> str | None:
+        for attempt in range(attempts):
+            try:
+                return call.result(timeout=max(0.0, deadline - time.monotonic()))
+            except Exception:  # noqa: BLE001 - a refused or late call counts the same
+                if attempt + 1 < attempts:
+                    call, deadline = send(request)
+                elif not may_fail:
+                    raise
+        return None
+
     bodies: list[str | None] = []
-    for first in range(0, len(requests), in_flight):
-        group = requests[first : first + in_flight]
-        calls = [pool.submit(ask, r) for r in group]
-        for request, call in zip(group, calls):
-            bodies.append(_answer(pool, ask, request, call, timeout_s, attempts, may_fail))
+    running: deque[tuple[str, Future, float]] = deque()
+    for request in requests:
+        if len(running) >= in_flight:
+            bodies.append(answer(*running.popleft()))
+        running.append((request, *send(request)))
+    while running:
+        bodies.append(answer(*running.popleft()))
     return bodies
-
-
-def _answer(pool, ask, request, call, timeout_s, attempts, may_fail) -> str | None:
-    for attempt in range(attempts):
-        try:
-            return call.result(timeout=timeout_s)
-        except Exception:  # noqa: BLE001 - a refused or late call counts the same
-            if attempt + 1 < attempts:
-                call = pool.submit(ask, request)
-            elif not may_fail:
-                raise
-    return None

@@ -84,10 +84,17 @@ def describe_series(
     tags: Sequence[str] = ("id", "source"),
     fields: Sequence[str] = (*S.SENSORS, "stress_level"),
 ) -> DataFrame:
-    """Tag and field keys that hold data, with type, values present and distinct tag values."""
+    """Tag and field keys that hold data, with type, values present and distinct tag values.
+
+    Counted per series first, so the distinct counts see a row per series only.
+    """
     types = dict(points.dtypes)
-    counts = points.agg(
-        *[F.count(c).alias(f"n_{c}") for c in (*tags, *fields)],
+    series = points.groupBy(*tags).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"n_{c}") for c in fields]
+    )
+    counts = series.agg(
+        *[F.sum(F.when(F.col(c).isNotNull(), F.col("_n")).otherwise(0)).alias(f"n_{c}") for c in tags],
+        *[F.sum(f"n_{c}").alias(f"n_{c}") for c in fields],
         *[F.count_distinct(c).alias(f"d_{c}") for c in tags],
     )
     rows = F.array(

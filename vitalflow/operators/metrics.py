@@ -48,11 +48,20 @@ def confusion_matrix(
     prediction: str = "prediction",
     classes: Sequence[int] = S.CLASSES,
 ) -> DataFrame:
-    """One row per true class, one count column per predicted class."""
-    counted = df.groupBy(F.col(label).alias("label")).agg(
-        *[F.count_if(F.col(prediction) == c).alias(f"predicted_{c}") for c in classes]
-    )
-    return counted
+    """One row per class, also one that is never true; one count column per predicted class.
+
+    Rows whose label or prediction is null or another class are left out.
+    """
+    y, p = F.col(label), F.col(prediction)
+    cells = [(a, b) for a in classes for b in classes]
+    sums = df.agg(*[F.count_if((y == a) & (p == b)).alias(f"_{a}_{b}") for a, b in cells])
+    rows = [
+        F.struct(
+            F.lit(a).alias("label"), *[F.col(f"_{a}_{b}").alias(f"predicted_{b}") for b in classes]
+        )
+        for a in classes
+    ]
+    return sums.select(F.inline(F.array(*rows)))
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -126,8 +135,12 @@ def multi_logloss(
     probabilities: Sequence[str] = ("p0", "p1", "p2"),
     floor: float = 1e-15,
 ) -> DataFrame:
-    """Mean -ln of the probability given to the true class."""
+    """Mean -ln of the probability given to the true class.
+
+    Rows whose label is null or none of the classes, or whose probability for it is null, are left
+    out; without other rows the result is null.
+    """
     true_p = F.when(F.lit(False), F.lit(0.0))
     for cls, name in zip(S.CLASSES, probabilities):
         true_p = true_p.when(F.col(label) == cls, F.col(name))
-    return df.agg(F.avg(-F.log(F.greatest(true_p, F.lit(floor)))).alias("logloss"))
+    return df.agg(F.avg(F.when(true_p.isNotNull(), -F.log(F.greatest(true_p, F.lit(floor))))).alias("logloss"))

@@ -14,7 +14,8 @@ from vitalflow import schemas as S
 from vitalflow.operators.filters import Moment, epoch_ms, filter_source, time_range
 
 MINUTE_MS = 60_000
-MAX_BUCKETS = 1_000_000
+#: Buckets of a gap are laid out in steps of so many, so that no array grows with the range.
+GAP_STEP = 1_024
 
 
 def auto_interval(range_ms: int, max_points: int = 5) -> int:
@@ -72,11 +73,9 @@ def fill_buckets(
     """Emit every bucket of the range for each series that has one.
 
     Each row also emits the empty buckets up to the next row of its series, and the first row
-    those before it. That needs the aggregated rows once and no join; a series has at most
-    `MAX_BUCKETS` of them.
+    those before it. That needs the aggregated rows once and no join. A gap of any length is cut
+    into stretches, and those into buckets, as many times as the range needs.
     """
-    if range_ms // step_ms + 1 > MAX_BUCKETS:
-        raise ValueError(f"more than {MAX_BUCKETS} buckets per series; use a wider interval")
     end, step = epoch_ms(as_of), F.lit(step_ms).cast("bigint")
     first = bucket_start(end - F.lit(range_ms).cast("bigint"), step_ms)
     last = bucket_start(end, step_ms)
@@ -87,7 +86,15 @@ def fill_buckets(
             "_until": F.coalesce(F.lead("bucket_ms").over(along) - step, last),
         }
     )
-    spread = placed.withColumn("_at", F.explode(F.sequence("_from", "_until", step)))
+    width, spread = step_ms, placed
+    while range_ms // width >= GAP_STEP:
+        width *= GAP_STEP
+    while width > step_ms:
+        wide = F.lit(width).cast("bigint")
+        spread = spread.withColumn("_from", F.explode(F.sequence("_from", "_until", wide)))
+        spread = spread.withColumn("_until", F.least("_until", F.col("_from") + wide - step))
+        width //= GAP_STEP
+    spread = spread.withColumn("_at", F.explode(F.sequence("_from", "_until", step)))
     empty = F.lit(fill).cast(found.schema["value"].dataType)
     value = F.when(F.col("_at") == F.col("bucket_ms"), F.col("value")).otherwise(empty)
     if fill is not None:

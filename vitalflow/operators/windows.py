@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.operators.ordered import position, top_per_key
+from vitalflow.session import staged
 
 
 def _newest_first(order: Sequence[str]) -> list[Column]:
@@ -120,19 +121,22 @@ def stratified_split(
     key: str = "seq",
     test_share: float = 0.2,
     seed: int = 42,
-    digit_bits: tuple[int, ...] = (10, 10),
+    digit_bits: tuple[int, ...] = (10, 11, 11),
 ) -> DataFrame:
     """Add `is_test`: an exact, repeatable share of each class, by hash order of `key`.
 
     The test set has ceil(share * rows) rows. Each class gets its proportional part, and rows
-    left over by rounding go to the training parts with the largest remainders.
+    left over by rounding go to the training parts with the largest remainders. Rows whose label
+    is null or none of the classes belong to neither part: their `is_test` is null.
 
-    No row is shuffled: the hash at which a class's test part ends is found by counting the
-    leading bits of the hash, then the next ones among rows that share the digits found; only
-    the few rows left are ranked. One cut per class is what the rows are compared with.
+    No row is shuffled: label, key and hash are written once; the hash at which a class's test part
+    ends is found by counting its leading bits, then the next ones among rows that share the digits
+    found, until all bits are; only rows with equal hashes are ranked. One cut per class is what
+    the rows are compared with.
     """
-    known = df.filter(F.col(label).isin(*S.CLASSES))
-    hashed = known.withColumn("_hash", fn.stable_hash(key, seed))
+    known = F.coalesce(F.col(label).isin(*S.CLASSES), F.lit(False))
+    narrow = df.filter(known).select(label, key).withColumn("_hash", fn.stable_hash(key, seed))
+    hashed = staged(narrow, "split-hashes")
     shift = 32 - digit_bits[0]
     sizes = _sizes(hashed, label, [], shift)
     counts = sizes.groupBy(label).agg(F.sum("_n").alias("n"))
@@ -150,9 +154,9 @@ def stratified_split(
         .select(label, F.col("_hash").alias("_cut_hash"), F.col(key).alias("_cut_key"))
     )
     is_test = F.struct("_hash", key) <= F.struct("_cut_hash", "_cut_key")
-    return hashed.join(F.broadcast(cut), label, "left").select(
-        *df.columns, (F.col("_cut_hash").isNotNull() & is_test).alias("is_test")
-    )
+    rows = df.withColumn("_hash", fn.stable_hash(key, seed)).join(F.broadcast(cut), label, "left")
+    told = F.coalesce(F.col("_cut_hash").isNotNull() & is_test, F.lit(False))
+    return rows.select(*df.columns, F.when(known, told).alias("is_test"))
 
 
 def _sizes(rows: DataFrame, label: str, kept: list[str], shift: int) -> DataFrame:

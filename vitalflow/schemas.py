@@ -91,3 +91,5 @@ HEADER_NAMES = {
     "eda": "EDA",
     "label": "Stress_Label",
 }
+# The same headers under the names that the operators use.
+COLUMN_NAMES = {c.lower(): c for c in SENSORS} | {"id": "id", "timestamp": "seq", "label": "label"}

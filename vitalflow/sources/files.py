@@ -6,7 +6,7 @@ import csv
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +41,7 @@ def read_zipped_csv(archives: DataFrame, member: str | None = None) -> DataFrame
     """Rows of the CSV `member` of each archive, as text columns cast to the sensor schema.
 
     `archives` has the columns of the binaryFile source, of which path and content are used.
-    A missing member is an error. With `member` None the archive's own `member` column names
+    A missing member or column is an error, and so is text that is no number. With `member` None the archive's own `member` column names
     it. Archives are read in parallel; one archive is streamed in chunks, not held unpacked.
     """
     wanted = F.lit(member) if member is not None else F.col("member")
@@ -67,7 +67,9 @@ def _unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         raw, dtype=str, keep_default_na=False, chunksize=ROWS_PER_CHUNK
                     )
                     for chunk in chunks:
-                        yield chunk.reindex(columns=names, fill_value="")
+                        if missing := sorted(set(names) - set(chunk.columns)):
+                            raise ValueError(f"{member} in {path} has no column {', '.join(missing)}")
+                        yield chunk[names]
 
 
 def pack_csv(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -103,11 +105,13 @@ def write_csv_per_id(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def canonical_header(name: str) -> str:
+def canonical_header(name: str, names: Mapping[str, str] = S.HEADER_NAMES) -> str:
     """Strip leading marks, case and spaces, then map to the canonical column name."""
     plain = re.sub(r"^[^0-9a-z]+", "", name.strip().lower()).replace(" ", "")
-    return S.HEADER_NAMES.get(plain, plain)
+    return names.get(plain, plain)
 
 
-def normalize_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[canonical_header(c) for c in df.columns])
+def normalize_headers(df: DataFrame, names: Mapping[str, str] = S.HEADER_NAMES) -> DataFrame:
+    """Columns under canonical names: descriptive ones, or with `names=COLUMN_NAMES` those that
+    `drop_incomplete`, the split and the models work on."""
+    return df.toDF(*[canonical_header(c, names) for c in df.columns])

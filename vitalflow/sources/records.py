@@ -1,28 +1,15 @@
-"""Binary sensor records: eight nullable fields, one datum per value, no container.
+"""Binary sensor records: eight nullable fields, one Avro datum per value, no container.
 
-Spark's Avro functions are used where the package is on the class path. Otherwise Arrow batches
-are decoded and encoded column by column: each step handles one field of all records at once.
+Spark's Avro functions do the work; their package must be on the class path.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vitalflow import schemas as S
 
-TEXTS = ("id", "datetime")
-_DECODED = T.StructType(
-    [*S.SENSOR_RECORD.fields, T.StructField("_readable", T.BooleanType())]
-)
-MAX_LENGTH_BYTES = 5
-
 
 def avro_available(spark: SparkSession) -> bool:
     loader = spark.sparkContext._jvm.java.lang.Thread.currentThread().getContextClassLoader()
@@ -33,224 +20,36 @@ def avro_available(spark: SparkSession) -> bool:
     return True
 
 
-def encode_sensor_values(df: DataFrame, use_avro: bool | None = None) -> DataFrame:
+def encode_sensor_values(df: DataFrame) -> DataFrame:
     """Rows to (key, value): the person id as UTF-8 and the binary record."""
-    cast = df.select(*[F.col(f.name).cast(f.dataType) for f in S.SENSOR_RECORD.fields])
-    if avro_available(df.sparkSession) if use_avro is None else use_avro:
-        from pyspark.sql.avro.functions import to_avro
+    from pyspark.sql.avro.functions import to_avro
 
-        value = to_avro(F.struct(*S.SENSOR_RECORD.names), S.AVRO_SCHEMA)
-        return cast.select(F.col("id").cast("binary").alias("key"), value.alias("value"))
-    return cast.mapInArrow(_encode_batches, "key binary, value binary")
+    cast = df.select(*[F.col(f.name).cast(f.dataType) for f in S.SENSOR_RECORD.fields])
+    value = to_avro(F.struct(*S.SENSOR_RECORD.names), S.AVRO_SCHEMA)
+    return cast.select(F.col("id").cast("binary").alias("key"), value.alias("value"))
 
 
 def decode_sensor_values(
-    df: DataFrame, value: str = "value", mode: str = "PERMISSIVE", use_avro: bool | None = None
+    df: DataFrame, value: str = "value", mode: str = "PERMISSIVE"
 ) -> DataFrame:
     """Binary values to the eight columns; unreadable values are skipped, or fail (FAILFAST)."""
-    return _decoded(df, value, mode, use_avro).filter("_readable").drop("_readable")
+    return _read(df, value, mode).filter("_readable").select(*S.SENSOR_RECORD.names)
 
 
-def decode_with_rejects(
-    df: DataFrame, value: str = "value", use_avro: bool | None = None
-) -> tuple[DataFrame, DataFrame]:
+def decode_with_rejects(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """The readable records, and the values that could not be read."""
-    raw = df.select(F.col(value).alias("value"))
-    if avro_available(df.sparkSession) if use_avro is None else use_avro:
-        both = _with_avro(raw, "value", "PERMISSIVE")
-    else:
-        schema = T.StructType([*_DECODED.fields, T.StructField("value", T.BinaryType())])
-        both = raw.mapInArrow(_decoder(keep_value=True, strict=False), schema)
+    both = _read(df, value, "PERMISSIVE")
     good = both.filter("_readable").select(*S.SENSOR_RECORD.names)
     return good, both.filter(~F.col("_readable")).select("value")
 
 
-def _decoded(df: DataFrame, value: str, mode: str, use_avro: bool | None) -> DataFrame:
-    raw = df.select(F.col(value).alias("value"))
-    if avro_available(df.sparkSession) if use_avro is None else use_avro:
-        return _with_avro(raw, "value", mode).drop("value")
-    return raw.mapInArrow(_decoder(keep_value=False, strict=mode == "FAILFAST"), _DECODED)
-
-
-def _with_avro(raw: DataFrame, value: str, mode: str) -> DataFrame:
+def _read(df: DataFrame, value: str, mode: str) -> DataFrame:
     from pyspark.sql.avro.functions import from_avro
 
-    record = from_avro(F.col(value), S.AVRO_SCHEMA, {"mode": mode})
-    read = raw.withColumn("_r", record)
+    raw = df.select(F.col(value).alias("value"))
+    read = raw.withColumn("_r", from_avro(F.col("value"), S.AVRO_SCHEMA, {"mode": mode}))
     return read.select(
         *[F.col(f"_r.{c}").alias(c) for c in S.SENSOR_RECORD.names],
         F.col("_r").isNotNull().alias("_readable"),
-        F.col(value),
+        "value",
     )
-
-
-def _decoder(keep_value: bool, strict: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns, readable = decode_values(batch.column(0))
-            if strict and not readable.all():
-                raise ValueError(f"{int((~readable).sum())} sensor records cannot be read")
-            arrays = [*columns, pa.array(readable)]
-            names = list(_DECODED.names)
-            if keep_value:
-                arrays.append(batch.column(0))
-                names.append("value")
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    return run
-
-
-def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = batch.column(S.SENSOR_RECORD.names.index("id")).cast(pa.binary())
-        yield pa.RecordBatch.from_arrays([keys, encode_values(batch)], ["key", "value"])
-
-
-def decode_values(values: pa.Array) -> tuple[list[pa.Array], np.ndarray]:
-    """Columns of all records in `values`, and which of the records were readable."""
-    values = values.cast(pa.large_binary())
-    n = len(values)
-    bounds = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + n + 1]
-    data = values.buffers()[2]
-    body = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    body = np.concatenate([body, np.zeros(8, np.uint8)])
-    at, end = bounds[:-1].copy(), bounds[1:]
-    ok = ~np.asarray(values.is_null())
-    limit = len(body) - 8
-
-    def branch() -> np.ndarray:
-        """Union branch of the next field: True where a value follows."""
-        tag = body[np.minimum(at, limit)]
-        ok[(at >= end) | ((tag != 0) & (tag != 2))] = False
-        at[:] += 1
-        return ok & (tag == 2)
-
-    columns: list[pa.Array] = []
-    for _ in S.SENSORS:
-        present = branch()
-        ok[present & (at + 4 > end)] = False
-        present &= ok
-        spots = at[present][:, None] + np.arange(4)
-        column = np.zeros(n, np.float32)
-        column[present] = np.ascontiguousarray(body[spots]).view("<f4").ravel()
-        at[present] += 4
-        columns.append(pa.array(column, mask=~present))
-
-    spans = []
-    for _ in TEXTS:
-        present = branch()
-        size = np.zeros(n, np.int64)
-        more = present.copy()
-        for i in range(MAX_LENGTH_BYTES):
-            ok[more & (at >= end)] = False
-            more &= ok
-            byte = body[np.minimum(at, limit)].astype(np.int64)
-            size[more] |= (byte[more] & 0x7F) << (7 * i)
-            at[more] += 1
-            more &= byte >= 0x80
-        ok[more | ((size & 1) == 1)] = False
-        size >>= 1
-        ok[present & (at + size > end)] = False
-        present &= ok
-        size[~present] = 0
-        spans.append((present, at.copy(), size))
-        at += size
-
-    for present, start, size in spans:
-        texts, valid = _texts(body, present & ok, start, np.where(ok, size, 0))
-        ok &= valid
-        columns.append(texts)
-    bad = pa.array(~ok)
-    return [pc.if_else(bad, pa.scalar(None, c.type), c) for c in columns], ok
-
-
-def _texts(
-    body: np.ndarray, present: np.ndarray, start: np.ndarray, size: np.ndarray
-) -> tuple[pa.Array, np.ndarray]:
-    """Text column cut out of `body`, and which rows are valid UTF-8."""
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    spots = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
-    raw = body[spots].tobytes()
-    valid = np.ones(len(size), bool)
-    try:
-        raw.decode("utf-8")
-        # a multi-byte character may still be split between two rows
-        split = (np.frombuffer(raw, np.uint8) & 0xC0) == 0x80
-        first = offsets[:-1][size > 0]
-        suspects = np.flatnonzero(size > 0)[split[first]] if len(first) else np.zeros(0, int)
-        clean = len(suspects) == 0
-    except UnicodeDecodeError:
-        clean = False
-    if not clean:
-        for i in np.flatnonzero(size):
-            try:
-                raw[offsets[i] : offsets[i + 1]].decode("utf-8")
-            except UnicodeDecodeError:
-                valid[i] = False
-        size = np.where(valid, size, 0)
-        return _texts(body, present & valid, start, size)[0], valid
-    mask = pa.array(present).buffers()[1]
-    text = pa.Array.from_buffers(
-        pa.large_string(), len(size), [mask, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw)]
-    )
-    return text.cast(pa.string()), valid
-
-
-def encode_values(batch: pa.RecordBatch) -> pa.Array:
-    """Binary records of all rows of a batch with the eight columns."""
-    n = batch.num_rows
-    parts = []
-    for name in S.SENSORS:
-        column = batch.column(S.SENSOR_RECORD.names.index(name))
-        present = np.asarray(column.is_valid())
-        numbers = np.asarray(column.fill_null(0)).astype("<f4")
-        parts.append((present, np.ascontiguousarray(numbers).view(np.uint8).reshape(n, 4), None))
-    for name in TEXTS:
-        column = batch.column(S.SENSOR_RECORD.names.index(name)).cast(pa.large_binary())
-        present = np.asarray(column.is_valid())
-        column = column.fill_null(b"")
-        bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + n + 1]
-        data = column.buffers()[2]
-        body = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        parts.append((present, body, bounds))
-
-    widths = []
-    for present, _, bounds in parts:
-        if bounds is None:
-            widths.append(np.where(present, 5, 1))
-        else:
-            size = np.diff(bounds)
-            widths.append(np.where(present, 1 + _length_bytes(size) + size, 1))
-    total = np.sum(widths, axis=0) if n else np.zeros(0, np.int64)
-    offsets = np.concatenate([[0], np.cumsum(total)]).astype(np.int64)
-    out = np.zeros(int(offsets[-1]), np.uint8)
-    at = offsets[:-1].copy()
-    for (present, body, bounds), width in zip(parts, widths):
-        out[at[present]] = 2
-        if bounds is None:
-            out[at[present][:, None] + 1 + np.arange(4)] = body[present]
-        else:
-            size = np.diff(bounds)
-            spot, left, more = at + 1, size << 1, present.copy()
-            while more.any():
-                rest = left >> 7
-                out[spot[more]] = ((left & 0x7F) | np.where(rest > 0, 0x80, 0))[more]
-                spot[more] += 1
-                left = rest
-                more &= rest > 0
-            size = np.where(present, size, 0)
-            begin = np.concatenate([[0], np.cumsum(size)])
-            inner = np.arange(begin[-1]) - np.repeat(begin[:-1], size)
-            out[np.repeat(spot, size) + inner] = body[np.repeat(bounds[:-1], size) + inner]
-        at += width
-    return pa.Array.from_buffers(
-        pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(out)]
-    ).cast(pa.binary())
-
-
-def _length_bytes(size: np.ndarray) -> np.ndarray:
-    """Bytes of the variable-length number that carries a text length."""
-    left, count = size << 1, np.ones(len(size), np.int64)
-    while (left := left >> 7).any():
-        count += left > 0
-    return count

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,11 +68,15 @@ def read_stream_latest_bounded(
     schema: T.StructType,
     started_ms: int,
     files_per_batch: int = 1,
+    there: Sequence[str] = (),
 ) -> DataFrame:
     """A second reader that sees only files that arrive after it was started, a few per batch.
 
-    Its progress is its own: give the query its own checkpoint folder.
+    Stores may keep times to the second only: `there` names the files that were there at the start
+    with just that time, and all others of that time are read. Its progress is its own: give the
+    query its own checkpoint folder.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     arrived = F.unix_millis(F.col("_metadata.file_modification_time"))
-    return reader.parquet(path).filter(arrived > started_ms)
+    fresh = reader.parquet(path).filter(arrived >= started_ms)
+    return fresh.filter(~F.col("_metadata.file_path").isin(*there)) if there else fresh

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,6 @@ from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import Model, with_default
 from vitalflow.operators.aggregates import batch_average, window_average
 from vitalflow.operators.control import fallback_state
-from vitalflow.operators.ordered import running_before
 from vitalflow.sources.points import fallback_points, primary_points, write_points
 
 
@@ -89,18 +88,41 @@ def start_fallback(
     checkpoint: str,
     batch: Column | None = None,
     trigger: dict | None = None,
+    open_path: str | None = None,
 ) -> StreamingQuery:
     """Records to scored batch points.
 
     Live, each micro-batch is one batch (see `count_or_time_trigger`). For replays, `batch`
-    numbers the batches inside a larger micro-batch.
+    numbers the batches, which may end inside a micro-batch: the records of the highest number
+    seen are then kept in `open_path` until a higher one arrives, so that every batch is averaged
+    once and whole. Numbers must not go down from one micro-batch to the next. The last batch is
+    written by `finish_fallback`.
     """
-    numbered = records.withColumn("batch", F.lit(0) if batch is None else batch)
+    if batch is not None and open_path is None:
+        raise ValueError("numbered batches need a folder for the records of the open one")
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        write_points(fallback_batch(rows, model), path, batch_id)
+        if batch is None:
+            write_points(fallback_batch(rows.withColumn("batch", F.lit(0)), model), path, batch_id)
+            return
+        spark = rows.sparkSession
+        numbered = rows.withColumn("batch", batch)
+        if batch_id > 0:
+            kept = spark.read.schema(numbered.schema).parquet(f"{open_path}/{batch_id - 1}")
+            numbered = numbered.unionByName(kept)
+        highest = numbered.agg(F.max("batch")).scalar()
+        still_open = numbered.filter(F.col("batch") == highest)
+        still_open.write.mode("overwrite").parquet(f"{open_path}/{batch_id}")
+        closed = numbered.filter(F.col("batch") < highest)
+        write_points(fallback_batch(closed, model), path, batch_id)
+
+    return start_batches(records, write, checkpoint, trigger)
+
 
-    return start_batches(numbered, write, checkpoint, trigger)
+def finish_fallback(spark: SparkSession, model: Model, path: str, open_path: str, last: int) -> None:
+    """Write the batch that was open after micro-batch `last`, when no records will follow."""
+    rows = spark.read.parquet(f"{open_path}/{last}")
+    write_points(fallback_batch(rows, model), path, last + 1)
 
 
 def resume_checks(
@@ -160,37 +182,3 @@ def start_fallback_state(
         after.write.mode("overwrite").parquet(f"{state_path}/{batch_id}")
 
     return start_batches(checks, step, checkpoint, trigger)
-
-
-def late_rows(
-    replay: DataFrame,
-    batch: str = "batch",
-    event_us: str = "us",
-    window_ms: int = S.WINDOW_MS,
-    delay_ms: int = S.ALLOWED_DELAY_MS,
-) -> DataFrame:
-    """Add `late`: whether a stream reading these batches in order drops the row.
-
-    A row is dropped if its window ended by the watermark the filter uses, which is the one
-    from two batches ago: the newest event time up to then, minus the delay.
-    """
-    newest = replay.groupBy(batch).agg(F.max(event_us).alias("_newest"))
-    up_to = running_before(
-        newest, [], [batch], _seen=("max", F.col("_newest"))
-    )
-    # the running value before batch b + 1 is that of batches up to b; it filters batch b + 2
-    marks = up_to.select(
-        (F.col(batch) + 1).alias(batch),
-        F.floor(F.col("_seen") / 1_000).cast("bigint").alias("_seen_ms"),
-    )
-    event_ms = F.floor(F.col(event_us) / 1_000).cast("bigint")
-    window_end = event_ms - F.pmod(event_ms, F.lit(window_ms).cast("bigint")) + window_ms
-    joined = replay.join(marks, batch, "left")
-    late = F.coalesce(window_end <= F.col("_seen_ms") - delay_ms, F.lit(False))
-    return joined.withColumn("late", late).drop("_seen_ms")
-
-
-def split_late(replay: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """Rows a stream keeps, and rows it drops as late."""
-    marked = late_rows(replay, **options)
-    return marked.filter(~F.col("late")), marked.filter("late")

@@ -8,9 +8,12 @@ happens with probability under 2 * (1 - s**width)**groups; `groups` is the small
 brings this under `miss` at the threshold.
 
 Documents with equal sets are one node. In every table the members are first held against the one
-with the smallest number; what is linked becomes one component. Only members of different
-components that meet in a table are then held against each other. So a large group of near copies
-costs a row per member and table, never its square. All links are confirmed on full sets.
+with the smallest number; what is linked becomes one component. Of members of different components
+that meet in a table, those are then held against each other that can be linked at all: sets differ
+in at least as many shingles as their odd sketches (one bit per hash value, turned over by every
+shingle) differ in bits, and two sets that differ in too many cannot be linked. So that filter loses
+nothing, and a large group of near copies makes few pairs beside its links. All links are confirmed
+on full sets.
 """
 
 from __future__ import annotations
@@ -27,8 +30,10 @@ from vitalflow.llm import words
 from vitalflow.llm.common import numbered_rows
 from vitalflow.session import staged
 
-WIDTH = 4
+WIDTH = 3
 MISS = 5e-5
+#: Bits of an odd sketch, in words of 64.
+SKETCH_WORDS = 16
 
 
 def group_count(threshold: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -44,10 +49,11 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[tuple[int, int, np.ndarr
 
 
 def signatures(rows: DataFrame, size: int, groups: int, width: int, seed: int) -> DataFrame:
-    """(row_key, doc_id, n, set_a, set_b, left, right) of rows (row_key, doc_id, text).
+    """(row_key, doc_id, n, set_a, set_b, left, right, odd) of rows (row_key, doc_id, text).
 
     `n` is the size of the set, `set_a` and `set_b` are two sums over it that stand for it;
-    `left` and `right` are the two collections of minhash groups, empty for an empty set.
+    `left` and `right` are the two collections of minhash groups, empty for an empty set; `odd` is
+    the odd sketch.
     """
     draw = np.random.default_rng(seed)
     count = 2 * groups * width
@@ -89,14 +95,38 @@ def signatures(rows: DataFrame, size: int, groups: int, width: int, seed: int) -
                 pa.array(sums[1].view(np.int64)),
                 side(grouped[:groups]),
                 side(grouped[groups:]),
+                _odd_sketches(items, bounds),
             ],
-            ["row_key", "doc_id", "n", "set_a", "set_b", "left", "right"],
+            ["row_key", "doc_id", "n", "set_a", "set_b", "left", "right", "odd"],
         )
 
-    kinds = "row_key long, doc_id long, n long, set_a long, set_b long, left array<long>, right array<long>"
+    kinds = "row_key long, doc_id long, n long, set_a long, set_b long, left array<long>, right array<long>, odd array<long>"
     return rows.mapInArrow(work, kinds)
 
 
+def _odd_sketches(items: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Per set the bits that an odd number of its members have as their leading hash bits."""
+    size = 64 * SKETCH_WORDS
+    at = (items >> np.uint64(64 - (size.bit_length() - 1))).astype(np.int64)
+    out = np.zeros((len(bounds) - 1, size // 8), dtype=np.uint8)
+    for i, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        if b > a:
+            out[i] = np.packbits((np.bincount(at[a:b], minlength=size) & 1).astype(np.uint8))
+    flat = pa.array(out.reshape(-1).view(np.int64))
+    ends = np.arange(0, len(flat) + 1, SKETCH_WORDS, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
+
+
+def _may_link(odd_a: Column, odd_b: Column, n: Column, m: Column, percent: int) -> Column:
+    """False only if the sets differ in too many members to be linked.
+
+    100 * intersection >= percent * union says that the sets differ in at most
+    (100 - percent) / (100 + percent) * (n + m) members, and the sketches differ in no more bits.
+    """
+    apart = sum((F.bit_count(odd_a[k].bitwiseXOR(odd_b[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+    return apart * (100 + percent) <= (n + m) * (100 - percent)
+
+
 def full_sets(rows: DataFrame, size: int) -> DataFrame:
     """(node, items) of rows (node, text): the whole set of each, sorted."""
 
@@ -243,7 +273,8 @@ def near_groups(
     star = staged(star.distinct(), "near-star")
     links = staged(_linked(star, sets, percent), "near-links")
     part = staged(components(links), "near-parts")
-    rest = _across(members, part, star, percent)
+    sketches = signed.select(F.col("row_key").alias("node"), "odd")
+    rest = _across(members, part, star, sketches, percent)
     more = staged(_linked(rest, sets, percent), "near-more")
     whole = components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     whole = staged(whole, "near-components")
@@ -265,20 +296,30 @@ def near_groups(
     )
 
 
-def _across(members: DataFrame, part: DataFrame, star: DataFrame, percent: int) -> DataFrame:
-    """Pairs that meet in a table, lie in different components and were not compared yet."""
+def _across(
+    members: DataFrame, part: DataFrame, star: DataFrame, sketches: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs that meet in a table, lie in different components, can be linked by their sketches and
+    were not compared yet."""
     placed = members.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = staged(placed.select("table_key", "node", "n", "component"), "near-placed")
     several = placed.groupBy("table_key").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low != high").select("table_key")
-    open_rows = staged(placed.join(several, "table_key"), "near-open")
-    a = open_rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in ("node", "n", "component")])
-    b = open_rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in ("node", "n", "component")])
-    met = a.join(b, "table_key").filter(
-        (F.col("node_a") < F.col("node_b"))
+    still = staged(placed.join(several, "table_key"), "near-open")
+    wanted = sketches.join(still.select("node").distinct(), "node")
+    open_rows = staged(still.join(wanted, "node"), "near-sketched")
+    columns = ("node", "n", "component", "odd")
+    a = open_rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = open_rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    n, m = F.col("n_a"), F.col("n_b")
+    met = a.join(
+        b,
+        (a["table_key"] == b["table_key"])
+        & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
-        & _close(F.col("n_a"), F.col("n_b"), percent)
+        & _close(n, m, percent)
+        & _may_link(F.col("odd_a"), F.col("odd_b"), n, m, percent),
     )
     pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     return staged(pairs.join(star, ["a", "b"], "left_anti"), "near-across")

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalflow.llm.common import read_files, settings, text_of, write_file
+from vitalflow.llm.common import make_folder, read_files, settings, text_of, write_file
 from vitalflow.session import staged
 
 # fixed values: header fields of the two versions, and names in WARC files
@@ -298,6 +298,7 @@ def write_archives(
         if records:
             yield close()
 
+    make_folder(folder)
     # small batches: a page may be long
     with settings(pages.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch="200"):
         return staged(rows.mapInArrow(work, "path string, records long"), "archives")

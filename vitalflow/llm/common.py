@@ -78,18 +78,27 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
+def _store(path: str):
+    """(file system, path inside it) of a path or URI, in the driver or a task."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+
+
+def make_folder(folder: str) -> None:
+    store, inner = _store(folder)
+    store.create_dir(inner, recursive=True)
+
+
 def write_file(folder: str, name: str, data: bytes) -> str:
-    """Write one file below a shared folder from inside a task; the path it can be read by.
+    """Write one file into a shared folder from inside a task; the path it can be read by.
 
     The name gets a unique part, so that a repeated or speculative task never touches the file of
     another attempt; readers go by the paths of the attempts that count.
     """
-    from pyarrow import fs
-
     base, dot, ending = name.partition(".")
     path = f"{folder}/{base}-{uuid.uuid4().hex}{dot}{ending}"
-    store, inner = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
-    store.create_dir(inner.rpartition("/")[0], recursive=True)
+    store, inner = _store(path)
     with store.open_output_stream(inner, compression=None) as out:
         out.write(data)
     return path

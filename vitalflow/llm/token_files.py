@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalflow.llm.common import read_files, settings, text_of, worker_cache, write_file
+from vitalflow.llm.common import make_folder, read_files, settings, text_of, worker_cache, write_file
 from vitalflow.operators.ordered import running_before
 from vitalflow.session import staged
 
@@ -275,6 +275,7 @@ def write_token_files(
     schema = pa.schema(
         [("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64())]
     )
+    make_folder(folder)
     rows = known.repartitionByRange(*order).sortWithinPartitions(*order)
     fields = "path string, part int, number int, documents long, ids long"
     return staged(rows.mapInArrow(work, fields), "token-files")

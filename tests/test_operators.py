@@ -307,9 +307,11 @@ def test_plans_push_down_and_prune(spark, tmp_path):
     scan = pts.scan_points(spark, path, S.POINT_MEASUREMENT, 86_400_000, as_of=4 * 86_400_000)
     plan = scan.select("id", "HR")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1][:300]
-    assert "ReadSchema: struct<id:string,time_ms:bigint,HR:double>" in plan
+    wanted = "id:string,time_ms:bigint,HR:double,batch_id:bigint,writer:string,attempt:string"
+    assert f"ReadSchema: struct<{wanted}>" in plan
     assert "GreaterThanOrEqual(time_ms" in plan
-    assert len(scan.inputFiles()) <= 5 and scan.count() == 2
+    # a file for each of the five days, and the list of batches
+    assert len(scan.inputFiles()) <= 6 and scan.count() == 2
 
 
 def test_latest_uses_group_limit(spark):

@@ -89,6 +89,44 @@ def test_rewritten_points_and_retried_batches(spark, tmp_path):
     assert kept == {("primary", 1): 0, ("primary", 2): 1, ("fallback", 2): 2}
 
 
+def folders(path):
+    return sorted(p.parent.name for p in path.glob("measurement=*/date=*/*.parquet"))
+
+
+def test_folders_do_not_grow_with_batches_and_retries_move_days(spark, tmp_path):
+    path, day = tmp_path / "points", 86_400_000
+
+    def write(batch, *points, writer=""):
+        pts.write_points(spark.createDataFrame(list(points), S.POINT), str(path), batch, writer)
+
+    for batch in range(6):
+        write(batch, point("primary", batch, 0))
+    assert len(set(folders(path))) == 1
+    write(6, point("fallback", day - 1, 1))
+    write(6, point("fallback", day + 1, 1))  # the same batch, tried again after midnight
+    write(6, point("fallback", 7, 2), writer="other")
+    got = sorted((r.source, r.time_ms) for r in pts.read_points(spark, str(path)).collect())
+    assert got == [("fallback", 7), ("fallback", day + 1), *[("primary", i) for i in range(6)]]
+
+    write(7, point("primary", 3, 2))
+    before = sorted(tuple(r) for r in pts.upsert_points(pts.read_points(spark, str(path))).collect())
+    pts.compact_points(spark, str(path), day)
+    after = pts.read_points(spark, str(path))
+    assert sorted(tuple(r) for r in after.collect()) == before
+    assert folders(path).count("date=1970-01-01") == 1 and len(set(folders(path))) == 2
+    write(8, point("primary", 3, 1))
+    late = {r.time_ms: r.stress_level for r in pts.upsert_points(pts.read_points(spark, str(path))).collect()}
+    assert late[3] == 1
+
+
+def test_equal_identities_in_one_batch_have_one_winner(spark, tmp_path):
+    rows = [point("fallback", 5, level) for level in (0, 2, 1)]
+    for n, own in enumerate((rows, rows[::-1])):
+        pts.write_points(spark.createDataFrame(own, S.POINT), str(tmp_path / str(n)))
+        kept = pts.upsert_points(pts.read_points(spark, str(tmp_path / str(n)))).collect()
+        assert [r.stress_level for r in kept] == [2]
+
+
 def test_line_protocol(spark):
     df = spark.createDataFrame(
         [("BG", 0.5, 88.123456789, 33.0, 4_999, 1)],

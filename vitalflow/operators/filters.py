@@ -48,7 +48,7 @@ def time_range(
 ) -> DataFrame:
     """Points from `start_ms` (included if `closed`) to `end_ms`.
 
-    A table partitioned by date also gets the bound on `date`, so old folders are never listed.
+    A table partitioned by date also gets the bound on `date`, so old folders are not read.
     """
     time = F.col("time_ms")
     keep = (time >= start_ms) if closed else (time > start_ms)

@@ -13,20 +13,21 @@ from vitalflow.operators.ordered import position, top_per_key
 from vitalflow.session import staged
 
 
-def _newest_first(order: Sequence[str]) -> list[Column]:
-    return [F.col(c).desc() for c in order]
+def _newest_first(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Newest first; rows that tie come in an order that only depends on their values."""
+    return [*[F.col(c).desc() for c in order], F.xxhash64(*df.columns)]
 
 
 def latest_per_id(df: DataFrame, order: Sequence[str] = ("time_ms",)) -> DataFrame:
     """Newest row of each person."""
-    return top_per_key(df, ["id"], _newest_first(order), 1)
+    return top_per_key(df, ["id"], _newest_first(df, order), 1)
 
 
 def rolling_history(
     df: DataFrame, order: Sequence[str] = ("time_ms",), size: int = S.HISTORY
 ) -> DataFrame:
     """Newest `size` rows of each person."""
-    return top_per_key(df, ["id"], _newest_first(order), size)
+    return top_per_key(df, ["id"], _newest_first(df, order), size)
 
 
 def delta_vs_history_mean(
@@ -64,7 +65,7 @@ def disagreement_log(
     that disagrees, because the cap is looked at only after a row was taken.
     """
     a, b = models
-    newest = _newest_first(order)
+    newest = _newest_first(df, order)
     differing = history.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     log = differing.orderBy(F.col("id"), *newest).limit(cap)
     if not carry_over:

@@ -137,7 +137,7 @@ def read_zipped_csv(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("scan_points")
 def scan_points(spark: SparkSession, sf: str) -> DataFrame:
-    now = data.now_of(data.points(spark, sf))
+    now = data.now(spark, sf)
     path = data.points_path(spark, sf)
     rows = pts.scan_points(spark, path, S.POINT_MEASUREMENT, QUARTER, now)
     return rows.select("measurement", *point_columns())
@@ -247,7 +247,7 @@ def drop_incomplete(spark: SparkSession, sf: str) -> DataFrame:
 @query("recent_range")
 def recent_range(spark: SparkSession, sf: str) -> DataFrame:
     points = data.points(spark, sf)
-    return filters.recent_range(points, FIVE, data.now_of(points)).select(*point_columns())
+    return filters.recent_range(points, FIVE, data.now(spark, sf)).select(*point_columns())
 
 
 @query("filter_source")
@@ -455,7 +455,7 @@ def count_by_source(spark: SparkSession, sf: str) -> DataFrame:
 @query("fallback_activity")
 def fallback_activity(spark: SparkSession, sf: str) -> DataFrame:
     points = data.points(spark, sf)
-    return agg.fallback_activity(points, data.now_of(points))
+    return agg.fallback_activity(points, data.now(spark, sf))
 
 
 @query("value_counts")
@@ -525,7 +525,7 @@ def fleet_summary(spark: SparkSession, sf: str) -> DataFrame:
 def bucket_query(name: str, build: Callable[[DataFrame, Column], DataFrame], rounded: bool = True) -> None:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         points = data.points(spark, sf)
-        out = build(points, data.now_of(points))
+        out = build(points, data.now(spark, sf))
         return out.withColumn("value", r4("value")) if rounded else out
 
     QUERIES[name] = run
@@ -579,7 +579,7 @@ bucket_query(
 def legend_stats(spark: SparkSession, sf: str) -> DataFrame:
     points = data.points(spark, sf)
     series = timeseries.mean_by_bucket(
-        points, "stress_level", ["id"], QUARTER, as_of=data.now_of(points)
+        points, "stress_level", ["id"], QUARTER, as_of=data.now(spark, sf)
     )
     return agg.legend_stats(series).select("id", *r4s(("last_not_null", "mean")))
 
@@ -806,14 +806,14 @@ def stream_restart(spark: SparkSession, sf: str) -> DataFrame:
 def processing_lag(spark: SparkSession, sf: str) -> DataFrame:
     points = data.points(spark, sf)
     fallback = filters.filter_source(points, S.FALLBACK)
-    lag = control.processing_lag(fallback, data.now_of(points))
+    lag = control.processing_lag(fallback, data.now(spark, sf))
     return lag.select("last_ms", r4("lag_s"))
 
 
 @query("lag_by_source")
 def lag_by_source(spark: SparkSession, sf: str) -> DataFrame:
     points = data.points(spark, sf)
-    lag = control.lag_by_source(points, data.now_of(points))
+    lag = control.lag_by_source(points, data.now(spark, sf))
     return lag.select("source", "last_ms", r4("lag_s"))
 
 

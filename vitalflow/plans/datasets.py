@@ -172,14 +172,18 @@ def points_path(spark: SparkSession, sf_dir: str) -> str:
         fallback = RULE_A.score(batch_average(batched_records(spark, sf_dir)))
         both = primary_points(primary).unionByName(fallback_points(fallback))
         write_points(both, path)
-        _WRITTEN[slot] = path
-    return _WRITTEN[slot]
+        newest = read_points(spark, path).agg(F.max("time_ms")).first()[0]
+        _WRITTEN[slot] = (path, newest)
+    return _WRITTEN[slot][0]
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_points(spark, points_path(spark, sf_dir))
 
 
-def now_of(table: DataFrame, time: str = "time_ms") -> Column:
-    """The newest time in the table, as the moment queries look back from."""
-    return table.agg(F.max(time)).scalar()
+def now(spark: SparkSession, sf_dir: str) -> Column:
+    """The newest time in the points table, taken when it was written: the moment its queries look
+    back from."""
+    path = points_path(spark, sf_dir)
+    (newest,) = [n for p, n in _WRITTEN.values() if p == path]
+    return F.lit(newest).cast("bigint")

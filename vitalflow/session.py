@@ -21,6 +21,8 @@ def build_session(name: str = "vitalflow", master: str | None = None, **conf: st
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # else every store sets 4 MB of disk aside, however small its state
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
         "spark.ui.enabled": "false",
         # call-site capture costs more than building most of the plans here
         "spark.python.sql.dataFrameDebugging.enabled": "false",

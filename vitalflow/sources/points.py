@@ -1,11 +1,16 @@
-"""The points table: time-series rows, partitioned by measurement, day and source.
+"""The points table: time-series rows, partitioned by measurement and day.
 
-Writers only append; a rewrite of the same identity is resolved when read (`upsert_points`).
-Each batch owns its folders, so writing a batch again replaces it.
+Writers only append; a rewrite of the same identity is resolved when read (`upsert_points`). Every
+attempt to write a batch marks its rows, and the attempt that came through is noted in the table's
+list of batches; rows of other attempts are never read. So a batch that is written again replaces
+itself, wherever its rows fall, and the number of folders does not grow with that of batches.
+`compact_points` rewrites days that are over into one row per identity and few files.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,19 +22,25 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.operators.filters import Moment, epoch_ms, time_range
 from vitalflow.operators.ordered import top_per_key
+from vitalflow.session import staged
 
 IDENTITY = ("measurement", "id", "source", "time_ms")
-FOLDERS = ("measurement", "date", "source", "batch_id")
+FOLDERS = ("measurement", "date")
+#: The list of batches lies beside the folders; Spark passes over names with an underscore.
+BATCHES = "_batches"
+COMPACTED = "compacted"
 
 TABLE = T.StructType(
     [f for f in S.POINT.fields if f.name not in FOLDERS]
     + [
         T.StructField("measurement", T.StringType()),
         T.StructField("date", T.DateType()),
-        T.StructField("source", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("attempt", T.StringType()),
     ]
 )
+_LISTED = "writer string, batch_id long, attempt string, written_us long"
 
 
 def primary_points(scored: DataFrame, measurement: str = S.POINT_MEASUREMENT) -> DataFrame:
@@ -56,21 +67,56 @@ def _points(scored: DataFrame, measurement: str, source: str, time_ms: Column) -
     )
 
 
-def write_points(points: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Append one batch. Repeating a batch replaces it, so a retried batch leaves no copies.
+def write_points(points: DataFrame, path: str, batch_id: int = 0, writer: str = "") -> None:
+    """Append one batch of a writer. Repeating a batch replaces it, so a retry leaves no copies.
 
     Rows are rebalanced by folder, which keeps files large and splits a folder that holds most
-    of the rows.
+    of the rows. The batch counts from when it is listed, which is one small write at the end.
     """
-    day = F.date_from_unix_date(F.floor(F.col("time_ms") / 86_400_000).cast("int"))
-    rows = points.withColumn("date", day).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    rows.hint("rebalance", F.col("measurement"), F.col("date"), F.col("source")).write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS).parquet(path)
+    attempt = uuid.uuid4().hex
+    rows = points.withColumns(
+        {
+            "date": _day(F.col("time_ms")),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+            "writer": F.lit(writer),
+            "attempt": F.lit(attempt),
+        }
+    )
+    rows.hint("rebalance", *[F.col(c) for c in FOLDERS]).write.mode("append").partitionBy(
+        *FOLDERS
+    ).parquet(path)
+    listed = [(writer, batch_id, attempt, time.time_ns() // 1_000)]
+    spark = points.sparkSession
+    spark.createDataFrame(listed, _LISTED).coalesce(1).write.mode("append").parquet(f"{path}/{BATCHES}")
+
+
+def _day(time_ms: Column) -> Column:
+    return F.date_from_unix_date(F.floor(time_ms / 86_400_000).cast("int"))
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(TABLE).parquet(path)
+    """Points of the attempts that count, with `batch_id` and `date`."""
+    listed = spark.read.schema(_LISTED).parquet(f"{path}/{BATCHES}")
+    newest = listed.groupBy("writer", "batch_id").agg(F.max_by("attempt", "written_us").alias("_counts"))
+    rows = spark.read.schema(TABLE).parquet(path).join(newest, ["writer", "batch_id"], "left")
+    counts = (F.col("attempt") == COMPACTED) | (F.col("attempt") == F.col("_counts"))
+    return rows.filter(counts).select(*[f.name for f in TABLE.fields if f.name not in ("writer", "attempt")])
+
+
+def compact_points(spark: SparkSession, path: str, before_ms: int) -> None:
+    """Rewrite the days that end by `before_ms`: the row that counts of each identity, in few files.
+
+    The rows are first written to the shared folder, then each day's folder is replaced. Days that
+    a broken run did not reach stay as they were; running it again is safe. No batch may be written
+    to these days meanwhile.
+    """
+    end = F.date_from_unix_date(F.lit(before_ms // 86_400_000).cast("int"))
+    closed = upsert_points(read_points(spark, path).filter(F.col("date") < end))
+    marked = closed.withColumns({"writer": F.lit(""), "attempt": F.lit(COMPACTED)})
+    rows = staged(marked, "compacted")
+    rows.hint("rebalance", *[F.col(c) for c in FOLDERS]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(*FOLDERS).parquet(path)
 
 
 def scan_points(
@@ -89,8 +135,10 @@ def scan_points(
 
 
 def upsert_points(points: DataFrame) -> DataFrame:
-    """Keep the row of the latest batch for each identity."""
-    return top_per_key(points, list(IDENTITY), [F.col("batch_id").desc()], 1)
+    """Keep the row of the latest batch for each identity; inside a batch, the one with the highest
+    class, then the highest readings."""
+    fields = ["batch_id", "stress_level", *S.SENSORS]
+    return top_per_key(points, list(IDENTITY), [F.col(c).desc() for c in fields], 1)
 
 
 def to_line_protocol(scored: DataFrame, measurement: str = S.LINE_MEASUREMENT) -> DataFrame:

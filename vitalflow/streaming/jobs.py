@@ -68,7 +68,7 @@ def start_primary(
     scored = score_stream(tumbling_average_stream(records), model)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_points(primary_points(batch), path, batch_id)
+        write_points(primary_points(batch), path, batch_id, S.PRIMARY)
 
     return start_batches(scored, write, checkpoint, trigger)
 
@@ -103,7 +103,7 @@ def start_fallback(
 
     def write(rows: DataFrame, batch_id: int) -> None:
         if batch is None:
-            write_points(fallback_batch(rows.withColumn("batch", F.lit(0)), model), path, batch_id)
+            write_points(fallback_batch(rows.withColumn("batch", F.lit(0)), model), path, batch_id, S.FALLBACK)
             return
         spark = rows.sparkSession
         numbered = rows.withColumn("batch", batch)
@@ -114,7 +114,7 @@ def start_fallback(
         still_open = numbered.filter(F.col("batch") == highest)
         still_open.write.mode("overwrite").parquet(f"{open_path}/{batch_id}")
         closed = numbered.filter(F.col("batch") < highest)
-        write_points(fallback_batch(closed, model), path, batch_id)
+        write_points(fallback_batch(closed, model), path, batch_id, S.FALLBACK)
 
     return start_batches(records, write, checkpoint, trigger)
 
@@ -122,7 +122,7 @@ def start_fallback(
 def finish_fallback(spark: SparkSession, model: Model, path: str, open_path: str, last: int) -> None:
     """Write the batch that was open after micro-batch `last`, when no records will follow."""
     rows = spark.read.parquet(f"{open_path}/{last}")
-    write_points(fallback_batch(rows, model), path, last + 1)
+    write_points(fallback_batch(rows, model), path, last + 1, S.FALLBACK)
 
 
 def resume_checks(

@@ -241,7 +241,7 @@ def write_token_files(
     attempts that succeeded are in the rows. An empty table gives none.
     """
     known = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
+    place = F.col("doc_id").asc_nulls_last()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
@@ -276,7 +276,8 @@ def write_token_files(
         [("path", pa.string()), ("part", pa.int32()), ("number", pa.int32()), ("documents", pa.int64()), ("ids", pa.int64())]
     )
     make_folder(folder)
-    rows = known.repartitionByRange(*order).sortWithinPartitions(*order)
+    # by the id alone: what Spark samples for the bounds comes to the driver
+    rows = known.repartitionByRange(place).sortWithinPartitions(place, "text")
     fields = "path string, part int, number int, documents long, ids long"
     return staged(rows.mapInArrow(work, fields), "token-files")
 

@@ -47,6 +47,25 @@ def test_spans_and_extensions_match_plain_comparison():
         assert (x.fingerprint() == y.fingerprint()) == (a == b)
 
 
+def test_likeness_follows_the_share_of_changed_words():
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words_ = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(600)]
+    text = " ".join(words_)
+    own = fingerprints.Prefixes(text)
+    assert fingerprints.likeness(own, fingerprints.Prefixes(text)) == 1.0
+    before = 1.0
+    for share in (0.01, 0.05, 0.1, 0.5):
+        new = [rng.choice(["x", "yy"]) if rng.random() < share else w for w in words_ if rng.random() > share / 4]
+        now = fingerprints.likeness(own, fingerprints.Prefixes(" ".join(new)))
+        assert now < before and now >= 1 - 6 * share
+        before = now
+    other = "".join(rng.choice(letters + " ") for _ in range(3_000))
+    assert fingerprints.likeness(own, fingerprints.Prefixes(other)) < 0.02
+    moved = fingerprints.Prefixes("one more line " + text[:900] + text[930:])
+    assert fingerprints.likeness(own, moved) > 0.95
+
+
 def test_fingerprints_of_odd_rows(spark):
     ids = [5, 3, 9, None, 2, 7, 2, 2, 1]
     got = fingerprints.fingerprints(docs(spark, ODD, ids)).collect()

@@ -24,6 +24,8 @@ from vitalflow.session import staged
 # fixed values: two primes under 2**31 and a base for each
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_237_940_039, 742_938_285)
+#: Where two texts differ, a stretch of so many equal code points within reach takes them up again.
+SPAN, REACH = 20, 128
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -117,14 +119,47 @@ def common_ending(a: Prefixes, b: Prefixes, most: int) -> int:
     return low
 
 
+def next_meeting(a: Prefixes, i: int, b: Prefixes, j: int) -> tuple[int, int] | None:
+    """The nearest places behind i and j from which `SPAN` code points agree, within `REACH`.
+
+    The hashes of all spans in reach come out of the prefix arrays at once.
+    """
+    n, m = (min(REACH, len(x) - at - SPAN + 1) for x, at in ((a, i), (b, j)))
+    if n <= 0 or m <= 0:
+        return None
+    prime = np.uint64(PRIMES[0])
+    top = max(i + n, j + m)
+    powers = _powers(top - min(i, j) + 1)[0]
+    found = []
+    for x, at, count in ((a, i, n), (b, j, m)):
+        sums = x.sums[0][at : at + count + SPAN].astype(np.uint64)
+        spans = (sums[SPAN:] + prime - sums[:-SPAN])[:count] % prime
+        found.append(spans * powers[top - at - np.arange(count)] % prime)
+    _, left, right = np.intersect1d(found[0], found[1], return_indices=True)
+    for k in np.argsort(left + right, kind="stable").tolist():
+        if spans_equal(a, i + int(left[k]), b, j + int(right[k]), SPAN):
+            return i + int(left[k]), j + int(right[k])
+    return None
+
+
 def likeness(a: Prefixes, b: Prefixes) -> float:
-    """Share of the longer text that both have in common at their beginnings and endings: 1 for
-    equal texts (two empty ones too), 0 where neither end agrees."""
+    """Share of the longer text that both have in common: 1 for equal texts (two empty ones too).
+
+    The texts are walked through together by longest common extensions; where they differ, both are
+    moved on to the nearest stretch that agrees again, and where there is none in reach, what their
+    endings have in common is added. So a text with words changed here and there stays near 1, and
+    unrelated ones are near 0.
+    """
     longer = max(len(a), len(b))
     if not longer:
         return 1.0
-    start = common_extension(a, 0, b, 0)
-    return (start + common_ending(a, b, min(len(a), len(b)) - start)) / longer
+    i = j = common_extension(a, 0, b, 0)
+    common = i
+    while (place := next_meeting(a, i, b, j)) is not None:
+        length = common_extension(a, place[0], b, place[1])
+        common += length
+        i, j = place[0] + length, place[1] + length
+    return (common + common_ending(a, b, min(len(a) - i, len(b) - j))) / longer
 
 
 def edited(own: Prefixes, following: Prefixes) -> Prefixes:
@@ -173,8 +208,9 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     have their neighbour elsewhere: two rows per task are written with their texts and joined.
     """
     known = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    ranged = known.repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.col("doc_id").asc_nulls_last()
+    # by the id alone: what Spark samples for the bounds comes to the driver
+    ranged = known.repartitionByRange(place).sortWithinPartitions(place, "text")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -205,12 +241,12 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     edges = walked.filter("last is not null").select("doc_id", "part", "last", "text")
     # two rows a task: which task's first row follows which task's last one
     firsts = edges.filter("not last").select("part")
-    place = Window.orderBy("part")
+    by_part = Window.orderBy("part")
     follows = firsts.select(
         "part",
         F.coalesce(
-            F.lead("part").over(place),
-            F.min("part").over(place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+            F.lead("part").over(by_part),
+            F.min("part").over(by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         ).alias("next_part"),
     )
     after = edges.filter("not last").select(

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitalflow import schemas as S
+from vitalflow import session
 from vitalflow.sources import files, records
 from vitalflow.sources import points as pts
 
@@ -127,6 +128,21 @@ def test_equal_identities_in_one_batch_have_one_winner(spark, tmp_path):
         assert [r.stress_level for r in kept] == [2]
 
 
+def test_staged_tables_are_dropped_but_for_those_to_keep(spark):
+    from pathlib import Path
+
+    from vitalflow.session import drop_staged, fresh_path, staged
+
+    kept, gone = fresh_path(spark, "kept"), fresh_path(spark, "gone")
+    for path in (kept, gone):
+        spark.range(3).write.parquet(path)
+    table = staged(spark.range(2), "table")
+    others = [p for p in session._STAGED[spark.sparkContext.applicationId] if p not in (kept, gone)]
+    assert table.count() == 2
+    drop_staged(spark, keep=[kept, *others])
+    assert Path(kept).exists() and not Path(gone).exists() and table.count() == 2
+
+
 def test_line_protocol(spark):
     df = spark.createDataFrame(
         [("BG", 0.5, 88.123456789, 33.0, 4_999, 1)],

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_STAGED: dict[str, set[str]] = {}
 
 
 def build_session(name: str = "vitalflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -54,8 +56,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/vitalflow/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder that no other run uses; `drop_staged` removes it."""
+    path = f"{shared_folder(spark)}/vitalflow/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def drop_staged(spark: SparkSession, keep: Collection[str] = ()) -> None:
+    """Remove what this application has written to the shared folder, but for the paths to keep.
+
+    Results that still read from there must have been written or collected before.
+    """
+    paths = _STAGED.get(spark.sparkContext.applicationId, set())
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for path in [p for p in paths if p not in keep]:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        paths.discard(path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

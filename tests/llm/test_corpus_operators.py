@@ -223,7 +223,7 @@ def test_wavelet_matrix_matches_plain_search():
 
 def test_token_files_hold_what_the_library_gives(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
-    texts = [*ODD, "don't I'LL", "a\x01b \x01", "<|endoftext|> x<|startoftext|>y", "a\x1cb\x85c\xa0d", "é ́x", "İΣΑΣ 日本 １２"]
+    texts = [*ODD, "don't I'LL", "a\x01b \x01", "<|endoftext|> x<|startoftext|>y", "a\x1cb\x85c\xa0d", "é ́x", "İΣΑΣ 日本 １２. The THE, the!. .,! ,the a.b. Ab.'s"]
     ids = [5, 3, 9, None, 2, 7, 2, 2, 1, *range(20, 26)]
     folder = fresh_path(spark, "tokens")
     files = token_files.write_token_files(docs(spark, texts, ids), path, folder, shard_ids=50)

@@ -32,7 +32,7 @@ END_ID = 2
 #: A file is closed with the document that brings it to so many ids; bounds a task's memory.
 SHARD_IDS = 1 << 22
 #: Pieces of text a worker remembers the ids of: the first ones. More cost time, no result.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 _SEPARATOR = "\x01"
 
 
@@ -193,8 +193,30 @@ class Encoder:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _pieces(self, fresh: list[bytes]) -> dict[bytes, bytes]:
-        out = {p: np.array(self._encode(p.decode()), "<u2").tobytes() for p in fresh if b"\x01" in p}
-        plain = [p for p in fresh if b"\x01" not in p]
+        """Ids of pieces. ASCII letters before stops and commas have the ids of the lower-case
+        letters and of the stops, so such pieces share what is encoded."""
+        parts = {}
+        for piece in fresh:
+            letters = piece.rstrip(b".,!")
+            if letters.isalpha():
+                parts[piece] = (letters.lower(), piece[len(letters) :])
+        wanted = set(fresh).difference(parts)
+        for pair in parts.values():
+            wanted.update(pair)
+        wanted.discard(b"")
+        found = self._encoded([p for p in wanted if p not in self.known])
+        found[b""] = b""
+        look = self.known.get
+
+        def ids(piece: bytes) -> bytes:
+            own = found.get(piece)
+            return look(piece) if own is None else own
+
+        return {p: ids(p) if p not in parts else ids(parts[p][0]) + ids(parts[p][1]) for p in fresh}
+
+    def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        out = {p: np.array(self._encode(p.decode()), "<u2").tobytes() for p in pieces if b"\x01" in p}
+        plain = [p for p in pieces if b"\x01" not in p]
         between = f" {_SEPARATOR} ".encode()
         for at in range(0, len(plain), 4_000):
             some = plain[at : at + 4_000]

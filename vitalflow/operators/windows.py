@@ -65,7 +65,7 @@ def disagreement_log(
     that disagrees, because the cap is looked at only after a row was taken.
     """
     a, b = models
-    newest = _newest_first(df, order)
+    newest = _newest_first(history, order)
     differing = history.filter(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
     log = differing.orderBy(F.col("id"), *newest).limit(cap)
     if not carry_over:

@@ -33,7 +33,7 @@ from vitalflow.session import staged
 WIDTH = 3
 MISS = 5e-5
 #: Bits of an odd sketch, in words of 64.
-SKETCH_WORDS = 16
+SKETCH_WORDS = 8
 
 
 def group_count(threshold: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -117,13 +117,15 @@ def _odd_sketches(items: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), flat)
 
 
-def _may_link(odd_a: Column, odd_b: Column, n: Column, m: Column, percent: int) -> Column:
+def _may_link(n: Column, m: Column, percent: int) -> Column:
     """False only if the sets differ in too many members to be linked.
 
     100 * intersection >= percent * union says that the sets differ in at most
     (100 - percent) / (100 + percent) * (n + m) members, and the sketches differ in no more bits.
     """
-    apart = sum((F.bit_count(odd_a[k].bitwiseXOR(odd_b[k])) for k in range(SKETCH_WORDS)), F.lit(0))
+    apart = F.lit(0)
+    for k in range(SKETCH_WORDS):
+        apart = apart + F.bit_count(F.col(f"odd{k}_a").bitwiseXOR(F.col(f"odd{k}_b")))
     return apart * (100 + percent) <= (n + m) * (100 - percent)
 
 
@@ -273,7 +275,8 @@ def near_groups(
     star = staged(star.distinct(), "near-star")
     links = staged(_linked(star, sets, percent), "near-links")
     part = staged(components(links), "near-parts")
-    sketches = signed.select(F.col("row_key").alias("node"), "odd")
+    odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(SKETCH_WORDS)]
+    sketches = signed.select(F.col("row_key").alias("node"), *odd)
     rest = _across(members, part, star, sketches, percent)
     more = staged(_linked(rest, sets, percent), "near-more")
     whole = components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
@@ -309,7 +312,7 @@ def _across(
     still = staged(placed.join(several, "table_key"), "near-open")
     wanted = sketches.join(still.select("node").distinct(), "node")
     open_rows = staged(still.join(wanted, "node"), "near-sketched")
-    columns = ("node", "n", "component", "odd")
+    columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
     a = open_rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     b = open_rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
     n, m = F.col("n_a"), F.col("n_b")
@@ -319,7 +322,7 @@ def _across(
         & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & _close(n, m, percent)
-        & _may_link(F.col("odd_a"), F.col("odd_b"), n, m, percent),
+        & _may_link(n, m, percent),
     )
     pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     return staged(pairs.join(star, ["a", "b"], "left_anti"), "near-across")

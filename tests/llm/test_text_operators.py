@@ -214,6 +214,14 @@ def test_toxic_words_in_disguise_are_found(spark):
     assert sum(p == y for p, y in held) >= 0.95 * len(held)
 
 
+def test_long_clean_texts_among_disguised_ones(spark):
+    long = "the house by the river " * 30_000
+    texts = [long, long + " 1d10t", long, "s t u p i d", ""]
+    frame = docs(spark, texts).coalesce(1).sortWithinPartitions("doc_id")
+    marks = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, toxic int")
+    assert toxicity.toxic_scores(frame, marks).count() == len(texts)
+
+
 # ---- page text ---------------------------------------------------------------------------
 
 

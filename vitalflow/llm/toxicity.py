@@ -218,7 +218,9 @@ def with_restored(rows: DataFrame, model: Broadcast, name: str) -> DataFrame:
                     texts = part.column(at).to_pylist()
                     for i in odd:
                         texts[i] = restored(texts[i], model.value, known)
-                    part = part.set_column(at, "text", pa.array(texts, type=column.type))
+                    columns = [*part.columns]
+                    columns[at] = pa.array(texts, type=column.type)
+                    part = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
                 yield part
 
     return rows.mapInArrow(work, rows.schema)

@@ -66,6 +66,31 @@ def test_likeness_follows_the_share_of_changed_words():
     assert fingerprints.likeness(own, moved) > 0.95
 
 
+def test_likeness_takes_up_texts_past_any_difference():
+    rng = random.Random(8)
+
+    def prose(n, least=2, most=9):
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        return ["".join(rng.choice(letters) for _ in range(rng.randint(least, most))) for _ in range(n)]
+
+    def like(x, y):
+        return fingerprints.likeness(fingerprints.Prefixes(x), fingerprints.Prefixes(y))
+
+    text, new = " ".join(prose(800)), " ".join(prose(800))
+    at = len(text) // 3
+    assert like(text, text[:at] + new[:200] + text[at:-30] + "changed" + text[-25:]) > 0.93
+    assert like(new[:300] + text + new[300:500], new[-280:] + text + new[600:900]) > 0.85
+    assert like(text, text[:at] + new[:3_000] + text[at + 3_000 :]) == pytest.approx(1 - 3_000 / len(text), abs=0.02)
+    assert like(text, text[at:] + text[:at]) > 0.98  # moved
+    short = prose(900, 2, 4)
+    changed = [w if k % 3 else w[::-1] + "q" for k, w in enumerate(short)]
+    assert 0.55 < like(" ".join(short), " ".join(changed)) < 0.95
+    assert like(text, new) < 0.02
+    # what one text has once counts once, however often the other repeats it
+    assert like("x" * 100_000, "x" * 50 + "y" * 99_950) < 0.001
+    assert like(text * 3 + new, text + new * 3) < 0.55
+
+
 def test_fingerprints_of_odd_rows(spark):
     ids = [5, 3, 9, None, 2, 7, 2, 2, 1]
     got = fingerprints.fingerprints(docs(spark, ODD, ids)).collect()

@@ -10,6 +10,7 @@ points share one with a probability under (n / 2**31)**2 for bases drawn at rand
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +25,9 @@ from vitalflow.session import staged
 # fixed values: two primes under 2**31 and a base for each
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_237_940_039, 742_938_285)
-#: Where two texts differ, a stretch of so many equal code points within reach takes them up again.
-SPAN, REACH = 20, 128
+#: Common stretches of so many code points count wherever they lie in the two texts; shorter ones
+#: count in order between the others, found by spans of these lengths.
+SPAN, SHORTER = 20, (12, 6)
 
 
 def _powers(n: int) -> list[np.ndarray]:
@@ -119,47 +121,159 @@ def common_ending(a: Prefixes, b: Prefixes, most: int) -> int:
     return low
 
 
-def next_meeting(a: Prefixes, i: int, b: Prefixes, j: int) -> tuple[int, int] | None:
-    """The nearest places behind i and j from which `SPAN` code points agree, within `REACH`.
+def _span_hashes(x: Prefixes, places: np.ndarray, length: int) -> np.ndarray:
+    """The hashes of the spans of `length` code points from each place on, the same wherever they lie."""
+    prime = np.uint64(PRIMES[0])
+    sums = x.sums[0]
+    spans = sums[places + length].astype(np.uint64) + prime - sums[places]
+    return spans % prime * _inverse_powers(len(x) + 1)[places] % prime
+
 
-    The hashes of all spans in reach come out of the prefix arrays at once.
+def _inverse_powers(n: int) -> np.ndarray:
+    cache = worker_cache("fingerprint-powers")
+    table = cache.get("inverse", np.ones(1, dtype=np.uint64))
+    while len(table) < n:
+        step = np.uint64(pow(BASES[0], -len(table), PRIMES[0]))
+        table = np.concatenate([table, table * step % np.uint64(PRIMES[0])])
+    cache["inverse"] = table
+    return table
+
+
+def _in_both(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys of either side may be on the other one too: all that are, and few others."""
+    bits = np.uint64((1 << max(12, (8 * max(len(left), len(right))).bit_length())) - 1)
+    small = [(x & bits).astype(np.int64) for x in (left, right)]
+    seen = np.zeros(int(bits) + 1, dtype=bool)
+    seen[small[1]] = True
+    in_left = np.flatnonzero(seen[small[0]])
+    seen[:] = False
+    seen[small[0][in_left]] = True
+    return in_left, np.flatnonzero(seen[small[1]])
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many equal keys come before each, and how many there are of it."""
+    order = np.argsort(keys, kind="stable")
+    ordered = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [len(keys)]]))
+    rank, count = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=np.int64)
+    rank[order] = np.arange(len(keys)) - np.repeat(starts, sizes)
+    count[order] = np.repeat(sizes, sizes)
+    return rank, count
+
+
+def _agreeing(
+    a: Prefixes, i: np.ndarray, b: Prefixes, j: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of places whose spans are equal code point by code point, by place in `a`."""
+    steps = np.arange(length)
+    same = (a.points[i[:, None] + steps] == b.points[j[:, None] + steps]).all(axis=1)
+    order = np.argsort(i[same])
+    return i[same][order], j[same][order]
+
+
+def _rising(j: np.ndarray) -> np.ndarray:
+    """Indices of a longest rising subsequence."""
+    if len(j) < 2 or (j[1:] > j[:-1]).all():
+        return np.arange(len(j))
+    ends: list[int] = []
+    at: list[int] = []
+    before: list[int] = []
+    for k, value in enumerate(j.tolist()):
+        place = bisect_left(ends, value)
+        before.append(at[place - 1] if place else -1)
+        if place == len(ends):
+            ends.append(value)
+            at.append(k)
+        else:
+            ends[place], at[place] = value, k
+    out, k = [], at[-1]
+    while k >= 0:
+        out.append(k)
+        k = before[k]
+    return np.array(out[::-1])
+
+
+def _mark(covered: np.ndarray, places: np.ndarray, length: int) -> None:
+    if not len(places):
+        return
+    steps = np.zeros(len(covered) + 1, dtype=np.int32)
+    steps[places] += 1  # no place comes twice
+    steps[places + length] -= 1
+    covered |= np.cumsum(steps[:-1]) > 0
+
+
+def _free(covered: np.ndarray, low: int, high: int, length: int) -> np.ndarray:
+    """Places from `low` on from which `length` code points before `high` are not covered."""
+    if high - low < length:
+        return np.zeros(0, dtype=np.int64)
+    if not covered.any():
+        return np.arange(low, high - length + 1)
+    sums = np.concatenate([[0], np.cumsum(covered[low:high])])
+    return low + np.flatnonzero(sums[length:] == sums[:-length])
+
+
+def common_stretches(a: Prefixes, b: Prefixes, start: int, ending: int) -> int:
+    """Code points in common between the first `start` and the last `ending` ones of both texts.
+
+    Every span of `SPAN` code points is matched with an equal one of the other text, wherever it
+    lies, as often as both have it. Of those that both have once, the longest sequence in one order
+    divides the texts into gaps; in each gap shorter spans that both sides have there once are taken
+    up in order, which divides it further. So a stretch by chance seldom counts.
     """
-    n, m = (min(REACH, len(x) - at - SPAN + 1) for x, at in ((a, i), (b, j)))
-    if n <= 0 or m <= 0:
-        return None
-    prime = np.uint64(PRIMES[0])
-    top = max(i + n, j + m)
-    powers = _powers(top - min(i, j) + 1)[0]
-    found = []
-    for x, at, count in ((a, i, n), (b, j, m)):
-        sums = x.sums[0][at : at + count + SPAN].astype(np.uint64)
-        spans = (sums[SPAN:] + prime - sums[:-SPAN])[:count] % prime
-        found.append(spans * powers[top - at - np.arange(count)] % prime)
-    _, left, right = np.intersect1d(found[0], found[1], return_indices=True)
-    for k in np.argsort(left + right, kind="stable").tolist():
-        if spans_equal(a, i + int(left[k]), b, j + int(right[k]), SPAN):
-            return i + int(left[k]), j + int(right[k])
-    return None
+    ends = (len(a) - ending, len(b) - ending)
+    covered = [np.zeros(len(x), dtype=bool) for x in (a, b)]
+    marks = [np.zeros(0, dtype=np.int64)] * 2  # places that divide the texts into gaps
+    for length in (SPAN, *SHORTER):
+        places = [_free(c, start, end, length) for c, end in zip(covered, ends, strict=True)]
+        if not (len(places[0]) and len(places[1])):
+            continue
+        keys = [_span_hashes(x, at, length) for x, at in zip((a, b), places, strict=True)]
+        both = _in_both(*keys)
+        if not (len(both[0]) and len(both[1])):
+            continue
+        places = [p[k] for p, k in zip(places, both, strict=True)]
+        keys = [p[k] for p, k in zip(keys, both, strict=True)]
+        if len(marks[0]):  # the numbers of the gaps are in the high bits
+            gaps = [np.searchsorted(m, at).astype(np.uint64) for m, at in zip(marks, places, strict=True)]
+            keys = [k + (g << np.uint64(31)) for k, g in zip(keys, gaps, strict=True)]
+        (rank, count), (other_rank, other_count) = (_numbered(k) for k in keys)
+        if length == SPAN:
+            ranked = [k << np.uint64(32) | r.astype(np.uint64) for k, r in zip(keys, (rank, other_rank), strict=True)]
+            _, left, right = np.intersect1d(*ranked, assume_unique=True, return_indices=True)
+            i, j = _agreeing(a, places[0][left], b, places[1][right], length)
+            _mark(covered[0], i, length)
+            _mark(covered[1], j, length)
+        once = [np.flatnonzero(c == 1) for c in (count, other_count)]
+        _, left, right = np.intersect1d(
+            keys[0][once[0]], keys[1][once[1]], assume_unique=True, return_indices=True
+        )
+        if not len(left):
+            continue
+        i, j = _agreeing(a, places[0][once[0][left]], b, places[1][once[1][right]], length)
+        chosen = _rising(j)
+        i, j = i[chosen], j[chosen]
+        _mark(covered[0], i, length)
+        _mark(covered[1], j, length)
+        marks = [np.sort(np.concatenate([m, p])) for m, p in zip(marks, (i, j), strict=True)]
+    return int(min(c.sum() for c in covered))
 
 
 def likeness(a: Prefixes, b: Prefixes) -> float:
     """Share of the longer text that both have in common: 1 for equal texts (two empty ones too).
 
-    The texts are walked through together by longest common extensions; where they differ, both are
-    moved on to the nearest stretch that agrees again, and where there is none in reach, what their
-    endings have in common is added. So a text with words changed here and there stays near 1, and
-    unrelated ones are near 0.
+    What they begin and end with comes by longest common extensions, what they have in common in
+    between by spans, wherever they lie. So a text with words changed here and there, or with
+    passages of any length inserted, deleted, replaced or moved, keeps the share of what is left,
+    and unrelated ones are near 0.
     """
     longer = max(len(a), len(b))
     if not longer:
         return 1.0
-    i = j = common_extension(a, 0, b, 0)
-    common = i
-    while (place := next_meeting(a, i, b, j)) is not None:
-        length = common_extension(a, place[0], b, place[1])
-        common += length
-        i, j = place[0] + length, place[1] + length
-    return (common + common_ending(a, b, min(len(a) - i, len(b) - j))) / longer
+    start = common_extension(a, 0, b, 0)
+    ending = common_ending(a, b, min(len(a), len(b)) - start)
+    return (start + ending + common_stretches(a, b, start, ending)) / longer
 
 
 def edited(own: Prefixes, following: Prefixes) -> Prefixes:

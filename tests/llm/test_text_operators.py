@@ -225,6 +225,19 @@ def test_restoring_matches_the_best_of_all_paths():
     assert toxicity.restored("clean text stays, 100% as it is...", cube, known) == "clean text stays, 100% as it is..."
 
 
+INSULTS = ["idiot", "loser", "stupid", "the", "house", "asshole", "ass", "météo", "a"]
+
+
+def test_long_tokens_are_restored():
+    cube, known = character_cube(INSULTS), {}
+    assert toxicity.restored("idi" + "o" * 90 + "t", cube, known) == "idiot"
+    run = "/".join(["the"] * 20) + "/1d10t/" + ",".join(["house"] * 20) + ",l0ser"
+    assert toxicity.restored(run, cube, known) == run.replace("1d10t", "idiot").replace("l0ser", "loser")
+    long = "1d10t-" * 20_000 + "the"
+    assert toxicity.restored(long, cube, known).count("idiot") == 20_000
+    assert all(len(k) <= toxicity.LONGEST for k in known)
+
+
 def test_toxic_words_in_disguise_are_found(spark):
     rng = random.Random(4)
     clean = sentences(rng, 200)

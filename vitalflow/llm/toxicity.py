@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,10 +53,14 @@ _LETTER = r"[^\W\d_]"
 SPACED = re.compile(
     rf"(?<![^\s])(?:[{_SIGNS}]|{_LETTER})(?:[ {_APART}](?:[{_SIGNS}]|{_LETTER})){{2,}}(?![^\s.,;:!?])"
 )
+#: Tokens end at white space and at punctuation that is neither a sign nor a separator.
+BETWEEN = re.compile(r"([\s,;:?\"/\\<>\[\]{}=&#)«»“”„…]+)")
 #: A token with a letter, and a sign next to it or a letter drawn out.
-TOKEN = re.compile(r"[^\s]+")
 DISGUISED = re.compile(rf"[{_SIGNS}]{_LETTER}|{_LETTER}[0-9@$|+]+(?!\S)|({_LETTER})\1\1")
 
+#: Words and tokens that a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 200_000, 40
+
 
 def character_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(code, n): character trigrams of all documents, with runs of non-letters as one edge.
@@ -134,21 +138,36 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest word that the token disguises; equally likely ones by their order in the lattice."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(_EDGE, _EDGE): (0.0, "")}
+    """The likeliest word that the token disguises; equally likely ones by their order in the lattice.
+
+    Time and memory grow with the token's length: a state holds its letters and the state before.
+    """
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(_EDGE, _EDGE): (0.0, None)}
     for ways in lattice(token):
-        following: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in states.items():
-            for letters, cost in ways:
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        coded = [(letters, cost, [_code(c) for c in letters]) for letters, cost in ways]
+        for (a, b), (score, before) in states.items():
+            for letters, cost, codes in coded:
                 total, x, y = score - cost, a, b
-                for c in letters:
-                    z = _code(c)
+                for z in codes:
+                    if z == _EDGE == y:
+                        continue  # several are one edge
                     total += float(model[x, y, z])
                     x, y = y, z
                 if (x, y) not in following or total > following[x, y][0]:
-                    following[x, y] = (total, word + letters)
+                    following[x, y] = (total, (letters, before) if letters else before)
         states = following
-    return max(states.items(), key=lambda s: s[1][0] + float(model[s[0][0], s[0][1], _EDGE]))[1][1]
+
+    def at_end(state: tuple[tuple[int, int], tuple]) -> float:
+        (a, b), (score, _) = state
+        return score + (float(model[a, b, _EDGE]) if b != _EDGE else 0.0)
+
+    letters: list[str] = []
+    link = max(states.items(), key=at_end)[1][1]
+    while link is not None:
+        letters.append(link[0])
+        link = link[1]
+    return "".join(reversed(letters))
 
 
 def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -175,23 +194,30 @@ def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def restored(text: str, model: np.ndarray, known: dict[str, str]) -> str:
     """The text with its disguised tokens restored; all else as it is."""
 
-    def found(token: str) -> str:
+    def remembered(token: str, find: Callable[[str], str]) -> str:
         word = known.get(token)
         if word is None:
-            word = restore(token, model)
-            if len(known) < 200_000:
+            word = find(token)
+            if len(known) < REMEMBERED and len(token) <= LONGEST:
                 known[token] = word
         return word
 
-    def of_token(match: re.Match) -> str:
-        token = match.group()
-        body = token.strip(".,;:?\"()")
-        if len(body) > 40 or not DISGUISED.search(body):
+    def found(token: str) -> str:
+        word = restore(token, model)
+        return token if word == token.lower() else word
+
+    def of_token(token: str) -> str:
+        left = token.lstrip(".,;:?\"()")
+        body = left.rstrip(".,;:?\"()")
+        if not DISGUISED.search(body):
             return token
-        return token.replace(body, found(body.rstrip("!")), 1)
+        at, word = len(token) - len(left), body.rstrip("!")
+        return token[:at] + found(word) + left[len(word) :]
 
-    text = SPACED.sub(lambda m: found(m.group()), text)
-    return TOKEN.sub(of_token, text)
+    text = SPACED.sub(lambda m: remembered(m.group(), found), text)
+    parts = BETWEEN.split(text)
+    parts[::2] = [remembered(p, of_token) if p else p for p in parts[::2]]
+    return "".join(parts)
 
 
 def extract(column: pa.Array) -> Iterator[np.ndarray]:

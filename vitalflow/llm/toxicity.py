@@ -43,6 +43,11 @@ for _i, _c in enumerate(LETTERS):
 for _c in " \t\n\r\x0b\x0c.,;:!?\"'()":
     _CODE[ord(_c)] = _EDGE
 
+_HIGH_SIGNS = [c.encode() for c in STANDS_FOR if ord(c) >= 128]
+_PARTS = np.zeros(256, dtype=np.int64)
+_PARTS[[ord(c) for c in SEPARATORS]] = 1
+_COUNTED = np.zeros(256, dtype=np.int64)  # first bytes of what is surely a character of a piece
+_COUNTED[[*range(65, 91), *range(97, 123), *range(0xC3, 0xE0)]] = 1
 _KIND = np.zeros(256, dtype=np.uint8)  # 1 letter, 2 sign that stands for letters
 _KIND[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _KIND[[ord(c) for c in STANDS_FOR if ord(c) < 128]] = 2
@@ -171,24 +176,53 @@ def restore(token: str, model: np.ndarray) -> str:
 
 
 def _suspicious(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Which documents of a chunk may have a disguised token at all, by their bytes."""
-    if len(data) < 3:
-        return np.ones(len(offsets) - 1, dtype=bool)
+    """Which documents of a chunk may have a disguised token at all, by their bytes.
+
+    All that `restored` would change are among them, and others.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(len(offsets) - 1, dtype=bool)
     kind = _KIND[data]
     letter = kind == 1
-    mark = np.zeros(len(data) + 1, dtype=np.int64)
-    sign_first = (kind[:-1] == 2) & letter[1:]
-    sign_after = letter[:-1] & (kind[1:] == 2)
-    mark[1:-1] = sign_first | sign_after
-    low = data | 0x20
-    mark[1:-2] += (letter[:-2]) & (low[:-2] == low[1:-1]) & (low[1:-1] == low[2:])
-    single = np.zeros(len(data), dtype=bool)  # a letter with none beside it
-    single[1:-1] = (kind[1:-1] > 0) & (kind[:-2] == 0) & (kind[2:] == 0)
-    single[0], single[-1] = kind[0] > 0 and kind[1] == 0, kind[-1] > 0 and kind[-2] == 0
-    if len(data) > 4:
-        mark[1:-4] += single[:-4] & single[2:-2] & single[4:]
-    sums = np.concatenate([[0], np.cumsum(mark[1:])])
-    return sums[offsets[1:]] > sums[offsets[:-1]]
+    high = data >= 128
+    marks = []
+    # a sign next to a letter; a non-ASCII sign
+    sign = kind == 2
+    marks.append(np.flatnonzero((sign[:-1] & letter[1:]) | (letter[:-1] & sign[1:])))
+    for raw in _HIGH_SIGNS:
+        if n >= len(raw):
+            hit = data[: n - len(raw) + 1] == raw[0]
+            for k in range(1, len(raw)):
+                hit &= data[k : n - len(raw) + 1 + k] == raw[k]
+            marks.append(np.flatnonzero(hit))
+    # three equal characters of one to four bytes
+    for size in (1, 2, 3, 4):
+        if n >= 3 * size:
+            same = (data[:-size] == data[size:]) & (letter[:-size] if size == 1 else high[:-size])
+            marks.append(_all_of(same, 2 * size))
+    # pieces: nothing but separators between two; three short ones in a row, one of them single
+    starts, ends = words._runs(data, offsets, kind > 0)
+    parting = np.concatenate([[0], np.cumsum(_PARTS[data])])
+    inside = parting[starts[1:]] - parting[ends[:-1]] == starts[1:] - ends[:-1]
+    marks.append(starts[:-1][inside & (starts[1:] > ends[:-1])])
+    if len(starts) > 2:
+        counted = np.concatenate([[0], np.cumsum(_COUNTED[data])])
+        size = counted[ends] - counted[starts]
+        short, single = size <= 2, size <= 1
+        row = short[:-2] & short[1:-1] & short[2:] & (single[:-2] | single[1:-1] | single[2:])
+        marks.append(starts[:-2][row])
+    places = np.sort(np.concatenate(marks))
+    return np.searchsorted(places, offsets[1:]) > np.searchsorted(places, offsets[:-1])
+
+
+def _all_of(marked: np.ndarray, length: int) -> np.ndarray:
+    """Places from which `length` are marked."""
+    places = np.flatnonzero(marked)
+    places = places[: max(len(places) - length + 1, 0)][
+        places[length - 1 :] - places[: max(len(places) - length + 1, 0)] == length - 1
+    ]
+    return places
 
 
 def restored(text: str, model: np.ndarray, known: dict[str, str]) -> str:

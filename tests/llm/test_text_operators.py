@@ -233,6 +233,8 @@ def test_long_tokens_are_restored():
     assert toxicity.restored("idi" + "o" * 90 + "t", cube, known) == "idiot"
     run = "/".join(["the"] * 20) + "/1d10t/" + ",".join(["house"] * 20) + ",l0ser"
     assert toxicity.restored(run, cube, known) == run.replace("1d10t", "idiot").replace("l0ser", "loser")
+    dotted = ".".join(["the"] * 20 + ["1d10t"] + ["house"] * 20)
+    assert toxicity.restored(dotted, cube, known) == dotted.replace("1d10t", "idiot")
     long = "1d10t-" * 20_000 + "the"
     assert toxicity.restored(long, cube, known).count("idiot") == 20_000
     assert all(len(k) <= toxicity.LONGEST for k in known)
@@ -259,6 +261,25 @@ def test_prefilter_passes_over_nothing_that_would_be_restored():
     assert toxicity.restored("m é t é o", cube, known) == "météo"
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("a55!", "ass!"),
+        ("an asshol3!!", "an asshole!!"),
+        ("(i.d.i.o.t)", "(idiot)"),
+        ('"l o s e r"', '"loser"'),
+        ("i  d  i  o  t", "idiot"),
+        ("l - o - s - e - r", "loser"),
+        ("st-upid", "stupid"),
+        ("id.iot.", "idiot."),
+        ("i di ot", "idiot"),
+        ("The-house, a the.house", "The-house, a the.house"),
+    ],
+)
+def test_plain_disguises_are_restored(text, want):
+    assert toxicity.restored(text, character_cube(INSULTS), {}) == want
+
+
 def test_toxic_words_in_disguise_are_found(spark):
     rng = random.Random(4)
     clean = sentences(rng, 200)

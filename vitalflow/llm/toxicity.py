@@ -2,7 +2,7 @@
 
 A disguised token (digits or signs for letters, letters drawn out, letters spaced or dotted apart)
 becomes a lattice: at each character the letters it may stand for, one letter for a run of the same,
-nothing for a separator. A Viterbi search finds the likeliest word under a character trigram model
+nothing or itself for a separator. A Viterbi search finds the likeliest word under a character trigram model
 counted over all documents, with a cost for every change. Texts with their tokens restored are then
 scored by Naive Bayes support vectors over words and their beginnings.
 """
@@ -32,7 +32,7 @@ SEPARATORS = ".-_*~'`"
 #: Letters of the character model; all others count as one.
 LETTERS = "abcdefghijklmnopqrstuvwxyzàâäáãåæçèéêëìíîïñòóôöõøùúûüýÿßœ"
 #: Log-likelihood paid for each change the channel makes.
-SIGN_COST, RUN_COST, KEEP_RUN_COST = 1.0, 0.7, 0.3
+SIGN_COST, RUN_COST, KEEP_RUN_COST, JOIN_COST = 1.0, 0.7, 0.3, 2.5
 _EDGE, _OTHER = len(LETTERS), len(LETTERS) + 1
 _SIZE = len(LETTERS) + 2
 _CODE = np.full(0x250, _OTHER, dtype=np.int64)
@@ -40,9 +40,11 @@ for _i, _c in enumerate(LETTERS):
     _CODE[ord(_c)] = _i
     if len(_c.upper()) == 1 and ord(_c.upper()) < len(_CODE):
         _CODE[ord(_c.upper())] = _i
-for _c in " \t\n\r\x0b\x0c.,;:!?\"'()":
+for _c in " \t\n\r\x0b\x0c.,;:!?\"'()" + SEPARATORS:
     _CODE[ord(_c)] = _EDGE
 
+_GAP = re.compile(rf"[\s{re.escape(SEPARATORS)}]+")
+_STOPS = ".,;:?\"()" + SEPARATORS
 _HIGH_SIGNS = [c.encode() for c in STANDS_FOR if ord(c) >= 128]
 _PARTS = np.zeros(256, dtype=np.int64)
 _PARTS[[ord(c) for c in SEPARATORS]] = 1
@@ -54,15 +56,22 @@ _KIND[[ord(c) for c in STANDS_FOR if ord(c) < 128]] = 2
 _SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
 _APART = re.escape(SEPARATORS)
 _LETTER = r"[^\W\d_]"
-#: Single letters or signs apart from each other, three or more: "i d i o t", "l.o.s.e.r".
-SPACED = re.compile(
-    rf"(?<![^\s])(?:[{_SIGNS}]|{_LETTER})(?:[ {_APART}](?:[{_SIGNS}]|{_LETTER})){{2,}}(?![^\s.,;:!?])"
-)
+_PIECE = rf"(?:[{_SIGNS}]|{_LETTER})"
+# what may stand before and behind a run of letters apart from each other, besides white space
+_BEFORE = rf"(?<![^\s()\[\]{{}}<>/,;:\"'«»“”„‘’])"
+_BEHIND = rf"(?![^\s.,;:!?()\[\]{{}}<>/\"'«»“”„‘’…])"
+#: Single letters or signs apart from each other, three or more: "i d i o t", "l.o.s.e.r", "(l  o  s  e  r)".
+SPACED = re.compile(rf"{_BEFORE}{_PIECE}(?:[ \t{_APART}]+{_PIECE}){{2,}}{_BEHIND}")
+#: Three or more pieces of one or two letters with white space between, one of them single: "i di ot".
+PARTED = re.compile(rf"{_BEFORE}{_PIECE}{{1,2}}(?:[ \t]+{_PIECE}{{1,2}}){{2,}}{_BEHIND}")
+_SINGLE = re.compile(rf"(?<!\S){_PIECE}(?!\S)")
 #: Tokens end at white space and at punctuation that is neither a sign nor a separator.
 BETWEEN = re.compile(r"([\s,;:?\"/\\<>\[\]{}=&#)«»“”„…]+)")
-#: A token with a letter, and a sign next to it or a letter drawn out.
-DISGUISED = re.compile(rf"[{_SIGNS}]{_LETTER}|{_LETTER}[0-9@$|+]+(?!\S)|({_LETTER})\1\1")
-
+#: A sign next to a letter, a letter drawn out, or a separator between letters.
+DISGUISED = re.compile(
+    rf"[{_SIGNS}]{_LETTER}|{_LETTER}[0-9@$|+€]+(?![^\W_])|({_LETTER})\1\1|{_LETTER}[{_APART}]+{_LETTER}"
+)
+_CHANGED = re.compile(rf"[{_SIGNS}]|({_LETTER})\1\1")
 #: Words and tokens that a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 200_000, 40
 
@@ -116,26 +125,43 @@ def _code(char: str) -> int:
 
 
 def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """Per character of a token, the strings it may stand for and what each costs."""
+    """Per character of a token, the strings it may stand for and what each costs.
+
+    What stands between letters may be nothing or stay. It is nothing where one and the same parts
+    all letters by white space; white space between longer pieces has a cost to go. Two equal letters
+    stay where the token has no other sign of a disguise.
+    """
     out: list[list[tuple[str, float]]] = []
     chars = token.lower()
+    plain = not _CHANGED.search(chars)
+    gaps = set(_GAP.findall(chars))
+    longest = max(map(len, chars.split()), default=0) if any(map(str.isspace, chars)) else 0
     i = 0
     while i < len(chars):
         c = chars[i]
+        if gap := _GAP.match(chars, i):
+            i = gap.end()
+            if not any(map(str.isspace, gap.group())):
+                out.append([("", 0.0), (gap.group(), 0.0)])
+            elif len(gaps) == 1 and longest == 1:
+                out.append([("", 0.0)])
+            else:
+                out.append([("", JOIN_COST if longest > 1 else 0.0), (gap.group(), 0.0)])
+            continue
         run = 1
         while i + run < len(chars) and chars[i + run] == c:
             run += 1
         i += run
         if c.isalpha():
             ways = [(c, RUN_COST if run > 1 else 0.0)]
-            if run > 1:
+            if run == 2 and plain:
+                ways = [(c * 2, 0.0)]
+            elif run > 1:
                 ways.append((c * 2, KEEP_RUN_COST if run == 2 else RUN_COST))
         elif c in STANDS_FOR:
             ways = [(s, SIGN_COST) for s in STANDS_FOR[c]]
             if run > 1:
                 ways += [(s * 2, SIGN_COST) for s in STANDS_FOR[c]]
-        elif c in SEPARATORS or c.isspace():
-            ways = [("", 0.0)]
         else:
             ways = [(c * run, 0.0)]
         out.append(ways)
@@ -241,14 +267,18 @@ def restored(text: str, model: np.ndarray, known: dict[str, str]) -> str:
         return token if word == token.lower() else word
 
     def of_token(token: str) -> str:
-        left = token.lstrip(".,;:?\"()")
-        body = left.rstrip(".,;:?\"()")
+        left = token.lstrip(_STOPS)
+        body = left.rstrip(_STOPS + "!")
         if not DISGUISED.search(body):
             return token
-        at, word = len(token) - len(left), body.rstrip("!")
-        return token[:at] + found(word) + left[len(word) :]
+        at = len(token) - len(left)
+        return token[:at] + found(body) + left[len(body) :]
+
+    def of_run(match: re.Match) -> str:
+        run = match.group()
+        return remembered(run, found) if match.re == SPACED or _SINGLE.search(run) else run
 
-    text = SPACED.sub(lambda m: remembered(m.group(), found), text)
+    text = PARTED.sub(of_run, SPACED.sub(of_run, text))
     parts = BETWEEN.split(text)
     parts[::2] = [remembered(p, of_token) if p else p for p in parts[::2]]
     return "".join(parts)

@@ -325,6 +325,36 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = "Words of the article, and more of them, which go on for a while, as they do. " * 4
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<form id=aspnetForm><input><div><p>{0}</p><p>{0}</p><select><option>o</select></div></form>", "{0} {0}"),
+        ("<nav><a href=a>m</a></nav><div class='content no-sidebar'><h1>T</h1><p>{0}</p></div>", "T {0}"),
+        (
+            "<div class='elementor-widget elementor-widget-theme-post-content'><p>{0}</p><p>{0}</p></div><footer>f</footer>",
+            "{0} {0}",
+        ),
+        (
+            "<div><div class='elementor-widget-text-editor'><p>{0}</p></div>"
+            "<div class='elementor-widget-text-editor'><p>{0}</p></div><div class='widget-menu'><p>{0}</p></div></div>",
+            "{0} {0}",
+        ),
+        ("<div class='post comments-open has-share'><h1>T</h1><p>{0}</p></div>", "T {0}"),
+        ("<div class=login><p>{0}</p></div>", "{0}"),
+        ("<form>{0}<br>{0}<button>Send</button></form><footer>f</footer>", "{0} {0}"),
+        ("<footer>Not an article</footer>", ""),
+        # what is not the article stays out, however long
+        ("<article><p>Short, one.</p></article><div class=comments><p>{0}</p><p>{0}</p></div>", "Short, one."),
+        ("<main><p>{0}</p><form><p>Name, please</p></form><div class=sidebar><p>{0}</p></div></main>", "{0}"),
+    ],
+)
+def test_main_text_is_not_dropped_by_a_name(page, text):
+    assert html_text.main_text(page.format(LONG.strip())) == text.format(LONG.strip())
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, None, None, "x"), (None, "u", "<p>a", "y"), (1, "u", "<p>" + "long " * 50_000, "z"), (1, None, None, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

@@ -29,9 +29,8 @@ NOT_TEXT = frozenset(
     "head script style noscript template title iframe object embed svg math canvas audio video "
     "noembed noframes meta link".split()
 )
-NOT_ARTICLE = frozenset(
-    "nav header footer aside form menu button select option input textarea fieldset dialog search".split()
-)
+CONTROLS = frozenset("button select option input textarea".split())
+NOT_ARTICLE = frozenset("nav header footer aside form menu fieldset dialog search".split())
 # what an opening element closes, and where the search for it stops
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -44,8 +43,26 @@ CLOSES = {
     "tbody": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
 }
-# words in class, id or role that mark what is not the article
-UNWANTED = re.compile(
+# words in class, id or role that mark what is not the article: parts of a layout, and other texts
+_MARK = r"(?:^|[\s_-])(?:{})(?:$|[\s_-]|\d)"
+LAYOUT = re.compile(
+    _MARK.format(
+        r"banner|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toc|header|"
+        r"masthead|footer|notice|notices|alert|popup|modal|overlay|skip|search|toolbar|complementary|"
+        r"contentinfo|dialog"
+    ),
+    re.I,
+)
+OTHER_TEXT = re.compile(
+    _MARK.format(
+        r"ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|newsletter|"
+        r"subscribe|signup|login|comments?|comment-list|commentlist|disqus|replies|responses|respond|"
+        r"discussion|share|sharing|social|related|recommended|recommendations|outbrain|taboola|legal|gdpr"
+    ),
+    re.I,
+)
+_NO_WIDGET = re.compile(r"widget", re.I)
+WANTED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
     r"sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toc|header|masthead|"
     r"footer|cookies?|consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|"
@@ -57,6 +74,9 @@ UNWANTED = re.compile(
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog)(?:$|[\s_-])", re.I)
 BASE_POINTS = {"article": 30.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
 
+#: Marks of a layout are not heeded where they leave less than this share of the text without them.
+LITTLE = 0.1
+
 _MARKUP = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|\Z)"
     r"|<(?P<other>[!?])[^>]*(?:>|\Z)"
@@ -71,19 +91,24 @@ _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Node:
-    __slots__ = ("children", "length", "linked", "marks", "name", "parent", "points", "unwanted")
+    __slots__ = (
+        "children", "doubt", "length", "linked", "marks", "name", "parent", "points", "titled", "unwanted", "weight"
+    )
 
     def __init__(self, name: str, parent: Node | None, marks: str = "", hidden: bool = False):
         self.name, self.parent, self.marks = name, parent, marks
         self.children: list[Node | str] = []
         self.points = 0.0
         self.length = self.linked = 0
-        self.unwanted = (
-            hidden
-            or name in NOT_TEXT
-            or name in NOT_ARTICLE
-            or (name not in ("html", "body", "article", "main") and bool(marks) and bool(UNWANTED.search(marks)))
-        )
+        self.weight = 0.0
+        self.titled = False
+        self.unwanted = hidden or name in NOT_TEXT or name in CONTROLS
+        # what may be no part of the article, which settle() decides by content
+        self.doubt = ""
+        if marks and name not in ("html", "body", "article", "main"):
+            self.doubt = "other" if OTHER_TEXT.search(marks) else "layout" if LAYOUT.search(marks) else ""
+        if name in NOT_ARTICLE and self.doubt != "other":
+            self.doubt = "name"
 
 
 def parse(page: str) -> Node:
@@ -150,8 +175,47 @@ def _closed(node: Node, name: str) -> Node:
     return node
 
 
-def score(root: Node) -> list[Node]:
-    """Give points to all containers; the wanted nodes in page order."""
+def settle(root: Node, every: list[Node], *trusted: str) -> None:
+    """Mark as unwanted the doubtful nodes that are not, and do not hold, the article.
+
+    A form or a node marked as part of a layout stays if it holds most of the page's paragraph points,
+    or has a mark of an article beside (with few links); one marked as another text only if it also
+    holds the title or the article's element. Doubts of the `trusted` kinds do not count. `every` has
+    the nodes that may be wanted at all, in page order.
+    """
+    for node in every:
+        node.weight, node.titled, node.unwanted = 0.0, False, False
+    _measure(root)
+    for node in reversed(every):
+        if _is_paragraph(node) and node.length:
+            node.weight += _paragraph_points(node)
+        if node.parent is not None:
+            node.parent.weight += node.weight
+            node.parent.titled |= node.titled or node.name in ("h1", "main") or (node.name == "article" and not _marked(node))
+    for node in every:
+        if not node.doubt or node.doubt in trusted:
+            continue
+        most = node.weight > 0.5 * root.weight
+        if node.doubt == "other":
+            node.unwanted = not (most and node.titled)
+        else:
+            node.unwanted = not (most or (node.doubt == "layout" and _also_wanted(node)))
+
+
+def _marked(node: Node) -> bool:
+    return bool(OTHER_TEXT.search(node.marks) or LAYOUT.search(node.marks))
+
+
+def _also_wanted(node: Node) -> bool:
+    """A mark of an article on its own, or on a widget, and few links."""
+    if not node.length or node.linked > 0.25 * node.length:
+        return False
+    own = any(WANTED.search(m) and not LAYOUT.search(m) for m in node.marks.split())
+    return own or bool(WANTED.search(node.marks) and not LAYOUT.search(_NO_WIDGET.sub("", node.marks)))
+
+
+def _measure(root: Node) -> list[Node]:
+    """Set lengths and linked lengths of what is not unwanted; those nodes in page order."""
     order: list[Node] = []
     stack = [root]
     while stack:
@@ -159,9 +223,7 @@ def score(root: Node) -> list[Node]:
         if node.unwanted:
             continue
         order.append(node)
-        node.points = BASE_POINTS.get(node.name, 0.0)
-        if node.marks and WANTED.search(node.marks):
-            node.points += 25.0
+        node.length = node.linked = 0
         stack += [c for c in reversed(node.children) if isinstance(c, Node)]
     for node in reversed(order):
         for child in node.children:
@@ -171,10 +233,24 @@ def score(root: Node) -> list[Node]:
             elif not child.unwanted:
                 node.length += child.length
                 node.linked += child.length if node.name == "a" else child.linked
+    return order
+
+
+def _paragraph_points(node: Node) -> float:
+    points = 1 + _commas(node) + min(node.length / 100, 3.0)
+    return points * (1 - node.linked / node.length)
+
+
+def score(root: Node) -> list[Node]:
+    """Give points to all containers; the wanted nodes in page order."""
+    order = _measure(root)
+    for node in order:
+        node.points = BASE_POINTS.get(node.name, 0.0)
+        if node.marks and WANTED.search(node.marks):
+            node.points += 25.0
     for node in order:
         if _is_paragraph(node) and node.length:
-            points = 1 + _commas(node) + min(node.length / 100, 3.0)
-            points *= 1 - node.linked / node.length
+            points = _paragraph_points(node)
             above, share = node.parent, 1.0
             while above is not None and share > 0.1:
                 above.points += points * share
@@ -186,7 +262,7 @@ def _is_paragraph(node: Node) -> bool:
     """Text of its own: a paragraph, or a block that holds text beside or without other blocks."""
     if node.name in ("p", "pre", "blockquote"):
         return True
-    return node.name in ("div", "section", "article", "main", "td", "li", "dd", "body") and any(
+    return node.name in ("div", "section", "article", "main", "td", "li", "dd", "body", "form", "fieldset") and any(
         isinstance(c, str) and not c.isspace() and c for c in node.children
     )
 
@@ -285,7 +361,21 @@ def main_text(page: str) -> str:
     """The article of a page: its blocks, joined by one space; empty where there is none."""
     if not page:
         return ""
-    return " ".join(text for node in kept_nodes(parse(page)) for text in blocks(node))
+    root = parse(page)
+    every = _measure(root)
+    total, doubts = root.length, {node.doubt for node in every}
+    first = _article(root, every)
+    if len(first) >= LITTLE * total or not doubts & {"layout", "other"}:
+        return first
+    if not first:
+        return _article(root, every, "layout") or _article(root, every, "layout", "other")
+    whole = _article(root, every, "layout")
+    return whole if len(first) < LITTLE * len(whole) else first
+
+
+def _article(root: Node, every: list[Node], *trusted: str) -> str:
+    settle(root, every, *trusted)
+    return " ".join(text for node in kept_nodes(root) for text in blocks(node))
 
 
 def extract_pages(

@@ -355,6 +355,37 @@ def test_main_text_is_not_dropped_by_a_name(page, text):
     assert html_text.main_text(page.format(LONG.strip())) == text.format(LONG.strip())
 
 
+SHORT = "<h2>Head</h2><p>A short one.</p><p>Another.</p>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (
+            f"<article><section>{SHORT}</section><section>{'<p>{0}</p>' * 20}</section><section>{SHORT}</section></article>",
+            "Head A short one. Another. " + "{0} " * 20 + "Head A short one. Another.",
+        ),
+        (
+            f"<main><div><p>Intro.</p></div><div>{'<p>{0}</p>' * 9}</div><div><p>The end.</p></div></main>",
+            "Intro. " + "{0} " * 9 + "The end.",
+        ),
+        (
+            "<body><div><ul><li><a href=a>m</a><li><a href=b>n</a></ul></div><div id=wrap><h3>Title</h3>"
+            f"<div><p>An <i>introduction.</i></p></div>Loose text stands here.<div>{'<p>{0}</p>' * 20}</div>"
+            "<ul><li>eggs<li>milk</ul><section><p>Conclusion.</p></section><div><a href=x>Further links</a></div></div>"
+            "<div><a href=c>Contact</a> <a href=d>Terms</a></div></body>",
+            "Title An introduction. Loose text stands here. " + "{0} " * 20 + "eggs milk Conclusion.",
+        ),
+        (
+            f"<body><h1>Top</h1><div><div>{'<p>{0}</p>' * 5}</div><div>{SHORT}</div></div></body>",
+            "Top " + "{0} " * 5 + "Head A short one. Another.",
+        ),
+    ],
+)
+def test_main_text_keeps_all_parts(page, text):
+    assert html_text.main_text(page.format(LONG.strip())) == text.format(LONG.strip())
+
+
 def test_pages_of_odd_rows(spark):
     rows = [(1, None, None, "x"), (None, "u", "<p>a", "y"), (1, "u", "<p>" + "long " * 50_000, "z"), (1, None, None, "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

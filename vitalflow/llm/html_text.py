@@ -1,8 +1,9 @@
 """Main text of web pages by scoring the tree.
 
 Paragraphs give points for their length and commas to their ancestors, less with every generation
-and discounted by the share of their text that is links. The best container is kept, with those of
-its siblings that read like its continuation; what is not the article is left out of it.
+and discounted by the share of their text that is links. The article or main element
+around the best container is kept, or the container with all beside it that reads on; what is not
+the article is left out of it.
 """
 
 from __future__ import annotations
@@ -280,7 +281,11 @@ def _commas(node: Node) -> int:
 
 
 def kept_nodes(root: Node) -> list[Node]:
-    """The best container and the siblings kept with it, in page order; none without text."""
+    """The article of a page as nodes in page order; none without text.
+
+    That is the article or main element around the best container, or else the container with what
+    reads on beside it and beside the nodes that hold it, up to one that stands among links.
+    """
     order = score(root)
 
     def value(node: Node) -> float:
@@ -290,26 +295,85 @@ def kept_nodes(root: Node) -> list[Node]:
     best = max(containers, key=value, default=None)
     if best is None:
         return [root] if root.length else []
-    if best.parent is None or best.name in ("article", "main", "body"):
-        return [best]
-    least = max(10.0, 0.2 * value(best))
-    out = []
-    for node in best.parent.children:
-        if not isinstance(node, Node) or node.unwanted:
-            continue
-        density = node.linked / node.length if node.length else 1.0
-        reads_on = node.name == "p" and (
-            (node.length > 80 and density < 0.25) or (0 < node.length and density == 0 and _ends_sentence(node))
-        )
-        title = node.name in ("h1", "h2") and density == 0
-        if node is best or value(node) >= least or reads_on or title:
-            out.append(node)
+    node: Node | None = best
+    while node is not None and node.name != "article":
+        node = node.parent
+    if node is None:
+        node = best
+        while node is not None and node.name != "main":
+            node = node.parent
+    if node is not None:
+        return [node]
+    # no element of the article: what reads on beside the container, and beside what holds it
+    out, here = [best], best
+    while here.parent is not None and here.name != "body":
+        around = _beside(here.parent)
+        at = around.index(here)
+        reading = [k for k, n in enumerate(around) if k == at or _reads_on(n)]
+        out = [
+            n
+            for k in range(reading[0], reading[-1] + 1)
+            for n in (out if k == at else [around[k]] if k in reading or _few_links(around[k]) else [])
+        ]
+        others = [n for n in around if n is not here]
+        if sum(n.linked for n in others) >= 0.5 * max(sum(n.length for n in others), 1):
+            break
+        here = here.parent
     return out
 
 
+def _beside(parent: Node) -> list[Node]:
+    """The wanted blocks of a node in page order, and its other text between them as blocks."""
+    out: list[Node] = []
+    loose: Node | None = None
+    for child in parent.children:
+        if isinstance(child, Node) and child.name in BLOCKS:
+            loose = None
+            if not child.unwanted:
+                out.append(child)
+            continue
+        if loose is None:
+            loose = Node("p", parent)
+            out.append(loose)
+        loose.children.append(child)
+        if isinstance(child, str):
+            loose.length += len(child.strip())
+        elif not child.unwanted:
+            loose.length += child.length
+            loose.linked += child.length if child.name == "a" else child.linked
+    return [n for n in out if n.length]
+
+
+def _few_links(node: Node) -> bool:
+    return node.linked < 0.25 * node.length
+
+
+def _reads_on(node: Node) -> bool:
+    """Few links, and a heading, long text or a paragraph that ends as a sentence."""
+    if not _few_links(node):
+        return False
+    if re.fullmatch("h[1-6]", node.name):
+        return node.linked == 0
+    stack = [node]
+    while stack:
+        here = stack.pop()
+        own = [c for c in here.children if isinstance(c, Node) and not c.unwanted]
+        if here.name in ("p", "pre", "blockquote") or _is_paragraph(here):
+            if here.length > 80 or (here.linked == 0 and _ends_sentence(here)):
+                return True
+        if here is not node and re.fullmatch("h[1-6]", here.name) and here.length and not here.linked:
+            return True
+        stack += own
+    return False
+
+
 def _ends_sentence(node: Node) -> bool:
-    text = "".join(c for c in node.children if isinstance(c, str)).rstrip()
-    return text.endswith((".", "!", "?"))
+    while node.children:
+        last = next((c for c in reversed(node.children) if not (isinstance(c, str) and not c.strip())), "")
+        if isinstance(last, str):
+            return last.rstrip(" \t\r\n\"'»”’)").endswith((".", "!", "?", "…", "。", "！", "？"))
+        node = last
+    return False
 
 
 def blocks(node: Node) -> Iterator[str]:

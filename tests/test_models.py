@@ -4,13 +4,14 @@ from pyspark.sql import functions as F
 from vitalflow import schemas as S
 from vitalflow.models import boosted, scoring
 from vitalflow.operators import metrics
-from vitalflow.plans import datasets
+from vitalflow.plans import catalog, datasets
 from vitalflow.operators.filters import drop_incomplete
 from vitalflow.operators.windows import stratified_split
 from vitalflow.session import staged
 from vitalflow.streaming import jobs
 
 SMALL = boosted.BoostedTrees(trees=5, depth=3, rate=0.1, balanced=True)
+SMALL_FIT = boosted.BoostedTrees.fit
 
 
 @pytest.fixture(scope="module")
@@ -70,6 +71,31 @@ def test_loss_falls_while_training(parts, model):
         assert losses[-1] < losses[0]
 
 
+def test_three_class_loss_after_some_of_the_trees(parts, model):
+    rows = boosted.staged_multi_logloss(model, parts[1], every=2).collect()
+    assert [r.trees for r in rows] == [2, 4]
+    fewer = boosted.BoostedTrees(trees=2, depth=3, rate=0.1, balanced=True).fit(parts[0])
+    assert rows[0].logloss == pytest.approx(metrics.multi_logloss(fewer.probabilities(parts[1])).first().logloss)
+    whole = metrics.multi_logloss(model.probabilities(parts[1])).first().logloss
+    last = metrics.multi_logloss(model.first(5).probabilities(parts[1])).first().logloss
+    assert rows[0].logloss > rows[1].logloss > last and last == pytest.approx(whole)
+
+
+def test_loss_query_scores_the_whole_booster(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def fit(settings, rows, label="label"):
+        seen.append(settings)
+        return SMALL_FIT(SMALL, rows, label)
+
+    monkeypatch.setattr(boosted.BoostedTrees, "fit", fit)
+    monkeypatch.setattr(catalog, "_LEAF_MODELS", {})
+    monkeypatch.setattr(boosted.staged_multi_logloss, "__defaults__", ("label", 1))
+    assert catalog.QUERIES["train_lgbm_logloss"](spark, sf_dir).count() == 1
+    catalog.QUERIES["train_lgbm"](spark, sf_dir).count()
+    assert seen == [boosted.LEAF_BOOSTING]  # fitted once for both
+
+
 def test_settings_of_the_three_models():
     assert (boosted.GRADIENT_BOOSTING.trees, boosted.GRADIENT_BOOSTING.depth) == (50, 4)
     assert boosted.HISTOGRAM_BOOSTING.balanced and boosted.HISTOGRAM_BOOSTING.bins == 255

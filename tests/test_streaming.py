@@ -5,6 +5,7 @@ from tests.test_operators import monitor, random_checks
 from vitalflow import schemas as S
 from vitalflow.models import scoring
 from vitalflow.models.scoring import RuleModel
+from vitalflow.plans import catalog
 from vitalflow.sources import points as pts
 from vitalflow.sources import streams
 from vitalflow.streaming import jobs
@@ -196,3 +197,18 @@ def test_count_or_time_trigger():
     assert streams.count_or_time_trigger() == {
         "max_offsets": 1000, "min_offsets": 1000, "max_delay": "30s",
     }
+
+
+def test_parts_stay_micro_batches_and_widen_with_the_input(spark, tmp_path):
+    # parts of 800, 800, 1, no, 800 and 3 rows, and what is in none
+    part = F.expr("case when id < 800 then 0 when id < 1600 then 1 when id = 1600 then 2"
+                  " when id < 2401 then 4 when id < 2404 then 5 else 9 end")
+    rows = spark.range(0, 2_500, 1, 32)
+    stream = catalog.in_parts(rows.repartition(32), part, "widths")
+    run = stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c")
+    run = run.trigger(availableNow=True).start()
+    run.awaitTermination()
+    assert [p["numInputRows"] for p in run.recentProgress][:6] == [800, 800, 1, 0, 800, 3]
+    logs = sorted((tmp_path / "c" / "sources" / "0").glob("[0-9]*"))  # one line a file, after the version
+    files = [len(log.read_text().splitlines()) - 1 for log in logs]
+    assert len(files) == 6 and len(set(files)) == 1 and files[0] > 2

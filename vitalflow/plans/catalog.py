@@ -31,7 +31,7 @@ QUERIES: dict[str, Query] = {}
 HALF_US = 1_704_069_000_000_000
 FIVE, QUARTER = 300_000, 900_000
 #: Micro-batches of the streams that arrive in parts, and files of each.
-PARTS, FILES_PER_PART = 6, 2
+PARTS, FILES_PER_PART = 6, 2  # files at least
 #: Heart rate from which a call does not answer in time.
 STUCK_HR = 154.9
 
@@ -650,14 +650,26 @@ def record_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def in_parts(rows: DataFrame, part: Column, name: str) -> DataFrame:
-    """A stream of `rows` that reads the parts 0 to PARTS - 1 one per micro-batch."""
+    """A stream of `rows` that reads the parts 0 to PARTS - 1 one per micro-batch.
+
+    Every part is written as so many files as Spark's partitions hold the widest one in, so they grow
+    with the input. What a part of few rows lacks is made up by empty files, as a micro-batch takes
+    a fixed number.
+    """
     spark = rows.sparkSession
     path = fresh_path(spark, name)
     numbered = staged(rows.withColumn("_part", part), f"{name}-parts")
+    inside = numbered.filter(F.col("_part").between(0, PARTS - 1))
+    held_in = inside.select("_part", F.spark_partition_id().alias("_in")).distinct()
+    widths = held_in.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    files = max(widths.agg(F.max("n")).first()[0] or 0, FILES_PER_PART)
     for k in range(PARTS):
         own = numbered.filter(F.col("_part") == k).drop("_part")
-        own.repartition(FILES_PER_PART).write.mode("append").parquet(path)
-    return streams.read_stream_earliest(spark, path, rows.schema, FILES_PER_PART)
+        own.repartition(files).write.mode("append").parquet(path)
+        there = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
+        for _ in range((k + 1) * files - there):
+            own.limit(0).write.mode("append").parquet(path)
+    return streams.read_stream_earliest(spark, path, rows.schema, files)
 
 
 def share_of(place: Column, rows: DataFrame) -> Column:

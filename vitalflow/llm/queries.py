@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from vitalflow.llm import (
     archives,
     exact_dedup,
+    filter_audit,
     fingerprints,
     html_text,
     mixing,
     near_dedup,
     pieces,
     quality,
+    sharding,
     token_files,
     toxicity,
 )
@@ -77,6 +79,14 @@ def op10_archives(spark: SparkSession, sf: str) -> DataFrame:
     return archives.read_archives(files, folder).drop("url")
 
 
+def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit_documents(documents(spark, sf), labels(spark, sf))
+
+
+def op13_shards(spark: SparkSession, sf: str) -> DataFrame:
+    return sharding.document_shards(documents(spark, sf))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_mix": op2_mix,
@@ -88,6 +98,8 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_toxicity": op9_toxicity,
     "op10_archives": op10_archives,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_shards": op13_shards,
 }
 
 OP2_SQL = r"""
@@ -179,9 +191,58 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from kept
 """
 
+OP12_SQL = r"""
+with recursive worded as (
+  select d.*, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         min(doc_id) over (partition by coalesce(text, '')) as first_id
+  from documents d),
+marked as (
+  select doc_id, max((quality is not distinct from 1)::int) as good,
+         max((toxic is not distinct from 1)::int) as toxic
+  from labels where doc_id is not null group by doc_id),
+failed as (
+  select coalesce(lang, '') as part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+         (case when len(w) < 200 then 'A' else '' end) ||
+         (case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end) ||
+         (case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 'C' else '' end) ||
+         (case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end) ||
+         (case when doc_id > first_id or (doc_id is null and first_id is not null) then 'E' else '' end)
+           as fails
+  from worded left join marked using (doc_id)),
+masks as (
+  select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from failed group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter),
+orders(filter_order) as (
+  select ''
+  union all
+  select filter_order || letter from orders join letters on not contains(filter_order, letter)),
+steps as (
+  select filter_order, step, filter_order[step:step] as filter, filter_order[1:step - 1] as before
+  from orders, range(1, 6) r(step) where length(filter_order) = 5),
+found as (
+  select part, filter_order, step, filter,
+         sum(n) filter (early = '' and not contains(fails, filter)) as kept,
+         sum(n) filter (early = '' and contains(fails, filter)) as removed,
+         sum(n) filter (early <> '' and contains(fails, filter)) as redundant,
+         sum(n) filter (fails = filter) as unique_fails,
+         sum(good) filter (early = '' and contains(fails, filter)) as good_lost,
+         sum(toxic) filter (early = '' and contains(fails, filter)) as toxic_lost
+  from (select *, case when before = '' then '' else regexp_replace(fails, '[^' || before || ']', '', 'g') end as early
+        from steps, masks)
+  group by part, filter_order, step, filter)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
+       coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+       coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+       coalesce(toxic_lost, 0)::bigint as toxic_lost,
+       coalesce(sum(removed) over (partition by part, filter), 0)::bigint as shapley
+from found
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix": OP2_SQL,
     "op3_exact_dedup": OP3_SQL,
     "op4_near_dedup": OP4_SQL,
     "op10_archives": OP10_SQL,
+    "op12_filter_audit": OP12_SQL,
 }

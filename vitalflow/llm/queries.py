@@ -12,6 +12,7 @@ from vitalflow.llm import (
     filter_audit,
     fingerprints,
     html_text,
+    merkle,
     mixing,
     near_dedup,
     pieces,
@@ -79,6 +80,10 @@ def op10_archives(spark: SparkSession, sf: str) -> DataFrame:
     return archives.read_archives(files, folder).drop("url")
 
 
+def op11_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return merkle.document_proofs(documents(spark, sf))
+
+
 def op12_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_documents(documents(spark, sf), labels(spark, sf))
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_toxicity": op9_toxicity,
     "op10_archives": op10_archives,
+    "op11_manifest": op11_manifest,
     "op12_filter_audit": op12_filter_audit,
     "op13_shards": op13_shards,
 }
@@ -191,6 +197,74 @@ select page_id, strlen(html)::bigint as payload_bytes,
 from kept
 """
 
+def op11_sql(levels: int = 8, top_levels: int = 3) -> str:
+    """Proofs with the levels written out: up to 8^8 documents a language, 8^3 languages."""
+    field = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+    whole = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bits = "unicode(substr(coalesce(doc_id::varchar, ''), i, 1)), -1, -1, -1, -1, -1, -1, -1, -1"
+    steps = [
+        f"""
+with coded as materialized (
+  select doc_id, coalesce('=' || lang, '-') as tree,
+         sha256({whole.format(text="text")}) as leaf, sha256({whole.format(text=lower)}) as lowered,
+         xor(4294967295, list_reduce(
+           [4294967295] || flatten(list_transform(
+             range(1, length(coalesce(doc_id::varchar, '')) + 1), lambda i: [{bits}])),
+           lambda c, o: case when o >= 0 then xor(c, o)
+                             else xor(c >> 1, 3988292384 * (c & 1)) end)) % 3 = 0 as tampered
+  from documents),
+placed as materialized (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos from coded),
+level0 as materialized (select tree, pos, leaf as h, count(*) over (partition by tree) as n from placed)"""
+    ]
+
+    def join_up(name: str, k: int) -> str:
+        return f"""
+{name}{k + 1} as materialized (
+  select tree, pos // 8 as pos, any_value(n - 1) // 8 + 1 as n,
+         case when any_value(n) = 1 then max(h) else sha256(string_agg(h, '' order by pos)) end as h
+  from {name}{k} group by tree, pos // 8)"""
+
+    def climb(name: str, level: str, k: int) -> str:
+        return f"""
+{name}{k + 1} as materialized (
+  select w.row_no, w.tree, w.pos // 8 as pos, any_value(w.proof) ||
+           coalesce(string_agg(l.h, '' order by l.pos) filter (l.pos <> w.pos), '') as proof,
+         case when any_value(l.n) = 1 then any_value(w.now)
+              else sha256(coalesce(string_agg(l.h, '' order by l.pos) filter (l.pos < w.pos), '') ||
+                          any_value(w.now) ||
+                          coalesce(string_agg(l.h, '' order by l.pos) filter (l.pos > w.pos), ''))
+         end as now
+  from {name}{k} w join {level}{k} l on l.tree = w.tree and l.pos // 8 = w.pos // 8
+  group by w.row_no, w.tree, w.pos)"""
+
+    steps += [join_up("level", k) for k in range(levels)]
+    steps.append(f"""
+top0 as materialized (
+  select '' as tree, row_number() over (order by tree) - 1 as pos, h, count(*) over () as n,
+         tree as lang_tree
+  from level{levels})""")
+    steps += [join_up("top", k) for k in range(top_levels)]
+    steps.append("""
+walk0 as materialized (
+  select row_number() over () as row_no, tree, pos, '' as proof,
+         case when tampered then lowered else leaf end as now, doc_id, leaf
+  from placed)""")
+    steps += [climb("walk", "level", k) for k in range(levels)]
+    steps.append(f"""
+rise0 as materialized (
+  select w.row_no, '' as tree, t.pos, w.proof, w.now
+  from walk{levels} w join top0 t on t.lang_tree = w.tree)""")
+    steps += [climb("rise", "top", k) for k in range(top_levels)]
+    return ",".join(steps) + f"""
+select d.doc_id, d.leaf, t.h as subroot, r.h as root, sha256(w.proof) as proof_sha256,
+       w.now as folded_root, w.now = r.h as verified
+from walk0 d join rise{top_levels} w using (row_no) join top0 t on t.lang_tree = d.tree
+cross join top{top_levels} r
+"""
+
+
 OP12_SQL = r"""
 with recursive worded as (
   select d.*, coalesce(text, '') as t,
@@ -244,5 +318,6 @@ ORACLES: dict[str, str] = {
     "op3_exact_dedup": OP3_SQL,
     "op4_near_dedup": OP4_SQL,
     "op10_archives": OP10_SQL,
+    "op11_manifest": op11_sql(),
     "op12_filter_audit": OP12_SQL,
 }

@@ -7,13 +7,12 @@ pair of sets with likeness s meets in some table unless one collection has no eq
 happens with probability under 2 * (1 - s**width)**groups; `groups` is the smallest number that
 brings this under `miss` at the threshold.
 
-Documents with equal sets are one node. In every table the members are first held against the one
-with the smallest number; what is linked becomes one component. Of members of different components
-that meet in a table, those are then held against each other that can be linked at all: sets differ
-in at least as many shingles as their odd sketches (one bit per hash value, turned over by every
-shingle) differ in bits, and two sets that differ in too many cannot be linked. So that filter loses
-nothing, and a large group of near copies makes few pairs beside its links. All links are confirmed
-on full sets.
+Documents with equal sets are one node. In every table the members are held against a few of them,
+in rounds, and what is linked becomes one component, until few pairs of members of different
+components are left, which are then all compared. Only pairs that can be linked at all are: sets
+differ in at least as many shingles as their odd sketches (one bit per hash value, turned over by
+every shingle) differ in bits, and two sets that differ in too many cannot be linked. So that filter
+loses nothing. All links are confirmed on full sets.
 """
 
 from __future__ import annotations
@@ -34,6 +33,10 @@ WIDTH = 3
 MISS = 5e-5
 #: Bits of an odd sketch, in words of 64.
 SKETCH_WORDS = 8
+#: Members of a table that all others are held against in a round.
+LEADS = 4
+#: Links found by a round per member still in it, from which another round is worth its cost.
+MERGING = 0.01
 
 
 def group_count(threshold: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -263,24 +266,16 @@ def near_groups(
     )
     tables = _tables(staged(alone, "near-alone"))
     tables = staged(tables, "near-tables")
-    meeting = tables.groupBy("table_key").agg(F.min("node").alias("lead"), F.count("*").alias("c"))
-    members = staged(
-        tables.join(meeting.filter("c > 1").drop("c"), "table_key"), "near-members"
-    )
+    meeting = tables.groupBy("table_key").agg(F.count("*").alias("c"))
+    shared = meeting.filter("c > 1").select("table_key")
+    members = staged(tables.join(shared, "table_key"), "near-members")
     wanted = members.select("node").distinct()
     texts = flat.withColumnRenamed("row_key", "node").join(wanted, "node", "left_semi")
     sets = staged(full_sets(texts, size), "near-sets")
 
-    star = members.filter("node != lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-    star = staged(star.distinct(), "near-star")
-    links = staged(_linked(star, sets, percent), "near-links")
-    part = staged(components(links), "near-parts")
     odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(SKETCH_WORDS)]
     sketches = signed.select(F.col("row_key").alias("node"), *odd)
-    rest = _across(members, part, star, sketches, percent)
-    more = staged(_linked(rest, sets, percent), "near-more")
-    whole = components(part.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    whole = staged(whole, "near-components")
+    whole = _meeting_components(members.select("table_key", "node", "n"), sketches, sets, percent)
 
     rooted = nodes.join(whole, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
@@ -299,33 +294,93 @@ def near_groups(
     )
 
 
-def _across(
-    members: DataFrame, part: DataFrame, star: DataFrame, sketches: DataFrame, percent: int
+def _meeting_components(
+    members: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int
 ) -> DataFrame:
-    """Pairs that meet in a table, lie in different components, can be linked by their sketches and
-    were not compared yet."""
-    placed = members.join(part, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = staged(placed.select("table_key", "node", "n", "component"), "near-placed")
-    several = placed.groupBy("table_key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    ).filter("low != high").select("table_key")
-    still = staged(placed.join(several, "table_key"), "near-open")
-    wanted = sketches.join(still.select("node").distinct(), "node")
-    open_rows = staged(still.join(wanted, "node"), "near-sketched")
+    """(node, component): what links between nodes that meet in some table join together.
+
+    `members` has (table_key, node, n). In rounds, all members of a table are held against a few of
+    them, its leads, and what is linked is merged. A round costs each member a few comparisons,
+    however many there are; a large group of near copies becomes one component soon, and tables in
+    which only one component is left are done. Once a round merges little, all pairs of members of
+    different components that still meet are compared, so no link is lost.
+    """
+    wide = members.join(sketches.join(members.select("node").distinct(), "node"), "node")
+    rows = staged(wide, "near-sketched")
+    part = staged(members.select("node", F.col("node").alias("component")).distinct(), "near-parts")
+    compared: DataFrame | None = None
+    merging, number = True, 0
+    while True:
+        placed = staged(rows.join(part, "node"), "near-placed")
+        sizes = placed.groupBy("table_key", "component").agg(F.count(F.lit(1)).alias("k"))
+        tables = sizes.groupBy("table_key").agg(F.sum("k").alias("c"), F.count(F.lit(1)).alias("components"))
+        several = staged(tables.filter(F.col("components") > 1), "near-several")
+        left = several.agg(F.sum("c")).first()[0]
+        if not left:
+            return part
+        rows = placed.join(several.select("table_key"), "table_key")
+        found = _pairs_with_leads(rows, number, percent) if merging else _pairs_left(rows, percent)
+        fresh = found if compared is None else found.join(compared, ["a", "b"], "left_anti")
+        fresh = staged(fresh, "near-pairs")
+        links = staged(_linked(fresh, sets, percent), "near-links")
+        part = staged(_merged(part, links), "near-parts")
+        if not merging:
+            return part
+        merging = links.count() >= MERGING * left
+        compared = fresh if compared is None else compared.unionByName(fresh)
+        rows, number = rows.drop("component"), number + 1
+
+
+def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
+    """`part` with the components that `links` (a, b) join made one, named by the smallest node."""
+    of = part.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    of_b = part.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    edges = links.join(of, "a").join(of_b, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    joined = components(edges).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    merged = part.join(joined, "component", "left")
+    return merged.select("node", F.coalesce("to", "component").alias("component"))
+
+
+def _pair(left: str, right: str) -> list[Column]:
+    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
+
+
+def _pairs_with_leads(rows: DataFrame, number: int, percent: int) -> DataFrame:
+    """Pairs of a table's leads, members drawn by hash, with its members of other components that
+    can be linked by size and sketch."""
+    columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
+    whole = F.struct(*columns)
+    drawn = [
+        F.min_by(whole, F.xxhash64(F.lit(LEADS * number + i), "node")).alias(f"lead{i}")
+        for i in range(LEADS)
+    ]
+    leads = rows.groupBy("table_key").agg(*drawn).select(
+        "table_key", F.explode(F.array_distinct(F.array(*[f"lead{i}" for i in range(LEADS)]))).alias("lead")
+    )
+    a = leads.select("table_key", *[F.col(f"lead.{c}").alias(f"{c}_a") for c in columns])
+    b = rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    return _met(a, b, percent, F.lit(True))
+
+
+def _pairs_left(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs of members of different components that can be linked by size and sketch."""
     columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
-    a = open_rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
-    b = open_rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    a = rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
+    return _met(a, b, percent, F.col("node_a") < F.col("node_b"))
+
+
+def _met(a: DataFrame, b: DataFrame, percent: int, wanted: Column) -> DataFrame:
     n, m = F.col("n_a"), F.col("n_b")
     met = a.join(
         b,
         (a["table_key"] == b["table_key"])
-        & (F.col("node_a") < F.col("node_b"))
+        & wanted
         & (F.col("component_a") != F.col("component_b"))
         & _close(n, m, percent)
         & _may_link(n, m, percent),
     )
-    pairs = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-    return staged(pairs.join(star, ["a", "b"], "left_anti"), "near-across")
+    return met.select(*_pair("node_a", "node_b")).distinct()
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

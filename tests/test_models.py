@@ -1,3 +1,6 @@
+import dataclasses
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,34 +67,126 @@ def test_scores_a_stream(spark, parts, model, tmp_path):
 
 
 def test_loss_falls_while_training(parts, model):
-    rows = boosted.staged_logloss(model, parts[1], every=1).collect()
-    assert len(rows) == 15
-    for c in S.CLASSES:
-        losses = [r.logloss for r in sorted(rows, key=lambda r: r.trees) if r["class"] == c]
-        assert losses[-1] < losses[0]
-
-
-def test_three_class_loss_after_some_of_the_trees(parts, model):
-    rows = boosted.staged_multi_logloss(model, parts[1], every=2).collect()
-    assert [r.trees for r in rows] == [2, 4]
-    fewer = boosted.BoostedTrees(trees=2, depth=3, rate=0.1, balanced=True).fit(parts[0])
-    assert rows[0].logloss == pytest.approx(metrics.multi_logloss(fewer.probabilities(parts[1])).first().logloss)
-    whole = metrics.multi_logloss(model.probabilities(parts[1])).first().logloss
-    last = metrics.multi_logloss(model.first(5).probabilities(parts[1])).first().logloss
-    assert rows[0].logloss > rows[1].logloss > last and last == pytest.approx(whole)
+    rows = boosted.staged_multi_logloss(model, parts[1], every=1).collect()
+    losses = [r.logloss for r in rows]
+    assert [r.trees for r in rows] == [1, 2, 3, 4, 5] and losses == sorted(losses, reverse=True)
+    for trees, loss in zip((2, 5), (losses[1], losses[4])):
+        scored = model.first(trees).probabilities(parts[1])
+        assert metrics.multi_logloss(scored).first().logloss == pytest.approx(loss)
+
+
+def plain_bins(values, bins):
+    """Bin numbers by the rule of cells, one feature after the other."""
+    out = np.zeros(values.shape, dtype=int)
+    for f in range(values.shape[1]):
+        v = values[:, f]
+        cell = np.minimum(np.floor((v - v.min()) / (v.max() - v.min()) * boosted.CELLS), boosted.CELLS - 1)
+        before = np.array([(cell < c).sum() for c in cell])
+        out[:, f] = np.minimum(before * bins // len(v), bins - 1)
+    return out
+
+
+def plain_boosting(values, labels, settings):
+    """Class scores after all rounds, by going through every cut of every leaf."""
+    n = len(labels)
+    w = np.ones(n)
+    if settings.balanced:
+        w = np.array([n / (len(set(labels)) * (labels == c).sum()) for c in labels])
+    p = np.array([w[labels == k].sum() / w.sum() for k in range(3)])
+    scores = np.tile(np.log(p), (n, 1))
+    binned = plain_bins(values, settings.bins)
+    for _ in range(settings.trees):
+        shares = boosted.softmax(scores)
+        for k in range(3):
+            g, h = w * ((labels == k) - shares[:, k]), w * shares[:, k] * (1 - shares[:, k])
+            size = h if settings.newton else np.ones(n)
+            leaves = {1: np.arange(n)}
+
+            def cut(node):
+                best = (0.0, None)
+                rows = leaves[node]
+                if settings.depth is not None and node.bit_length() > settings.depth:
+                    return best
+                for f in range(values.shape[1]):
+                    for b in range(settings.bins):
+                        left = rows[binned[rows, f] <= b]
+                        right = rows[binned[rows, f] > b]
+                        if min(len(left), len(right)) < settings.min_rows:
+                            continue
+                        gain = sum(g[x].sum() ** 2 / size[x].sum() for x in (left, right))
+                        gain = round(gain - g[rows].sum() ** 2 / size[rows].sum(), boosted.GAIN_DECIMALS)
+                        if gain > best[0]:
+                            best = (gain, (f, b))
+                return best
+
+            cuts = {1: cut(1)}
+            while len(leaves) < (settings.leaves or 1 << 30) and max(c[0] for c in cuts.values()) > 0:
+                node = max(cuts, key=lambda i: (cuts[i][0], -i))
+                _, (f, b) = cuts.pop(node)
+                rows = leaves.pop(node)
+                leaves[2 * node], leaves[2 * node + 1] = rows[binned[rows, f] <= b], rows[binned[rows, f] > b]
+                cuts[2 * node], cuts[2 * node + 1] = cut(2 * node), cut(2 * node + 1)
+            for rows in leaves.values():
+                scores[rows, k] += settings.rate * settings.step * g[rows].sum() / h[rows].sum()
+    return scores
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        boosted.BoostedTrees(trees=3, depth=3, rate=0.3, bins=16, newton=False, step=2 / 3),
+        boosted.BoostedTrees(trees=12, depth=2, rate=0.3, bins=8, min_rows=20, balanced=True),
+        boosted.BoostedTrees(trees=3, leaves=12, rate=0.3, bins=16, min_rows=5, balanced=True, step=2 / 3),
+    ],
+)
+def test_trees_equal_those_of_going_through_all_cuts(parts, settings):
+    rows = parts[0].filter("seq < 400")
+    table = rows.select(*S.FEATURES, "label", "seq").toPandas().sort_values("seq")
+    want = plain_boosting(table[list(S.FEATURES)].to_numpy(float), table["label"].to_numpy(), settings)
+    got = settings.fit(rows.repartition(3)).scores(rows).orderBy("seq").select("f0", "f1", "f2").toPandas()
+    assert np.allclose(got.to_numpy(), want)
+
+
+def test_leaf_wise_trees_go_deep(parts):
+    grown = dataclasses.replace(boosted.LEAF_BOOSTING, trees=2).fit(parts[0], row_key="seq")
+    deepest = dataclasses.replace(boosted.LEAF_BOOSTING, trees=1, min_rows=2).fit(parts[0], row_key="seq")
+    trees = [t for r in (*grown.rounds, *deepest.rounds) for t in r]
+    assert all(t.leaves <= 31 for t in trees) and max(t.leaves for t in deepest.rounds[0]) == 31
+    assert max(t.depth for t in deepest.rounds[0]) > 5
+    again = dataclasses.replace(boosted.LEAF_BOOSTING, trees=2).fit(parts[0].repartition(4), row_key="seq")
+    for a, b in zip(grown.rounds, again.rounds):
+        assert all(np.array_equal(x.feature, y.feature) and np.allclose(x.value, y.value) for x, y in zip(a, b))
+    assert {len(boosted.LEAF_BOOSTING.features_of(r, k)) for r in range(9) for k in range(3)} == {5}
+    u = np.arange(100_000, dtype=np.uint64) * np.uint64(42_949)
+    share = boosted.drawn(u, boosted.LEAF_BOOSTING.salt(3), 0.8).mean()
+    assert abs(share - 0.8) < 0.01
+
+
+def test_odd_training_rows(spark, parts, model):
+    columns = [F.lit(None).cast("double").alias(c) for c in S.FEATURES]
+    missing = parts[1].limit(5).select("seq", "label", *columns)
+    shares = model.probabilities(missing).first()
+    assert shares.p0 + shares.p1 + shares.p2 == pytest.approx(1)
+    none = SMALL.fit(parts[0].limit(0))
+    assert none.rounds == () and none.probabilities(missing).first().p1 == pytest.approx(1 / 3)
+    foreign = parts[0].withColumn("label", F.lit(7))
+    assert SMALL.fit(foreign).rounds == ()
+    one = SMALL.fit(parts[0].limit(50).withColumn("label", F.lit(1)))
+    assert one.score(parts[1]).filter("stress_level != 1").count() == 0
 
 
 def test_loss_query_scores_the_whole_booster(spark, sf_dir, monkeypatch):
     seen = []
 
-    def fit(settings, rows, label="label"):
+    def fit(settings, rows, label="label", row_key=None):
         seen.append(settings)
-        return SMALL_FIT(SMALL, rows, label)
+        return SMALL_FIT(SMALL, rows, label, row_key)
 
     monkeypatch.setattr(boosted.BoostedTrees, "fit", fit)
     monkeypatch.setattr(catalog, "_LEAF_MODELS", {})
     monkeypatch.setattr(boosted.staged_multi_logloss, "__defaults__", ("label", 1))
-    assert catalog.QUERIES["train_lgbm_logloss"](spark, sf_dir).count() == 1
+    losses = catalog.QUERIES["train_lgbm_logloss"](spark, sf_dir).collect()
+    assert sorted(r.trees for r in losses) == [1, 2, 3, 4, 5] and all(r.lower for r in losses)
     catalog.QUERIES["train_lgbm"](spark, sf_dir).count()
     assert seen == [boosted.LEAF_BOOSTING]  # fitted once for both
 

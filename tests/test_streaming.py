@@ -8,7 +8,7 @@ from vitalflow.models.scoring import RuleModel
 from vitalflow.plans import catalog
 from vitalflow.sources import points as pts
 from vitalflow.sources import streams
-from vitalflow.streaming import jobs
+from vitalflow.streaming import jobs, stateful
 
 RULE = RuleModel(lambda: F.when(F.col("HR") >= 100, 2).otherwise(0))
 
@@ -146,9 +146,8 @@ def test_mode_state_survives_restarts(spark, tmp_path):
         df = spark.createDataFrame(rows, schema).coalesce(1)
         df.write.mode("append").parquet(f"{tmp_path}/log")
         stream = streams.read_stream_earliest(spark, f"{tmp_path}/log", df.schema, 1)
-        jobs.start_fallback_state(
-            stream, f"{tmp_path}/rows", f"{tmp_path}/state", f"{tmp_path}/progress"
-        ).awaitTermination()
+        modes = stateful.fallback_state_stream(stream)
+        jobs.start_files(modes, f"{tmp_path}/rows", f"{tmp_path}/progress").awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/rows").collect()
     kept_q = [c for i, c in enumerate(checks["q"]) if not 7 <= i < 30]
     places_q = [i for i in range(60) if not 7 <= i < 30]

@@ -46,7 +46,8 @@ def lag_by_source(
     )
 
 
-def _flagged(checks: DataFrame, limit_s: float, resume_share: float) -> DataFrame:
+def check_flags(checks: DataFrame, limit_s: float, resume_share: float) -> DataFrame:
+    """Add `breach`, `reset` and `_stop`, what a check does to the monitor."""
     lag = F.col("latency_s")
     healthy = F.coalesce(F.col("healthy"), F.lit(False))
     late = F.coalesce(lag > limit_s, F.lit(False))
@@ -106,7 +107,7 @@ def _told(
     fields = [T.StructField(n, T.LongType()) for n in counts] + [
         T.StructField(p + n, T.BooleanType()) for n in flags for p in ("", "_was")
     ]
-    flagged = _flagged(checks, limit_s, resume_share)
+    flagged = check_flags(checks, limit_s, resume_share)
     rows = in_runs(flagged, [key], [order], compute, fields, "monitor")
 
     so_far = key_so_far([key])

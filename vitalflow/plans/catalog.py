@@ -5,7 +5,6 @@ Values that depend on the order of floating-point sums are shown with four decim
 
 from __future__ import annotations
 
-import math
 import time
 from collections.abc import Callable, Iterable
 
@@ -23,7 +22,7 @@ from vitalflow.operators.ordered import position
 from vitalflow.plans import datasets as data
 from vitalflow.session import fresh_path, staged
 from vitalflow.sources import files, points as pts, streams
-from vitalflow.streaming import jobs
+from vitalflow.streaming import jobs, stateful
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -656,20 +655,42 @@ def in_parts(rows: DataFrame, part: Column, name: str) -> DataFrame:
     with the input. What a part of few rows lacks is made up by empty files, as a micro-batch takes
     a fixed number.
     """
+    path = fresh_path(rows.sparkSession, name)
+    files = write_parts(rows, part, path, range(PARTS))
+    return streams.read_stream_earliest(rows.sparkSession, path, rows.schema, files)
+
+
+def write_parts(rows: DataFrame, part: Column, path: str, parts: Iterable[int], files: int = 0) -> int:
+    """Write some of the parts in their order; the number of files of each, `files` if given."""
     spark = rows.sparkSession
-    path = fresh_path(spark, name)
-    numbered = staged(rows.withColumn("_part", part), f"{name}-parts")
-    inside = numbered.filter(F.col("_part").between(0, PARTS - 1))
-    held_in = inside.select("_part", F.spark_partition_id().alias("_in")).distinct()
-    widths = held_in.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
-    files = max(widths.agg(F.max("n")).first()[0] or 0, FILES_PER_PART)
-    for k in range(PARTS):
+    numbered = staged(rows.withColumn("_part", part), "parts")
+    if not files:
+        inside = numbered.filter(F.col("_part").between(0, PARTS - 1))
+        held_in = inside.select("_part", F.spark_partition_id().alias("_in")).distinct()
+        widths = held_in.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+        files = max(widths.agg(F.max("n")).first()[0] or 0, FILES_PER_PART)
+    for k in parts:
         own = numbered.filter(F.col("_part") == k).drop("_part")
         own.repartition(files).write.mode("append").parquet(path)
         there = len(spark.read.schema(rows.schema).parquet(path).inputFiles())
         for _ in range((k + 1) * files - there):
             own.limit(0).write.mode("append").parquet(path)
-    return streams.read_stream_earliest(spark, path, rows.schema, files)
+    return files
+
+
+def run_restarted(
+    rows: DataFrame, part: Column, name: str, plan: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, str]:
+    """Run a stream on the first half of the parts, one per micro-batch, stop it, and start it
+    again for the others. What it wrote, and its progress folder."""
+    spark = rows.sparkSession
+    path = fresh_path(spark, name)
+    files, out = 0, None
+    for half in (range(PARTS // 2), range(PARTS // 2, PARTS)):
+        files = write_parts(rows, part, f"{path}/log", half, files)
+        out = plan(streams.read_stream_earliest(spark, f"{path}/log", rows.schema, files))
+        finished(jobs.start_files(out, f"{path}/rows", f"{path}/progress"))
+    return spark.read.schema(out.schema).parquet(f"{path}/rows"), f"{path}/progress"
 
 
 def share_of(place: Column, rows: DataFrame) -> Column:
@@ -768,6 +789,40 @@ def count_or_time_batches(spark: SparkSession, sf: str) -> DataFrame:
     return batching.count_or_time_batches(log, [], ["arrival_ms", "seq"], "arrival_ms")
 
 
+def arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """A log of two partitions whose first twenty minutes arrive within six seconds."""
+    since = F.expr(f"(us - {data.EPOCH_US}) div 1000")
+    passed = F.when(since < 1_200_000, F.floor(since / 200)).otherwise(since - 1_194_000)
+    arrival = passed + data.EPOCH_US // 1_000
+    log = data.sensors(spark, sf).select(
+        "seq", "id", (F.col("seq") % 2).alias("partition"), *S.SENSORS, arrival.alias("arrival_ms")
+    )
+    return log.withColumn("arrival", F.timestamp_millis("arrival_ms"))
+
+
+@query("count_or_time_stream")
+def count_or_time_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Live batches, closed by count and by time, over several files and a restart with open ones."""
+    log = arrivals(spark, sf)
+    collected, _ = run_restarted(
+        log,
+        share_of(F.col("arrival_ms") - data.EPOCH_US // 1_000, log),
+        "collected",
+        lambda s: stateful.collect_batches(s, ["partition"], ["arrival_ms", "seq"], "arrival_ms", "arrival"),
+    )
+    return collected.select("partition", "seq", "batch", "closed_by")
+
+
+@query("history_stream")
+def history_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Every reading beside the mean of the person's last sixty, over several files and a restart."""
+    rows = data.sensors(spark, sf).select("seq", "id", "us", "HR", "TEMP", "EDA", "Z")
+    place = share_of(F.col("us") - data.EPOCH_US, rows)
+    out, _ = run_restarted(rows, place, "history", lambda s: stateful.history_stream(s, order=("us", "seq")))
+    shown = [f"{kind}_{c}" for c in ("HR", "TEMP", "EDA", "Z") for kind in ("mean", "delta")]
+    return out.select("seq", "id", *r4s(shown), "n_history")
+
+
 @query("fallback_stream")
 def fallback_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Numbered batches that end inside micro-batches; each is averaged once."""
@@ -835,24 +890,51 @@ def fallback_state(spark: SparkSession, sf: str) -> DataFrame:
     return states.select("pipeline", "seq", "was_fallback", "in_fallback", "violation_count")
 
 
+def monitored(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    """Modes after every check of a stream of several files, started from a table, with a restart."""
+    checks = data.checks(spark, sf)
+    pipelines = checks.select("pipeline").distinct()
+    initial = pipelines.select(
+        "pipeline", F.lit(False).alias("in_fallback"), F.lit(0).cast("bigint").alias("violation_count")
+    )
+    place = share_of(F.col("check_us") - data.EPOCH_US, checks)
+    return run_restarted(checks, place, "modes", lambda s: stateful.fallback_state_stream(s, initial))
+
+
 @query("fallback_state_stream")
 def fallback_state_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The state carried over a restart: checks arrive in two parts."""
-    path = fresh_path(spark, "modes")
-    checks = data.checks(spark, sf)
-    early = F.col("check_us") < HALF_US
-    for part in (checks.filter(early), checks.filter(~early)):
-        part.write.mode("append").parquet(f"{path}/log")
-        stream = streams.read_stream_earliest(spark, f"{path}/log", checks.schema)
-        finished(
-            jobs.start_fallback_state(
-                stream, f"{path}/rows", f"{path}/state", f"{path}/progress"
-            )
-        )
-    rows = spark.read.parquet(f"{path}/rows")
+    """The state carried in the state store, over micro-batches and a restart."""
+    rows, _ = monitored(spark, sf)
     return rows.select("pipeline", "seq", "was_fallback", "in_fallback", "violation_count")
 
 
+@query("mode_state")
+def mode_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The monitor's state, read back from the state store."""
+    _, progress = monitored(spark, sf)
+    return stateful.mode_state(spark, progress)
+
+
+@query("dual_path_stream")
+def dual_path_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Fallback points of times in fallback mode; the mode becomes known after the points."""
+    path = fresh_path(spark, "stretches")
+    one = data.checks(spark, sf).withColumn("pipeline", F.lit("all"))
+    place = share_of(F.col("check_us") - data.EPOCH_US, one)
+    modes = stateful.mode_intervals_stream(in_parts(one, place, "checks"))
+    finished(jobs.start_files(modes, f"{path}/rows", f"{path}/progress"))
+    stretches = spark.read.schema(modes.schema).parquet(f"{path}/rows")
+    since = F.floor((F.col("until_us") - data.EPOCH_US) / 1_000)
+    points = filters.filter_source(data.points(spark, sf).select(*S.POINT.names), S.FALLBACK)
+    start = F.col("time_ms") - data.EPOCH_US // 1_000
+    # stretches come one micro-batch after the points that lie in them
+    late = F.least(share_of(since, stretches) + 1, F.lit(PARTS - 1))
+    joined = stateful.points_in_fallback(
+        in_parts(points, share_of(start, points), "points"), in_parts(stretches, late, "stretches")
+    )
+    return run_to_table(joined, "both").select(*point_columns())
+
+
 @query("mode_timeline")
 def mode_timeline(spark: SparkSession, sf: str) -> DataFrame:
     changes = control.mode_timeline(control.fallback_state(data.checks(spark, sf)))
@@ -904,39 +986,33 @@ def split_parts(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return parts.filter(~F.col("is_test")), parts.filter("is_test")
 
 
-#: Models of LEAF_BOOSTING by application and tables, which two queries share.
-_LEAF_MODELS: dict[tuple[str, str], boosted.BoostedModel] = {}
+#: Where the models of LEAF_BOOSTING lie, by application and tables; two queries share one.
+_LEAF_MODELS: dict[tuple[str, str], str] = {}
 
 
 def fitted(settings: boosted.BoostedTrees, train: DataFrame, sf: str) -> boosted.BoostedModel:
     if settings is not boosted.LEAF_BOOSTING:
-        return settings.fit(train)
-    key = (train.sparkSession.sparkContext.applicationId, sf)
+        return settings.fit(train, row_key="seq")
+    spark = train.sparkSession
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _LEAF_MODELS:
-        _LEAF_MODELS[key] = settings.fit(train)
-    return _LEAF_MODELS[key]
+        path = fresh_path(spark, "leaf-model")
+        settings.fit(train, row_key="seq").save(path)
+        _LEAF_MODELS[key] = path
+    return boosted.BoostedModel.load(_LEAF_MODELS[key])
 
 
 def training_query(name: str, settings: boosted.BoostedTrees) -> None:
-    """Held-out rows per class and in all, and whether the model beats always naming the largest."""
+    """Held-out rows with their class scores after the first round of the trained model."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         train, test = split_parts(spark, sf)
-        scored = fitted(settings, train, sf).score(test, "prediction")
-        return beats_majority(metrics.classification_report(scored))
+        scored = fitted(settings, train, sf).first(1).scores(test)
+        return scored.select("seq", "label", *r4s(("f0", "f1", "f2")))
 
     QUERIES[name] = run
 
 
-def beats_majority(report: DataFrame) -> DataFrame:
-    named = F.col("name").isin(*[str(c) for c in S.CLASSES])
-    largest = report.filter(named).agg(F.max("support")).scalar()
-    better = F.col("recall") * F.col("support") > largest  # the accuracy row has it as recall
-    return report.filter(named | (F.col("name") == "accuracy")).select(
-        "name", "support", F.when(~named, better).alias("beats_majority")
-    )
-
-
 training_query("train_gb", boosted.GRADIENT_BOOSTING)
 training_query("train_hist_gb", boosted.HISTOGRAM_BOOSTING)
 training_query("train_lgbm", boosted.LEAF_BOOSTING)
@@ -956,11 +1032,15 @@ def save_model(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("train_lgbm_logloss")
 def train_lgbm_logloss(spark: SparkSession, sf: str) -> DataFrame:
-    """Three-class log loss on held-out rows, below that of equal shares after every 50 trees or not."""
+    """After every 50 rounds: the held-out rows, the log loss of always giving the shares that
+    classes have among them, and whether the model's is lower."""
     train, test = split_parts(spark, sf)
     losses = boosted.staged_multi_logloss(fitted(boosted.LEAF_BOOSTING, train, sf), test)
-    below = F.col("logloss") < math.log(len(S.CLASSES))
-    return losses.agg(F.min(below).alias("below_equal_shares"))
+    sizes = test.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    whole = sizes.agg(F.sum("n").alias("n_rows"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    shares = F.log("n_rows") - F.col("s") / F.col("n_rows")
+    joined = losses.join(F.broadcast(whole))  # one row
+    return joined.select("trees", "n_rows", r4(shares, "shares_loss"), (F.col("logloss") < shares).alias("lower"))
 
 
 @query("score_batch")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from vitalflow.models import boosted
+from vitalflow.plans.boosting_sql import first_round
+
 SENSORS = ("X", "Y", "Z", "EDA", "HR", "TEMP")
 
 RULE_A = "case when HR >= 110 or EDA >= 8 then 2 when HR >= 80 then 1 else 0 end"
@@ -356,15 +359,22 @@ def build() -> dict[str, str]:
         + " from (select unnest([0, 1, 2]) as label) c left join judged j on j.label = c.label group by c.label",
         _judged(RULE_A),
     )
-    held_out = (
-        "select label::varchar as name, count(*) as support, null::boolean as beats_majority"
-        " from split where is_test group by label union all"
-        " select 'accuracy', count(*), true from split where is_test"
-    )
-    for name in ("train_gb", "train_hist_gb", "train_lgbm"):
-        q[name] = sql(held_out, SPLIT)
+    for name, settings in (
+        ("train_gb", boosted.GRADIENT_BOOSTING),
+        ("train_hist_gb", boosted.HISTOGRAM_BOOSTING),
+        ("train_lgbm", boosted.LEAF_BOOSTING),
+    ):
+        tables, scores = first_round(settings)
+        q[name] = sql(scores, f"{SPLIT}, {tables}").replace("with ", "with recursive ", 1)
     q["save_model"] = sql("select seq, label, true as agree from split where is_test", SPLIT)
-    q["train_lgbm_logloss"] = "select true as below_equal_shares from events limit 1"
+    steps = ", ".join(str(n) for n in range(50, boosted.LEAF_BOOSTING.trees + 1, 50))
+    q["train_lgbm_logloss"] = sql(
+        "select unnest([" + steps + "]) as trees, n_rows, "
+        + r4("ln(n_rows) - s / n_rows", "shares_loss") + ", true as lower"
+        " from (select cast(sum(n) as bigint) as n_rows, sum(n * ln(n)) as s"
+        " from (select count(*) as n from split where is_test group by label))",
+        SPLIT,
+    )
     w = ("1 + abs(X)", "1 + abs(Y)", "1 + HR")
     total = " + ".join(f"({x})" for x in w)
     q["multi_logloss"] = sql(
@@ -487,6 +497,36 @@ def build() -> dict[str, str]:
         " select min(p.pos), arg_min(p.arrival_ms, p.pos) from heads h join placed p"
         " on p.pos > h.pos and (p.pos = h.pos + 1000 or p.arrival_ms > h.arrival_ms + 30000) group by h.pos)",
     ).replace("with ", "with recursive ", 1)
+    ahead = "(us - 1704067200000000) // 1000"
+    q["count_or_time_stream"] = sql(
+        "select partition, seq, batch, closed_by from numbered"
+        " where closed_by = 'count' or not is_last or (select max(arrival_ms) from placed) - 1000 > first_ms + 30000",
+        "placed as materialized (select *, row_number() over (partition by partition order by arrival_ms, seq) - 1 as pos"
+        f" from (select seq, seq % 2 as partition, case when {ahead} < 1200000 then {ahead} // 200"
+        f" else {ahead} - 1194000 end + 1704067200000 as arrival_ms from sensors)),"
+        " heads as (select partition, pos, arrival_ms from placed where pos = 0 union all"
+        " select h.partition, min(p.pos), arg_min(p.arrival_ms, p.pos) from heads h join placed p"
+        " on p.partition = h.partition and p.pos > h.pos and (p.pos = h.pos + 1000 or p.arrival_ms > h.arrival_ms + 30000)"
+        " group by h.partition, h.pos),"
+        " ordered as (select partition, pos, arrival_ms as first_ms,"
+        " row_number() over (partition by partition order by pos) - 1 as batch,"
+        " lead(pos) over (partition by partition order by pos) as next_pos from heads),"
+        " sizes as (select partition, count(*) as n from placed group by partition),"
+        " whole as (select o.*, next_pos is null as is_last, case when coalesce(next_pos, n) - pos = 1000"
+        " then 'count' else 'time' end as closed_by from ordered o join sizes using (partition)),"
+        " numbered as (select p.partition, p.seq, w.batch, w.closed_by, w.is_last, w.first_ms"
+        " from placed p asof join whole w on p.partition = w.partition and p.pos >= w.pos)",
+    ).replace("with ", "with recursive ", 1)
+    last_sixty = "partition by id order by us, seq rows between 59 preceding and current row"
+    q["history_stream"] = sql(
+        "select seq, id, "
+        + ", ".join(
+            r4(f"avg(case when HR is not null then {c} end) over w", f"mean_{c}") + ", "
+            + r4(f"{c} - avg(case when HR is not null then {c} end) over w", f"delta_{c}")
+            for c in ("HR", "TEMP", "EDA", "Z")
+        )
+        + f", count(HR) over w as n_history from sensors window w as ({last_sixty})"
+    )
     q["fallback_stream"] = q["write_points_batch"]
     full = " and ".join(f"{c} is not null" for c in SENSORS)
     q["score_remote"] = sql(
@@ -511,6 +551,11 @@ def build() -> dict[str, str]:
         "select pipeline, seq, was_fallback, in_fallback, violation_count from states", _states("checks")
     )
     q["fallback_state_stream"] = q["fallback_state"]
+    q["mode_state"] = sql(
+        "select pipeline, arg_max(in_fallback, seq) as in_fallback, arg_max(violation_count, seq) as violation_count"
+        " from states group by pipeline",
+        _states("checks"),
+    )
     q["mode_timeline"] = sql(
         "select pipeline, seq, change, from_us, until_us,"
         f" {r4('(until_us - from_us)/1000000.0', 'duration_s')} from timeline",
@@ -528,6 +573,15 @@ def build() -> dict[str, str]:
         _states("one_monitor")
         + ", marks as (select from_us // 1000 as at_ms, arg_max(change, from_us) as change from timeline group by 1)",
     )
+    q["dual_path_stream"] = sql(
+        f"select {point_cols} from (select p.*, t.in_fallback, t.until_us from points p asof join between_checks t"
+        " on p.time_ms >= t.from_us // 1000 where p.source = 'fallback')"
+        " where in_fallback and until_us is not null",
+        _states("one_monitor")
+        + ", between_checks as (select check_us as from_us, in_fallback,"
+        " lead(check_us) over (order by seq) as until_us from states"
+        " qualify coalesce(lead(check_us) over (order by seq) // 1000 > check_us // 1000, true))",
+    )
     offsets = (
         "(select event_type as reader, user_id % 2 as partition, max(event_id) as latest_offset,"
         " max(case when value >= 5 then event_id end) as committed_offset from events group by 1, 2)"

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,11 +69,28 @@ def drop_staged(spark: SparkSession, keep: Collection[str] = ()) -> None:
     Results that still read from there must have been written or collected before.
     """
     paths = _STAGED.get(spark.sparkContext.applicationId, set())
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
     for path in [p for p in paths if p not in keep]:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(conf).delete(place, True)
-        paths.discard(path)
+        drop_path(spark, path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove one path of `fresh_path` that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+    _STAGED.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+@contextmanager
+def session_settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session while the block runs; then the old ones again."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, old in before.items():
+            spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -1,8 +1,8 @@
-"""The streaming jobs: window averages, scoring and points; fallback batches; mode state."""
+"""The streaming jobs: window averages, scoring and points; fallback batches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +12,8 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import Model, with_default
 from vitalflow.operators.aggregates import batch_average, window_average
-from vitalflow.operators.control import fallback_state
 from vitalflow.sources.points import fallback_points, primary_points, write_points
+from vitalflow.streaming.stateful import collect_batches
 
 
 def assign_event_time(
@@ -125,60 +125,24 @@ def finish_fallback(spark: SparkSession, model: Model, path: str, open_path: str
     write_points(fallback_batch(rows, model), path, last + 1, S.FALLBACK)
 
 
-def resume_checks(
-    state: DataFrame, checks: DataFrame, key: str, order: str, violations: int
-) -> DataFrame:
-    """`checks` behind unhealthy ones (`_seed`) that bring a new machine to the carried state."""
-    repeats = F.when(F.col("in_fallback"), F.lit(violations)).otherwise(
-        F.col("violation_count").cast("int")
-    )
-    first = checks.agg(F.min(order)).scalar()
-    rebuilt = state.filter(repeats > 0).select(key, F.explode(F.sequence(F.lit(1), repeats)).alias("_n"))
-    seeds = rebuilt.select(
-        key,
-        (first - F.lit(violations + 1) + F.col("_n")).alias(order),
-        F.lit(False).alias("healthy"),
-        F.lit(True).alias("_seed"),
-    )
-    return checks.withColumn("_seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
-
-
-def start_fallback_state(
-    checks: DataFrame,
+def start_collected_fallback(
+    records: DataFrame,
+    model: Model,
     path: str,
-    state_path: str,
     checkpoint: str,
-    key: str = "pipeline",
-    order: str = "seq",
-    violations: int = S.VIOLATIONS,
+    keys: Sequence[str],
+    order: Sequence[str],
     trigger: dict | None = None,
+    **limits,
 ) -> StreamingQuery:
-    """Mode after every check of a stream, written per micro-batch to `path`.
+    """Records to scored points of live batches, which close by count or time (`collect_batches`).
 
-    The state of each pipeline after batch n is the table `state_path`/n; batch n + 1 starts
-    from it, and a repeated batch writes the same tables again. Checks must arrive in order
-    across micro-batches; inside one they may not.
+    A batch is whole in the micro-batch that closes it, so it is averaged once.
     """
+    collected = collect_batches(records, keys, order, **limits)
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.withColumn(order, F.col(order).cast("bigint"))
-        fresh, before = batch.withColumn("_seed", F.lit(False)), None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{state_path}/{batch_id - 1}")
-            fresh = resume_checks(before, batch, key, order, violations)
-        states = fallback_state(fresh, key, order, violations=violations)
-        target = f"{path}/batch={batch_id}"
-        states = states.filter(~F.col("_seed")).drop("_seed")
-        states.write.mode("overwrite").parquet(target)
-        written = spark.read.schema(states.schema).parquet(target)
-        after = written.groupBy(key).agg(
-            F.max_by("in_fallback", order).alias("in_fallback"),
-            F.max_by("violation_count", order).alias("violation_count"),
-        )
-        if before is not None:
-            silent = before.join(after.select(key), key, "left_anti")
-            after = after.unionByName(silent)
-        after.write.mode("overwrite").parquet(f"{state_path}/{batch_id}")
-
-    return start_batches(checks, step, checkpoint, trigger)
+    def write(rows: DataFrame, batch_id: int) -> None:
+        points = fallback_batch(rows, model, (*keys, "batch"))
+        write_points(points, path, batch_id, S.FALLBACK)
+
+    return start_batches(collected, write, checkpoint, trigger)

@@ -305,30 +305,38 @@ def _meeting_components(
     which only one component is left are done. Once a round merges little, all pairs of members of
     different components that still meet are compared, so no link is lost.
     """
-    wide = members.join(sketches.join(members.select("node").distinct(), "node"), "node")
-    rows = staged(wide, "near-sketched")
-    part = staged(members.select("node", F.col("node").alias("component")).distinct(), "near-parts")
+    part: DataFrame | None = None
     compared: DataFrame | None = None
     merging, number = True, 0
     while True:
-        placed = staged(rows.join(part, "node"), "near-placed")
-        sizes = placed.groupBy("table_key", "component").agg(F.count(F.lit(1)).alias("k"))
-        tables = sizes.groupBy("table_key").agg(F.sum("k").alias("c"), F.count(F.lit(1)).alias("components"))
-        several = staged(tables.filter(F.col("components") > 1), "near-several")
-        left = several.agg(F.sum("c")).first()[0]
+        if part is None:  # every node is a component, and every table open
+            placed = members.withColumn("component", F.col("node"))
+            left = members.count()
+        else:
+            placed = staged(members.join(part, "node"), "near-placed")
+            sizes = placed.groupBy("table_key").agg(
+                F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c")
+            )
+            several = staged(sizes.filter("low != high").select("table_key", "c"), "near-several")
+            left = several.agg(F.sum("c")).first()[0]
+            placed = placed.join(several.select("table_key"), "table_key")
         if not left:
-            return part
-        rows = placed.join(several.select("table_key"), "table_key")
-        found = _pairs_with_leads(rows, number, percent) if merging else _pairs_left(rows, percent)
+            return members.select("node", F.col("node").alias("component")).distinct() if part is None else part
+        if merging:
+            found = _pairs_with_leads(placed, number, sketches, percent)
+        else:
+            found = _pairs_left(placed, sketches, percent)
         fresh = found if compared is None else found.join(compared, ["a", "b"], "left_anti")
         fresh = staged(fresh, "near-pairs")
         links = staged(_linked(fresh, sets, percent), "near-links")
+        if part is None:
+            part = members.select("node", F.col("node").alias("component")).distinct()
         part = staged(_merged(part, links), "near-parts")
         if not merging:
             return part
         merging = links.count() >= MERGING * left
         compared = fresh if compared is None else compared.unionByName(fresh)
-        rows, number = rows.drop("component"), number + 1
+        number += 1
 
 
 def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
@@ -341,46 +349,57 @@ def _merged(part: DataFrame, links: DataFrame) -> DataFrame:
     return merged.select("node", F.coalesce("to", "component").alias("component"))
 
 
-def _pair(left: str, right: str) -> list[Column]:
-    return [F.least(left, right).alias("a"), F.greatest(left, right).alias("b")]
-
+def _pairs_with_leads(
+    rows: DataFrame, number: int, sketches: DataFrame, percent: int
+) -> DataFrame:
+    """Pairs (a, b) of a table's leads, members drawn by hash, with its members of other components
+    that can be linked by size and sketch.
 
-def _pairs_with_leads(rows: DataFrame, number: int, percent: int) -> DataFrame:
-    """Pairs of a table's leads, members drawn by hash, with its members of other components that
-    can be linked by size and sketch."""
-    columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
-    whole = F.struct(*columns)
+    A pair that meets in many tables is one pair before the sketches are fetched.
+    """
+    member = F.struct("node", "n", "component")
+    names = [f"lead{i}" for i in range(LEADS)]
     drawn = [
-        F.min_by(whole, F.xxhash64(F.lit(LEADS * number + i), "node")).alias(f"lead{i}")
-        for i in range(LEADS)
+        F.min_by(member, F.xxhash64(F.lit(LEADS * number + i), "node")).alias(name)
+        for i, name in enumerate(names)
     ]
-    leads = rows.groupBy("table_key").agg(*drawn).select(
-        "table_key", F.explode(F.array_distinct(F.array(*[f"lead{i}" for i in range(LEADS)]))).alias("lead")
+    leads = rows.groupBy("table_key").agg(*drawn)
+    each = rows.join(leads, "table_key").withColumn("lead", F.explode(F.array_distinct(F.array(*names))))
+    met = each.filter(
+        (F.col("lead.component") != F.col("component")) & _close(F.col("lead.n"), F.col("n"), percent)
     )
-    a = leads.select("table_key", *[F.col(f"lead.{c}").alias(f"{c}_a") for c in columns])
-    b = rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
-    return _met(a, b, percent, F.lit(True))
-
-
-def _pairs_left(rows: DataFrame, percent: int) -> DataFrame:
-    """All pairs of members of different components that can be linked by size and sketch."""
+    first = F.col("node") < F.col("lead.node")
+    pairs = met.select(
+        F.least("node", "lead.node").alias("a"),
+        F.greatest("node", "lead.node").alias("b"),
+        F.when(first, F.col("n")).otherwise(F.col("lead.n")).alias("n_a"),
+        F.when(first, F.col("lead.n")).otherwise(F.col("n")).alias("n_b"),
+    ).distinct()
+    odd = [f"odd{k}" for k in range(SKETCH_WORDS)]
+    for side in ("a", "b"):
+        own = sketches.select(F.col("node").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in odd])
+        pairs = pairs.join(own, side)
+    return pairs.filter(_may_link(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+
+
+def _pairs_left(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members of different components that can be linked by size and sketch."""
+    open_rows = staged(rows.select("table_key", "node", "n", "component"), "near-open")
+    wanted = sketches.join(open_rows.select("node").distinct(), "node")
+    wide = staged(open_rows.join(wanted, "node"), "near-sketched")
     columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
-    a = rows.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
-    b = rows.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
-    return _met(a, b, percent, F.col("node_a") < F.col("node_b"))
-
-
-def _met(a: DataFrame, b: DataFrame, percent: int, wanted: Column) -> DataFrame:
+    a = wide.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = wide.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
     n, m = F.col("n_a"), F.col("n_b")
     met = a.join(
         b,
         (a["table_key"] == b["table_key"])
-        & wanted
+        & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & _close(n, m, percent)
         & _may_link(n, m, percent),
     )
-    return met.select(*_pair("node_a", "node_b")).distinct()
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

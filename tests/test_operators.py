@@ -339,3 +339,13 @@ def test_count_or_time_batches_match_plain_loop(spark, block, group):
     )
     assert {(r.partition, r.offset): r.batch_start for r in got.collect()} == want
     assert got.count() == len(rows)
+
+
+def test_judgements_leave_out_rows_without_a_class(spark):
+    rows = [(0, 0), (1, 1), (None, 1), (None, 0), (2, None), (7, 7), (1, 9)]
+    df = spark.createDataFrame(rows, "label int, prediction int")
+    report = {r.name: r for r in metrics.classification_report(df).collect()}
+    assert metrics.accuracy(df).first().accuracy == report["accuracy"].f1 == 1.0
+    assert report["accuracy"].support == 2 == sum(report[str(c)].support for c in (0, 1, 2))
+    matrix = metrics.confusion_matrix(df).collect()
+    assert sum(r[f"predicted_{c}"] for r in matrix for c in (0, 1, 2)) == 2

@@ -179,3 +179,19 @@ def test_tables_may_be_folders(spark, sf_dir, tmp_path):
     for name in ("flagship", "read_stream_earliest"):
         run = catalog.QUERIES[name]
         assert run(spark, folder).count() == run(spark, sf_dir).count()
+
+
+def test_a_batch_written_again_after_compaction_is_there_once(spark, tmp_path):
+    path, day = str(tmp_path / "replayed"), 86_400_000
+
+    def write(batch, level):
+        row = ("m", "N", "primary", 1_000, *[1.0] * 6, level)
+        pts.write_points(spark.createDataFrame([row], S.POINT), path, batch, "w")
+
+    write(0, 1)
+    pts.compact_points(spark, path, day)
+    assert [r.stress_level for r in pts.read_points(spark, path).collect()] == [1]
+    write(0, 2)
+    assert [r.stress_level for r in pts.read_points(spark, path).collect()] == [2]
+    pts.compact_points(spark, path, day)
+    assert [r.stress_level for r in pts.read_points(spark, path).collect()] == [2]

@@ -181,17 +181,42 @@ def test_stuck_calls_hold_up_no_others(spark):
         import time
 
         hr = int(float(request.split("hr=")[1].split("&")[0]))
-        if hr < 25:
+        if hr < 15:  # fewer than there are places
             time.sleep(20)
         return f'{{"stress_level_prediction": "{hr % 2 * 2}"}}'
 
     rows = [(1.0, 1.0, 1.0, 1.0, float(i), 1.0) for i in range(60)]
     df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in S.SENSORS)).coalesce(1)
     got = scoring.score_remote(df, ask, timeout_s=1.0, in_flight=20, default=1).collect()
-    want = {i: 1 if i < 25 else i % 2 * 2 for i in range(60)}
+    want = {i: 1 if i < 15 else i % 2 * 2 for i in range(60)}
     assert {int(r.HR): r.stress_level for r in got} == want
 
 
+def test_no_more_calls_live_than_there_are_places():
+    import threading
+    import time
+
+    alive, most, lock, over = [0], [0], threading.Lock(), threading.Event()
+
+    def ask(request, timeout_s):
+        with lock:
+            alive[0] += 1
+            most[0] = max(most[0], alive[0])
+        over.wait(30)
+        with lock:
+            alive[0] -= 1
+        return "late"
+
+    start = time.monotonic()
+    told = scoring._ordered_calls(ask, [str(i) for i in range(400)], 0.3, 20, 1, True)
+    over.set()
+    assert told == [None] * 400 and most[0] == 20 and time.monotonic() - start < 15
+    with pytest.raises(TimeoutError):
+        over.clear()
+        scoring._ordered_calls(ask, ["a", "b"], 0.1, 1, 1, False)
+    over.set()
+
+
 def test_count_or_time_trigger():
     assert streams.count_or_time_trigger() == {
         "max_offsets": 1000, "min_offsets": 1000, "max_delay": "30s",

@@ -177,16 +177,15 @@ def request_error(params: Mapping[str, ColumnOrName], model: ColumnOrName) -> Co
     bad = F.when(F.lit(False), "")
     for name, c in params.items():
         bad = bad.when(
-            request_number(c).isNull(), f"Missing or invalid parameter: {name}"
+            request_number(c).isNull(), S.BAD_PARAMETER + name
         )
     key = model_key(model)
     unknown = F.when(
         ~key.isin(*S.MODEL_KEYS),
         F.concat(
-            F.lit("Unknown model '"),
+            F.lit(S.BAD_MODEL[0]),
             key,
-            F.lit("'. Choose "),
-            F.lit(" or ".join(f"'{k}'" for k in S.MODEL_KEYS) + "."),
+            F.lit(S.BAD_MODEL[1]),
         ),
     )
     return F.coalesce(bad, unknown)

@@ -7,7 +7,7 @@ from collections import deque
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import Future
 from dataclasses import dataclass
-from threading import Thread
+from threading import Semaphore, Thread
 from typing import Protocol
 
 import pandas as pd
@@ -109,10 +109,12 @@ def score_remote(
 
     The text has six decimals unless another `request` column is given.
 
-    Each task keeps `in_flight` calls running, a new one as soon as the oldest is answered, and
-    emits rows in order. A call has `timeout_s` from when it is sent. One that fails or takes longer
-    is tried `attempts` times; then the row gets `default`, or the task fails if there is none. A
-    call that outlives its time holds up no other: its place is given away.
+    Each task has `in_flight` places for calls, and emits rows in order. A call has `timeout_s` from
+    when it is sent. One that fails or takes longer is tried `attempts` times; then the row gets
+    `default`, or the task fails if there is none. A call that outlives its time keeps its place
+    until it ends, so the endpoint never has more calls than places. When all places are taken by
+    such calls, a request waits `timeout_s` for one; if none comes free, it and the following ones
+    fail without being sent, until one does.
     """
     asked = df.withColumn("_request", fn.feature_text() if request is None else request)
     schema = T.StructType([*df.schema.fields, T.StructField("_body", T.StringType())])
@@ -141,14 +143,25 @@ def _ordered_calls(
 ) -> list[str | None]:
     """Answers in the order of the requests, None where all attempts failed."""
 
+    places = Semaphore(in_flight)
+    stuck = False  # no place came free within the time of a call
+
     def send(request: str) -> tuple[Future, float]:
+        nonlocal stuck
         call: Future = Future()
+        if not places.acquire(timeout=0 if stuck else timeout_s):
+            stuck = True
+            call.set_exception(TimeoutError("all places are taken by calls that do not end"))
+            return call, time.monotonic()
+        stuck = False
 
         def work() -> None:
             try:
                 call.set_result(ask(request, timeout_s))
             except BaseException as e:  # noqa: BLE001 - handed to whoever waits
                 call.set_exception(e)
+            finally:
+                places.release()
 
         Thread(target=work, daemon=True).start()
         return call, time.monotonic() + timeout_s

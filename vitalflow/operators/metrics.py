@@ -38,8 +38,16 @@ def correlation_matrix(
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Share of right predictions among the rows that have a known label and prediction."""
     hit = (F.col(label) == F.col(prediction)).cast("double")
-    return df.agg(F.avg(hit).alias("accuracy"))
+    return _usable(df, label, prediction).agg(F.avg(hit).alias("accuracy"))
+
+
+def _usable(
+    df: DataFrame, label: str, prediction: str, classes: Sequence[int] = S.CLASSES
+) -> DataFrame:
+    """Rows whose label and prediction are both one of the classes; no other row is judged."""
+    return df.filter(F.col(label).isin(*classes) & F.col(prediction).isin(*classes))
 
 
 def confusion_matrix(
@@ -76,10 +84,11 @@ def classification_report(
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, then accuracy and the two averages.
 
-    A class with nothing to divide by scores 0.
+    A class with nothing to divide by scores 0. Rows whose label or prediction is null or another
+    class are left out, as in `accuracy` and `confusion_matrix`.
     """
     y, p = F.col(label), F.col(prediction)
-    sums = df.agg(
+    sums = _usable(df, label, prediction, classes).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(y == p).alias("hits"),
         *[F.count_if((y == c) & (p == c)).alias(f"tp_{c}") for c in classes],

@@ -110,8 +110,10 @@ def read_stream_latest_bounded(spark: SparkSession, sf: str) -> DataFrame:
     schema = data.records(spark, sf).schema
     there = spark.read.schema(schema).parquet(path).select("_metadata.file_modification_time")
     started = there.agg(F.max(F.unix_millis("file_modification_time"))).first()[0]
-    seen = spark.read.schema(schema).parquet(path).select("_metadata.file_path").distinct()
-    older = [r.file_path for r in seen.collect()]  # a name for each file of the first half
+    files_there = spark.read.schema(schema).parquet(path).select("_metadata.*")
+    just_then = F.unix_millis("file_modification_time") == started
+    # only files of the very last moment cannot be told from later ones by their time
+    older = [r.file_path for r in files_there.filter(just_then).select("file_path").distinct().collect()]
     write_part(spark, sf, path, first=False)
     reader = streams.read_stream_latest_bounded(
         spark, path, schema, started, files_per_batch=100, there=older

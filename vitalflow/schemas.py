@@ -22,6 +22,10 @@ DEFAULT_CLASS = 1
 MODEL_KEYS = ("lgbm", "gb")
 DEFAULT_MODEL = "lgbm"
 
+# Texts of refused requests; a parameter's name, or a model's key in between, goes in.
+BAD_PARAMETER = "Missing or invalid parameter: "
+BAD_MODEL = ("Unknown model '", "'. Choose 'lgbm' or 'gb'.")
+
 # Measurement and field names of the line format.
 LINE_MEASUREMENT = "flink_events"
 POINT_MEASUREMENT = "nurse_stress"

@@ -28,7 +28,6 @@ IDENTITY = ("measurement", "id", "source", "time_ms")
 FOLDERS = ("measurement", "date")
 #: The list of batches lies beside the folders; Spark passes over names with an underscore.
 BATCHES = "_batches"
-COMPACTED = "compacted"
 
 TABLE = T.StructType(
     [f for f in S.POINT.fields if f.name not in FOLDERS]
@@ -94,26 +93,30 @@ def _day(time_ms: Column) -> Column:
     return F.date_from_unix_date(F.floor(time_ms / 86_400_000).cast("int"))
 
 
-def read_points(spark: SparkSession, path: str) -> DataFrame:
-    """Points of the attempts that count, with `batch_id` and `date`."""
+def _counting(spark: SparkSession, path: str) -> DataFrame:
+    """All columns of the rows whose attempt is the last one listed for their batch."""
     listed = spark.read.schema(_LISTED).parquet(f"{path}/{BATCHES}")
     newest = listed.groupBy("writer", "batch_id").agg(F.max_by("attempt", "written_us").alias("_counts"))
-    rows = spark.read.schema(TABLE).parquet(path).join(newest, ["writer", "batch_id"], "left")
-    counts = (F.col("attempt") == COMPACTED) | (F.col("attempt") == F.col("_counts"))
-    return rows.filter(counts).select(*[f.name for f in TABLE.fields if f.name not in ("writer", "attempt")])
+    rows = spark.read.schema(TABLE).parquet(path).join(newest, ["writer", "batch_id"])
+    return rows.filter(F.col("attempt") == F.col("_counts")).select(*TABLE.names)
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """Points of the attempts that count, with `batch_id` and `date`."""
+    return _counting(spark, path).drop("writer", "attempt")
 
 
 def compact_points(spark: SparkSession, path: str, before_ms: int) -> None:
     """Rewrite the days that end by `before_ms`: the row that counts of each identity, in few files.
 
-    The rows are first written to the shared folder, then each day's folder is replaced. Days that
-    a broken run did not reach stay as they were; running it again is safe. No batch may be written
-    to these days meanwhile.
+    Rows keep the batch and attempt that they came from, so a batch that is written once more
+    afterwards still replaces its rows. They are first written to the shared folder, then each
+    day's folder is replaced. Days that a broken run did not reach stay as they were; running it
+    again is safe. No batch may be written to these days meanwhile.
     """
     end = F.date_from_unix_date(F.lit(before_ms // 86_400_000).cast("int"))
-    closed = upsert_points(read_points(spark, path).filter(F.col("date") < end))
-    marked = closed.withColumns({"writer": F.lit(""), "attempt": F.lit(COMPACTED)})
-    rows = staged(marked, "compacted")
+    closed = upsert_points(_counting(spark, path).filter(F.col("date") < end))
+    rows = staged(closed, "compacted")
     rows.hint("rebalance", *[F.col(c) for c in FOLDERS]).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*FOLDERS).parquet(path)

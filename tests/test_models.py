@@ -139,7 +139,10 @@ def plain_boosting(values, labels, settings):
         boosted.BoostedTrees(trees=3, leaves=12, rate=0.3, bins=16, min_rows=5, balanced=True, step=2 / 3),
     ],
 )
-def test_trees_equal_those_of_going_through_all_cuts(parts, settings):
+@pytest.mark.parametrize("few", [0, 60, 20_000])
+def test_trees_equal_those_of_going_through_all_cuts(parts, monkeypatch, few, settings):
+    """Whether nodes are summed up level by level, grown in one task, or first one, then the other."""
+    monkeypatch.setattr(boosted, "FEW_ROWS", few)
     rows = parts[0].filter("seq < 400")
     table = rows.select(*S.FEATURES, "label", "seq").toPandas().sort_values("seq")
     want = plain_boosting(table[list(S.FEATURES)].to_numpy(float), table["label"].to_numpy(), settings)

@@ -461,3 +461,26 @@ def test_forgetting_words_changes_nothing(vocabulary, monkeypatch):
     whole = [a.tolist() for a in pieces.encode_batch(texts, vocabulary, {})]
     monkeypatch.setattr(pieces, "REMEMBERED", 10)
     assert [a.tolist() for a in pieces.encode_batch(texts, vocabulary, {})] == whole
+
+
+# ---- markup ------------------------------------------------------------------------------
+
+SENTENCE = "A sentence of some length, with commas, that reads on for a while and tells of things."
+
+
+@pytest.mark.parametrize("start", ["<p data-x=it's>", "<p title=a\"b>", "<p data-x=\"it's\" title='a > b'>", "<p a = 'b>' c>"])
+def test_quotes_open_values_only_after_an_equals_sign(start):
+    page = f"<html><body><article><p>{SENTENCE}</p>{start}{SENTENCE}</p><p>{SENTENCE}</p><p>See <a href=/it's>this</a> too, it's said.</p></article></body></html>"
+    assert html_text.main_text(page) == f"{SENTENCE} {SENTENCE} {SENTENCE} See this too, it's said."
+
+
+def test_parsing_is_linear_in_the_depth():
+    import time
+
+    def seconds(depth):
+        start = time.perf_counter()
+        html_text.main_text("<div>" * depth + f"<p>{SENTENCE}</p>" + "</b>" * depth)
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(50_000) < 20  # hours if every tag looked through all that are open

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -63,27 +64,18 @@ OTHER_TEXT = re.compile(
     re.I,
 )
 _NO_WIDGET = re.compile(r"widget", re.I)
-WANTED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|"
-    r"sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toc|header|masthead|"
-    r"footer|cookies?|consent|notice|notices|alert|popup|modal|overlay|newsletter|subscribe|signup|"
-    r"login|comments?|comment-list|commentlist|disqus|replies|responses|respond|discussion|share|"
-    r"sharing|social|related|recommended|recommendations|outbrain|taboola|skip|search|toolbar|legal|"
-    r"complementary|contentinfo|dialog|gdpr)(?:$|[\s_-]|\d)",
-    re.I,
-)
 WANTED = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog)(?:$|[\s_-])", re.I)
 BASE_POINTS = {"article": 30.0, "main": 20.0, "section": 3.0, "div": 5.0, "td": 3.0, "blockquote": 3.0, "pre": 3.0}
 
 #: Marks of a layout are not heeded where they leave less than this share of the text without them.
 LITTLE = 0.1
 
+# a quote opens a value only after the equals sign; anywhere else it is a character like others
 _MARKUP = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|\Z)"
     r"|<(?P<other>[!?])[^>]*(?:>|\Z)"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?P<close>>|\Z)"
-    r"|<(?P<broken>[a-zA-Z][^>]*(?:>|\Z))",
+    r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')|=)*)(?:>|\Z)",
     re.S,
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -117,6 +109,15 @@ def parse(page: str) -> Node:
     start is passed over; markup that breaks off ends with the page."""
     root = Node("html", None)
     at_node, at, size = root, 0, len(page)
+    open_names: Counter[str] = Counter()
+
+    def up_to(node: Node, here: Node) -> Node:
+        """`node`, an ancestor of `here` or itself, with all between them closed."""
+        while here is not node:
+            open_names[here.name] -= 1
+            here = here.parent
+        return node
+
     while at < size:
         match = _MARKUP.search(page, at)
         if match is None:
@@ -127,7 +128,7 @@ def parse(page: str) -> Node:
         at = match.end()
         if name := match["start"]:
             name = name.lower()
-            at_node = _opened(at_node, name)
+            at_node = up_to(_opened(at_node, name, open_names), at_node)
             attributes = match["attributes"]
             marks = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if "=" in attributes else ""
             node = Node(name, at_node, marks, bool(attributes and _HIDDEN.search(attributes)))
@@ -140,16 +141,17 @@ def parse(page: str) -> Node:
                 at = end.end() if end else size
             elif name not in VOID:
                 at_node = node
-        elif name := match["end"]:
-            at_node = _closed(at_node, name.lower())
+                open_names[name] += 1
+        elif open_names[name := match["end"].lower() if match["end"] else ""] > 0:
+            at_node = up_to(_closed(at_node, name), at_node)
     return root
 
 
-def _opened(node: Node, name: str) -> Node:
+def _opened(node: Node, name: str, open_names: Mapping[str, int]) -> Node:
     """Where an element that begins here goes, after those are closed that it ends."""
-    if name in BLOCKS and name != "option":
+    if name in BLOCKS and name != "option" and open_names["p"] > 0:
         node = _up_past(node, {"p"}, {"td", "th", "caption", "button", "object", "table"})
-    if name in CLOSES:
+    if name in CLOSES and any(open_names[n] > 0 for n in CLOSES[name][0]):
         node = _up_past(node, *CLOSES[name])
     return node
 

@@ -50,6 +50,8 @@ class Prefixes:
         raw = text.encode("utf-32-le", "surrogatepass")
         self.points = np.frombuffer(raw, dtype=np.uint32)
         self.sums = prefix_sums(self.points)
+        self._spans: dict[int, np.ndarray] = {}
+        self._parts: tuple[Prefixes, int, Prefixes, int] | None = None
 
     def __len__(self) -> int:
         return len(self.points)
@@ -68,8 +70,28 @@ class Prefixes:
             moved = other.sums[k][1 : take + 1].astype(np.uint64) * step % p
             moved = (moved + np.uint64(self.sums[k][keep])) % p
             out.sums.append(np.concatenate([self.sums[k][: keep + 1], moved.astype(np.uint32)]))
+        out._spans, out._parts = {}, (self, keep, other, take)
         return out
 
+    def spans(self, length: int) -> np.ndarray:
+        """The hashes of all spans of `length` code points, worked out once.
+
+        The same span has the same hash in all texts, so those of a spliced text are those of its
+        two parts, and a few across the seam.
+        """
+        if length not in self._spans:
+            n = max(len(self) - length + 1, 0)
+            if self._parts is None:
+                found = _hashes_between(self, 0, n, length)
+            else:
+                own, keep, other, take = self._parts
+                first = min(max(keep - length + 1, 0), n)
+                second = min(max(take - length + 1, 0), n)
+                seam = _hashes_between(self, first, n - second, length)
+                found = np.concatenate([own.spans(length)[:first], seam, other.spans(length)[:second]])
+            self._spans[length] = found
+        return self._spans[length]
+
     def fingerprint(self) -> str:
         """Length and both hashes of the whole text; equal for equal texts, on any machine."""
         return f"{len(self):x}-" + "".join(f"{int(s[-1]):08x}" for s in self.sums)
@@ -123,10 +145,17 @@ def common_ending(a: Prefixes, b: Prefixes, most: int) -> int:
 
 def _span_hashes(x: Prefixes, places: np.ndarray, length: int) -> np.ndarray:
     """The hashes of the spans of `length` code points from each place on, the same wherever they lie."""
-    prime = np.uint64(PRIMES[0])
-    sums = x.sums[0]
-    spans = sums[places + length].astype(np.uint64) + prime - sums[places]
-    return spans % prime * _inverse_powers(len(x) + 1)[places] % prime
+    whole = x.spans(length)
+    return (whole if len(places) == len(whole) else whole[places]).astype(np.uint64)
+
+
+def _hashes_between(x: Prefixes, low: int, high: int, length: int) -> np.ndarray:
+    """The hashes of the spans from the places `low` to `high` - 1 on."""
+    prime, sums = np.uint64(PRIMES[0]), x.sums[0]
+    if high <= low:
+        return np.zeros(0, dtype=np.uint32)
+    spans = sums[low + length : high + length].astype(np.uint64) + prime - sums[low:high]
+    return (spans % prime * _inverse_powers(high)[low:high] % prime).astype(np.uint32)
 
 
 def _inverse_powers(n: int) -> np.ndarray:
@@ -151,16 +180,34 @@ def _in_both(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return in_left, np.flatnonzero(seen[small[1]])
 
 
-def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many equal keys come before each, and how many there are of it."""
+def _numbered(keys: np.ndarray) -> np.ndarray:
+    """How many equal keys come before each."""
     order = np.argsort(keys, kind="stable")
     ordered = keys[order]
     starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-    rank, count = np.empty(len(keys), dtype=np.int64), np.empty(len(keys), dtype=np.int64)
+    rank = np.empty(len(keys), dtype=np.int64)
     rank[order] = np.arange(len(keys)) - np.repeat(starts, sizes)
-    count[order] = np.repeat(sizes, sizes)
-    return rank, count
+    return rank
+
+
+def _alone(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that no other equals, ascending, and where they are."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    differs = np.concatenate([[True], ordered[1:] != ordered[:-1], [True]])
+    alone = differs[1:] & differs[:-1]
+    return ordered[alone], order[alone]
+
+
+def _met_once(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the keys are that both sides have exactly once."""
+    (a, at_a), (b, at_b) = _alone(left), _alone(right)
+    if not (len(a) and len(b)):
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    same = b[place] == a
+    return at_a[same], at_b[place[same]]
 
 
 def _agreeing(
@@ -238,20 +285,16 @@ def common_stretches(a: Prefixes, b: Prefixes, start: int, ending: int) -> int:
         if len(marks[0]):  # the numbers of the gaps are in the high bits
             gaps = [np.searchsorted(m, at).astype(np.uint64) for m, at in zip(marks, places, strict=True)]
             keys = [k + (g << np.uint64(31)) for k, g in zip(keys, gaps, strict=True)]
-        (rank, count), (other_rank, other_count) = (_numbered(k) for k in keys)
         if length == SPAN:
-            ranked = [k << np.uint64(32) | r.astype(np.uint64) for k, r in zip(keys, (rank, other_rank), strict=True)]
+            ranked = [k << np.uint64(32) | _numbered(k).astype(np.uint64) for k in keys]
             _, left, right = np.intersect1d(*ranked, assume_unique=True, return_indices=True)
             i, j = _agreeing(a, places[0][left], b, places[1][right], length)
             _mark(covered[0], i, length)
             _mark(covered[1], j, length)
-        once = [np.flatnonzero(c == 1) for c in (count, other_count)]
-        _, left, right = np.intersect1d(
-            keys[0][once[0]], keys[1][once[1]], assume_unique=True, return_indices=True
-        )
+        left, right = _met_once(*keys)
         if not len(left):
             continue
-        i, j = _agreeing(a, places[0][once[0][left]], b, places[1][once[1][right]], length)
+        i, j = _agreeing(a, places[0][left], b, places[1][right], length)
         chosen = _rising(j)
         i, j = i[chosen], j[chosen]
         _mark(covered[0], i, length)

@@ -195,3 +195,14 @@ def test_a_batch_written_again_after_compaction_is_there_once(spark, tmp_path):
     assert [r.stress_level for r in pts.read_points(spark, path).collect()] == [2]
     pts.compact_points(spark, path, day)
     assert [r.stress_level for r in pts.read_points(spark, path).collect()] == [2]
+
+
+def test_written_lines_are_the_text_of_the_points(spark, tmp_path):
+    rows = [("N", 1.5, 88.0, 33.25, 2, 4_999), ("M", 0.0, 70.0, 30.0, 0, 9_999)]
+    scored = spark.createDataFrame(
+        rows, "id string, EDA double, HR double, TEMP double, stress_level int, datetime long"
+    )
+    pts.write_lines(scored, str(tmp_path / "lines"))
+    back = sorted(r.value for r in spark.read.text(str(tmp_path / "lines")).collect())
+    assert back == sorted(r.line for r in pts.to_line_protocol(scored).collect())
+    assert back[1] == "flink_events,id=N EDA=1.500000,HR=88.000000,TEMP=33.250000,stressLevel=2 4999000000"

@@ -13,7 +13,6 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import RuleModel
 from vitalflow.operators.aggregates import batch_average, window_average
-from vitalflow.operators.ordered import position
 from vitalflow.session import fresh_path
 from vitalflow.sources.points import (
     fallback_points,
@@ -148,15 +147,6 @@ def to_checks(rows: DataFrame) -> DataFrame:
     )
 
 
-def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Readings in arrival order, cut into batches of 500; every tenth arrives 20 s late."""
-    arrival = F.col("us") + F.when(F.col("seq") % 10 == 0, 20_000_000).otherwise(0)
-    arrived = sensors(spark, sf_dir).withColumn("arrival", arrival)
-    ordered = position(arrived, [], ["arrival", "seq"], "_pos")
-    batch = F.floor((F.col("_pos") + 1) / 500).cast("bigint")
-    return ordered.withColumn("batch", batch).drop("_pos")
-
-
 def batched_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = F.floor(F.col("seq") / S.BATCH_RECORDS).cast("bigint")
     return records(spark, sf_dir).withColumn("batch", batch)

@@ -33,8 +33,9 @@ WIDTH = 3
 MISS = 5e-5
 #: Bits of an odd sketch, in words of 64.
 SKETCH_WORDS = 8
-#: Members of a table that all others are held against in a round.
-LEADS = 4
+#: Members of a table that all others are held against in a round. What links to the first of them
+#: is merged with it, so more of them in one round would mostly find what is merged already.
+LEADS = 2
 #: Links found by a round per member still in it, from which another round is worth its cost.
 MERGING = 0.01
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_operators import monitor, random_checks
 from vitalflow import schemas as S
 from vitalflow.models.scoring import RuleModel
+from vitalflow.session import session_settings
 from vitalflow.sources import points as pts
 from vitalflow.sources import streams
 from vitalflow.streaming import jobs, stateful
@@ -146,6 +147,23 @@ def test_history_keeps_sixty_readings_a_person(spark, tmp_path):
     assert {r.id: r.n for r in state.groupBy(F.col("key.id").alias("id")).agg(F.count("*").alias("n")).collect()} == {"a": 60, "b": 3}
 
 
+def test_keyed_state_starts_in_a_session_with_another_state_store(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows = [("p", i, False, None) for i in range(S.VIOLATIONS)] + [("q", 0, True, 1.0)]
+    schema = "pipeline string, seq int, healthy boolean, latency_s double"
+    with session_settings(spark, **{provider: other}):
+        for k in range(2):
+            part = spark.createDataFrame([r for r in rows if r[1] % 2 == k], schema).coalesce(1)
+            part.write.mode("append").parquet(f"{tmp_path}/log")
+            stream = streams.read_stream_earliest(spark, f"{tmp_path}/log", part.schema, 1)
+            modes = stateful.fallback_state_stream(stream)
+            jobs.start_files(modes, f"{tmp_path}/m", f"{tmp_path}/c", keyed=True).awaitTermination()
+            assert spark.conf.get(provider) == other
+        state = {tuple(r) for r in stateful.mode_state(spark, f"{tmp_path}/c").collect()}
+    assert state == {("p", True, 0), ("q", False, 0)}
+
+
 def test_points_wait_for_their_stretch_and_are_let_go(spark, tmp_path):
     # a stream takes rows of time 0 for late ones: its watermark starts there
     points = [(i, 1_000 * i) for i in range(10, 2_010, 10)]

@@ -12,6 +12,7 @@ from vitalflow import schemas as S
 from vitalflow.functions import scalars as fn
 from vitalflow.models.scoring import Model, with_default
 from vitalflow.operators.aggregates import batch_average, window_average
+from vitalflow.session import KEYED_STATE, session_settings
 from vitalflow.sources.points import fallback_points, primary_points, write_points
 from vitalflow.streaming.stateful import collect_batches
 
@@ -37,15 +38,19 @@ def score_stream(averages: DataFrame, model: Model) -> DataFrame:
     return model.score(averages, "stress_level")
 
 
-def start_files(df: DataFrame, path: str, checkpoint: str, name: str | None = None) -> StreamingQuery:
-    """Write a stream to Parquet, all data that is there now."""
+def start_files(
+    df: DataFrame, path: str, checkpoint: str, name: str | None = None, keyed: bool = False
+) -> StreamingQuery:
+    """Write a stream to Parquet, all data that is there now. Streams with keyed state (`stateful`)
+    are `keyed`: they get the state store that it needs, whatever the session's."""
     writer = df.writeStream.format("parquet").option("path", path)
     if name:
         writer = writer.queryName(name)
-    return (
-        writer.option("checkpointLocation", checkpoint).outputMode("append")
-        .trigger(availableNow=True).start()
-    )
+    with session_settings(df.sparkSession, **(KEYED_STATE if keyed else {})):
+        return (
+            writer.option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(availableNow=True).start()
+        )
 
 
 def start_batches(
@@ -53,12 +58,15 @@ def start_batches(
     handle: Callable[[DataFrame, int], None],
     checkpoint: str,
     trigger: dict | None = None,
+    keyed: bool = False,
 ) -> StreamingQuery:
-    """Hand each micro-batch to `handle`; progress is committed after it returns."""
-    return (
-        df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+    """Hand each micro-batch to `handle`; progress is committed after it returns. `keyed` is as in
+    `start_files`."""
+    with session_settings(df.sparkSession, **(KEYED_STATE if keyed else {})):
+        return (
+            df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start()
+        )
 
 
 def start_primary(
@@ -145,4 +153,4 @@ def start_collected_fallback(
         points = fallback_batch(rows, model, (*keys, "batch"))
         write_points(points, path, batch_id, S.FALLBACK)
 
-    return start_batches(collected, write, checkpoint, trigger)
+    return start_batches(collected, write, checkpoint, trigger, keyed=True)

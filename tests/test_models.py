@@ -10,7 +10,7 @@ from vitalflow.operators import metrics
 from vitalflow.plans import catalog, datasets
 from vitalflow.operators.filters import drop_incomplete
 from vitalflow.operators.windows import stratified_split
-from vitalflow.session import staged
+from vitalflow.session import session_settings, staged
 from vitalflow.streaming import jobs
 
 SMALL = boosted.BoostedTrees(trees=5, depth=3, rate=0.1, balanced=True)
@@ -150,6 +150,43 @@ def test_trees_equal_those_of_going_through_all_cuts(parts, monkeypatch, few, se
     assert np.allclose(got.to_numpy(), want)
 
 
+def test_rounds_take_as_many_tasks_as_rows_need(spark, parts):
+    """However wide the session's shuffles are, and however few files the rows come in."""
+    context, group = spark.sparkContext, "rounds"
+    try:
+        context.setJobGroup(group, "boosting")
+        with session_settings(spark, **{"spark.sql.shuffle.partitions": "50"}):
+            SMALL.fit(parts[0])
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert stages and max(s.numTasks for s in stages if s) < 50
+
+
+def test_rows_are_spread_evenly_over_tasks(spark, parts, monkeypatch):
+    monkeypatch.setattr(boosted, "LEAST_ROWS", 100)
+    monkeypatch.setattr(boosted, "BLOCK_ROWS", 50)
+    fit = boosted._Fit(SMALL, parts[0].coalesce(1), "label", "seq")
+    blocks = fit._with_bins().select("n", F.spark_partition_id().alias("task")).collect()
+    sizes = [sum(b.n for b in blocks if b.task == t) for t in {b.task for b in blocks}]
+    assert sum(sizes) == parts[0].count() and len(sizes) > 4 and max(sizes) < 1.5 * min(sizes)
+
+
+def test_parts_of_a_tree_are_the_rows_that_come_to_its_nodes():
+    tree = boosted.Tree(
+        np.array([0, 1, 0, 0, 0]), np.array([3, 1, 0, 0, 0]), np.array([1, 3, 2, 3, 4]),
+        np.array([2, 4, 2, 3, 4]), np.array([0.0, 0, 1, 2, 3]), np.zeros(5, np.int64), 2,
+    )
+    columns = np.array([[0, 5, 3, 2, 9], [2, 0, 1, 0, 7]], dtype=np.uint8)
+    scores = np.zeros(5)
+    tree.add_to(scores, columns)
+    assert scores.tolist() == [3, 1, 2, 2, 1]
+    wanted = np.array([False, True, False, False, True])
+    got = {node: rows.tolist() for node, rows in tree.parts(columns, np.array([0, 1, 3]), wanted)}
+    assert got == {1: [0, 3], 4: [0]}
+
+
 def test_leaf_wise_trees_go_deep(parts):
     grown = dataclasses.replace(boosted.LEAF_BOOSTING, trees=2).fit(parts[0], row_key="seq")
     deepest = dataclasses.replace(boosted.LEAF_BOOSTING, trees=1, min_rows=2).fit(parts[0], row_key="seq")

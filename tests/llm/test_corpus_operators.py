@@ -2,8 +2,10 @@
 
 import base64
 import hashlib
+import gzip
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -273,6 +275,14 @@ def test_arc_records_become_warc_records(version):
         list(archives.read_arc(b"filedesc://x 0.0.0.0 2005 text/plain 4\n9 0 x"))
 
 
+def test_many_members_are_read_in_one_go():
+    one = gzip.compress(b"x" * 300)
+    start = time.process_time()
+    # copying the rest of the file for each of the members takes minutes
+    assert archives.unzipped(one * 150_000) == b"x" * 45_000_000
+    assert time.process_time() - start < 30
+
+
 def test_archives_of_odd_pages(spark):
     rows = [
         (4, "http://a b", "<p>x", 1), (9, None, "<p>x", 1), (9, "u", "<p>x", 2), (None, "u", "<p>x", 3), (2, "u", None, 4),

@@ -191,7 +191,7 @@ def convert(
     is kept elsewhere, the headers of a revisit.
     """
     if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+        data = unzipped(data)
     out = io.BytesIO()
     for i, record in enumerate(read_arc(data)):
         extra, revisit = more(i - 1) if i else ({}, None)
@@ -201,7 +201,14 @@ def convert(
 
 def read_warc(data: bytes) -> Iterator[Record]:
     """The records of a WARC file, plain or in gzip members."""
-    yield from _plain_warc(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data)
+    yield from _plain_warc(unzipped(data) if data[:2] == b"\x1f\x8b" else data)
+
+
+def unzipped(data: bytes) -> bytes:
+    """All members of a gzip file, in a time that grows with its size; `gzip.decompress` copies the
+    rest of the file for each of them."""
+    with gzip.GzipFile(fileobj=io.BytesIO(data)) as members:
+        return members.read()
 
 
 def _plain_warc(raw: bytes) -> Iterator[Record]:

@@ -902,6 +902,11 @@ def fallback_state(spark: SparkSession, sf: str) -> DataFrame:
     return states.select("pipeline", "seq", "was_fallback", "in_fallback", "violation_count")
 
 
+def by_number(checks: DataFrame) -> Column:
+    """Checks go by their number, whatever their time; those without one are the first, as in a table."""
+    return F.coalesce(stretch_of(F.col("seq"), checks), F.lit(0))
+
+
 def monitored(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     """Modes after every check of a stream of several files, started from a table, with a restart."""
     checks = data.checks(spark, sf)
@@ -909,8 +914,7 @@ def monitored(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
     initial = pipelines.select(
         "pipeline", F.lit(False).alias("in_fallback"), F.lit(0).cast("bigint").alias("violation_count")
     )
-    place = share_of(F.col("check_us") - data.EPOCH_US, checks)
-    return run_restarted(checks, place, "modes", lambda s: stateful.fallback_state_stream(s, initial))
+    return run_restarted(checks, by_number(checks), "modes", lambda s: stateful.fallback_state_stream(s, initial))
 
 
 @query("fallback_state_stream")

@@ -2,6 +2,7 @@
 
 import random
 import time
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,9 @@ from pyspark.sql import functions as F
 from tests.test_operators import monitor, random_checks
 from vitalflow import schemas as S
 from vitalflow.models.scoring import RuleModel
+from vitalflow.operators import control
+from vitalflow.plans import catalog
+from vitalflow.plans import datasets as data
 from vitalflow.session import session_settings
 from vitalflow.sources import points as pts
 from vitalflow.sources import streams
@@ -164,6 +168,56 @@ def test_keyed_state_starts_in_a_session_with_another_state_store(spark, tmp_pat
     assert state == {("p", True, 0), ("q", False, 0)}
 
 
+@pytest.fixture(scope="module")
+def partly_dated(spark, tmp_path_factory):
+    """Events of two persons and pipelines; every fifth has no time, and some of them start a fallback."""
+    sf = str(tmp_path_factory.mktemp("partly-dated"))
+    start = datetime(2023, 12, 31, 23)  # before the first second of the given tables
+    rows = [
+        (k, None if k % 5 == 0 else start + timedelta(minutes=3 * k), k % 2, "ab"[k % 2],
+         40.0 if k in (6, 8, 10, *range(31, 36)) else 7.0 if k < 70 else 4.0 + k % 7, '{"k": 5}')
+        for k in range(140)
+    ]
+    spark.createDataFrame(rows, data.EVENTS).repartition(3).write.parquet(f"{sf}/events.parquet")
+    return sf
+
+
+def test_history_keeps_readings_without_a_time(spark, partly_dated):
+    got = {r.seq: r.n_history for r in catalog.history_stream(spark, partly_dated).collect()}
+    readings = data.sensors(spark, partly_dated).select("id", "us", "seq").collect()
+    want = {}
+    for person in {r.id for r in readings}:
+        own = sorted((r for r in readings if r.id == person), key=lambda r: (r.us is None, r.us or 0, r.seq))
+        want |= {r.seq: min(k + 1, S.HISTORY) for k, r in enumerate(own)}
+    assert got == want and len(want) == 140
+
+
+def test_monitor_counts_checks_without_a_time(spark, partly_dated):
+    table = catalog.fallback_state(spark, partly_dated)
+    got = catalog.fallback_state_stream(spark, partly_dated)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, table.collect()))
+    assert table.count() == 140 and table.filter("in_fallback").count() > 0
+    last = table.groupBy("pipeline").agg(F.max_by("in_fallback", "seq"), F.max_by("violation_count", "seq"))
+    state = catalog.mode_state(spark, partly_dated)
+    assert sorted(map(tuple, state.collect())) == sorted(map(tuple, last.collect()))
+
+
+def test_stretches_come_from_all_checks(spark, partly_dated, monkeypatch):
+    seen, in_parts = [], catalog.in_parts
+
+    def kept(rows, part, name):
+        if name == "stretches":
+            seen.extend(rows.collect())
+        return in_parts(rows, part, name)
+
+    monkeypatch.setattr(catalog, "in_parts", kept)
+    catalog.dual_path_stream(spark, partly_dated)
+    one = data.checks(spark, partly_dated).withColumn("pipeline", F.lit("all"))
+    rows = sorted(control.fallback_state(one).collect(), key=lambda r: r.seq)
+    want = [(a.check_us, b.check_us, a.in_fallback) for a, b in zip(rows, rows[1:], strict=False)]
+    assert sorted(((r.from_us, r.until_us, r.in_fallback) for r in seen), key=str) == sorted(want, key=str)
+
+
 def test_points_wait_for_their_stretch_and_are_let_go(spark, tmp_path):
     # a stream takes rows of time 0 for late ones: its watermark starts there
     points = [(i, 1_000 * i) for i in range(10, 2_010, 10)]

@@ -936,17 +936,16 @@ def dual_path_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Fallback points of times in fallback mode; the mode becomes known after the points."""
     path = fresh_path(spark, "stretches")
     one = data.checks(spark, sf).withColumn("pipeline", F.lit("all"))
-    place = share_of(F.col("check_us") - data.EPOCH_US, one)
-    modes = stateful.mode_intervals_stream(in_parts(one, place, "checks"))
+    modes = stateful.mode_intervals_stream(in_parts(one, by_number(one), "checks"))
     finished(jobs.start_files(modes, f"{path}/rows", f"{path}/progress", keyed=True))
     stretches = spark.read.schema(modes.schema).parquet(f"{path}/rows")
     since = F.floor((F.col("until_us") - data.EPOCH_US) / 1_000)
     points = filters.filter_source(data.points(spark, sf).select(*S.POINT.names), S.FALLBACK)
     start = F.col("time_ms") - data.EPOCH_US // 1_000
     # stretches come one micro-batch after the points that lie in them
-    late = F.least(share_of(since, stretches) + 1, F.lit(PARTS - 1))
+    late = F.least(stretch_of(since, stretches) + 1, F.lit(PARTS - 1))
     joined = stateful.points_in_fallback(
-        in_parts(points, share_of(start, points), "points"), in_parts(stretches, late, "stretches")
+        in_parts(points, stretch_of(start, points), "points"), in_parts(stretches, late, "stretches")
     )
     return run_to_table(joined, "both").select(*point_columns())
 

@@ -168,6 +168,25 @@ def test_near_groups_match_all_pairs(spark, size, percent):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in got})
 
 
+def test_a_pair_that_meets_in_many_tables_is_made_once(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(12)] + ["alone with some words"]
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "row_key long, doc_id long, text string")
+    groups = near_dedup.group_count(0.85)
+    nodes = near_dedup.signatures(rows, 3, groups, near_dedup.WIDTH, 20).withColumnRenamed("row_key", "node")
+    tables = near_dedup._tables(nodes).withColumn("component", F.col("node")).cache()
+    odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(near_dedup.SKETCH_WORDS)]
+    halves = F.transform(F.concat("left", "right"), lambda v, k: F.xxhash64(k, v)).alias("halves")
+    made = near_dedup._pairs_left(tables, nodes.select("node", *odd, halves), 80)
+    a, b = (tables.select("table_key", F.col("node").alias(c)) for c in "ab")
+    met = a.join(b, "table_key").filter("a < b").select("a", "b")
+    assert met.count() > 5 * met.distinct().count()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, met.distinct().collect()))
+    tables.unpersist()
+
+
 def test_near_groups_of_odd_rows(spark):
     ids = [5, 3, 9, None, 2, 7, 2, 2, 1]
     rows, groups = near_dedup.near_groups(docs(spark, ODD, ids))

@@ -149,13 +149,18 @@ def full_sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(work, "node long, items array<long>")
 
 
+def _half_key(at: Column, value: Column) -> Column:
+    """One of the two halves of a table's key: a minhash group and its place among the groups."""
+    return F.xxhash64(at, value)
+
+
 def _tables(nodes: DataFrame) -> DataFrame:
     """(table_key, node, n): one row per node and table in which it could meet another.
 
     Groups that no other node has cannot make a shared key, so only shared ones are paired.
     """
     half = nodes.select("node", "n", F.posexplode(F.concat("left", "right")).alias("at", "value"))
-    half = half.withColumn("half_key", F.xxhash64("at", "value"))
+    half = half.withColumn("half_key", _half_key(F.col("at"), F.col("value")))
     shared = half.groupBy("half_key").agg(F.count("*").alias("c")).filter("c > 1").select("half_key")
     first = F.size("left")
     sides = (
@@ -275,7 +280,8 @@ def near_groups(
     sets = staged(full_sets(texts, size), "near-sets")
 
     odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(SKETCH_WORDS)]
-    sketches = signed.select(F.col("row_key").alias("node"), *odd)
+    halves = F.transform(F.concat("left", "right"), lambda v, k: _half_key(k, v)).alias("halves")
+    sketches = signed.select(F.col("row_key").alias("node"), *odd, halves)
     whole = _meeting_components(members.select("table_key", "node", "n"), sketches, sets, percent)
 
     rooted = nodes.join(whole, "node", "left").withColumn(
@@ -384,23 +390,29 @@ def _pairs_with_leads(
 
 
 def _pairs_left(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of members of different components that can be linked by size and sketch."""
+    """All pairs (a, b) of members of different components that can be linked by size and sketch.
+
+    A pair comes out of one of the tables that it meets in only, that of the first and the last
+    group which both have. So there are as many rows as pairs, however many tables alike sets share.
+    """
     open_rows = staged(rows.select("table_key", "node", "n", "component"), "near-open")
     wanted = sketches.join(open_rows.select("node").distinct(), "node")
     wide = staged(open_rows.join(wanted, "node"), "near-sketched")
-    columns = ("node", "n", "component", *[f"odd{k}" for k in range(SKETCH_WORDS)])
+    columns = ("node", "n", "component", "halves", *[f"odd{k}" for k in range(SKETCH_WORDS)])
     a = wide.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])
     b = wide.select("table_key", *[F.col(c).alias(f"{c}_b") for c in columns])
     n, m = F.col("n_a"), F.col("n_b")
+    both = F.array_intersect("halves_a", "halves_b")  # in order, so of the first collection and then of the other
     met = a.join(
         b,
         (a["table_key"] == b["table_key"])
         & (F.col("node_a") < F.col("node_b"))
         & (F.col("component_a") != F.col("component_b"))
         & _close(n, m, percent)
-        & _may_link(n, m, percent),
+        & _may_link(n, m, percent)
+        & (F.xxhash64(F.element_at(both, 1), F.element_at(both, -1)) == a["table_key"]),
     )
-    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

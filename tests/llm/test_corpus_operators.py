@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -265,6 +266,24 @@ def test_token_files_hold_what_the_library_gives(spark):
     assert none.count() == 0 and token_files.token_file_sums(none, empty).count() == 0
 
 
+def test_encoder_takes_words_straight_from_the_model():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(3)
+    signs = "aÀé.,'<|st \t\x01\x0b\x1cΩ3ßñt×÷İ≠º\u0301\u0338\xa0日—"
+    texts = ["", " ", "naïve—dash co-op 12a3", "O'Neil's WE'LL", *("".join(rng.choices(signs, k=rng.randint(0, 30))) for _ in range(2_000))]
+    encoder = token_files.Encoder(path)
+    for part in (texts[:1_000], texts[1_000:], texts):
+        for text, ids in zip(part, encoder.encode(pa.array(part)), strict=True):
+            assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+    encoder, rest, plain = token_files.Encoder(path), [], encoder._encoded
+    encoder._encoded = lambda pieces: rest.extend(pieces) or plain(pieces)
+    words = [f"{a}{b}{end}" for a in "aÉs" for b in ("stra", "ße", "on") for end in ("", ".", ",", "###")]
+    encoder.encode(pa.array([" ".join(words), " ".join(words[::-1])]))
+    assert sorted(rest) == ["###", ",", "."]
+
+
 # ---- archives ----------------------------------------------------------------------------
 
 

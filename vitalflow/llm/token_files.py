@@ -11,17 +11,21 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vitalflow.llm import words
 from vitalflow.llm.common import make_folder, read_files, settings, text_of, worker_cache, write_file
 from vitalflow.operators.ordered import running_before
 from vitalflow.session import staged
@@ -31,6 +35,8 @@ BLOCK = 512
 END_ID = 2
 #: A file is closed with the document that brings it to so many ids; bounds a task's memory.
 SHARD_IDS = 1 << 22
+#: Bytes of text cut into pieces at once; a longer document is cut alone.
+TEXT_BYTES = 1 << 23
 #: Pieces of text a worker remembers the ids of: the first ones. More cost time, no result.
 REMEMBERED = 600_000
 _SEPARATOR = "\x01"
@@ -177,8 +183,10 @@ class Encoder:
     """Ids of texts by the tokenizers library, remembered per piece between white space.
 
     The tokenizer drops white space and never joins what lies on both sides of it, so a text's ids
-    are those of its pieces in a row. Pieces not met yet are encoded many at a time, with a sign
-    between them whose id no other piece has.
+    are those of its pieces in a row. A batch's texts are cut and its distinct pieces found by Arrow.
+    A piece that begins with letters which the library maps one by one has the ids of those letters,
+    straight from the library's model, and then those of the rest. What is left is encoded many at a
+    time, with a sign between whose id no other piece has.
     """
 
     def __init__(self, path: str):
@@ -187,57 +195,98 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         (self.separator,) = self._encode(_SEPARATOR)
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = self._letters()
+        signs = re.escape("".join(map(chr, self.letters)))
+        # up to the end or a visible sign of ASCII that is no letter: the library parts them there
+        self.beginning = re.compile(f"[{signs}]++(?=[!-~]|\\Z)").match if self.letters else lambda piece: None
 
     def _encode(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _pieces(self, fresh: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of pieces. ASCII letters before stops and commas have the ids of the lower-case
-        letters and of the stops, so such pieces share what is encoded."""
-        parts = {}
+    def _letters(self) -> dict[int, str]:
+        """Letters of Latin-1 and what the model gets for each; none if that is not one by one."""
+        normal, parts = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        if normal is None or parts is None:
+            return {}
+        out = {}
+        for letter in filter(str.isalpha, map(chr, range(256))):
+            found = parts.pre_tokenize_str(normal.normalize_str(letter))
+            if len(found) == 1:
+                out[ord(letter)] = found[0][0]
+        ascii_letters = set(map(ord, string.ascii_letters))
+        every = "".join(map(chr, out))
+        found = parts.pre_tokenize_str(normal.normalize_str(every))
+        added = [t.content[0] for t in self.tokenizer.get_added_tokens_decoder().values()]
+        one_by_one = [t for t, _ in found] == [every.translate(out)]
+        return out if one_by_one and ascii_letters <= set(out) and not any(ord(c) in out for c in added) else {}
+
+    def _pieces(self, fresh: list[str]) -> list[bytes]:
+        """Ids of distinct pieces not met yet."""
+        words, rests = [], []
+        beginning, letters = self.beginning, self.letters
         for piece in fresh:
-            letters = piece.rstrip(b".,!")
-            if letters.isalpha():
-                parts[piece] = (letters.lower(), piece[len(letters) :])
-        wanted = set(fresh).difference(parts)
-        for pair in parts.values():
-            wanted.update(pair)
-        wanted.discard(b"")
-        found = self._encoded([p for p in wanted if p not in self.known])
-        found[b""] = b""
-        look = self.known.get
-
-        def ids(piece: bytes) -> bytes:
-            own = found.get(piece)
-            return look(piece) if own is None else own
-
-        return {p: ids(p) if p not in parts else ids(parts[p][0]) + ids(parts[p][1]) for p in fresh}
-
-    def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        out = {p: np.array(self._encode(p.decode()), "<u2").tobytes() for p in pieces if b"\x01" in p}
-        plain = [p for p in pieces if b"\x01" not in p]
-        between = f" {_SEPARATOR} ".encode()
+            found = beginning(piece)
+            if found is None:
+                words.append("")
+                rests.append(piece)
+            else:
+                word = found.group()
+                words.append(word.translate(letters))
+                rests.append(piece[len(word) :])
+        tails = {rest: self.known.get(rest) for rest in set(rests)}
+        tails.update(self._encoded([rest for rest, ids in tails.items() if ids is None]))
+        room = REMEMBERED - len(self.words)
+        of_word = self.words if len(set(words)) <= room else dict.fromkeys(words)
+        tokenize, pack = self.model.tokenize, struct.pack
+        out = []
+        for word, rest in zip(words, rests, strict=True):
+            own = of_word.get(word)
+            if own is None:
+                own = self.words.get(word)
+                if own is None:
+                    ids = [token.id for token in tokenize(word)] if word else []
+                    own = pack(f"<{len(ids)}H", *ids)
+                of_word[word] = own
+            out.append(own + tails[rest] if rest else own)
+        return out
+
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        out = {p: np.array(self._encode(p), "<u2").tobytes() for p in pieces if _SEPARATOR in p}
+        plain = [p for p in pieces if _SEPARATOR not in p]
+        between = f" {_SEPARATOR} "
         for at in range(0, len(plain), 4_000):
             some = plain[at : at + 4_000]
-            ids = np.array(self._encode(between.join(some).decode()), dtype="<u2")
+            ids = np.array(self._encode(between.join(some)), dtype="<u2")
             cuts = np.flatnonzero(ids == self.separator).tolist()
             raw = ids.tobytes()
             for piece, begin, end in zip(some, [-1, *cuts], [*cuts, len(ids)], strict=True):
                 out[piece] = raw[2 * begin + 2 : 2 * end]
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian two-byte ids of each text."""
-        parted = [t.encode("utf-8", "replace").split() for t in texts]
-        fresh = [p for p in set().union(*parted) if p not in self.known]
-        more = self._pieces(fresh)
-        look = self.known
-        if len(self.known) + len(more) <= REMEMBERED:
-            self.known.update(more)
-        else:
-            look = {p: self.known[p] if p in self.known else more[p] for p in set().union(*parted)}
-        return [b"".join(map(look.__getitem__, parts)) for parts in parted]
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Little-endian two-byte ids of each text of a column without nulls."""
+        parted = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = parted.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        made = [*map(self.known.get, pieces)]
+        fresh = [i for i, ids in enumerate(made) if ids is None]
+        more = self._pieces([pieces[i] for i in fresh])
+        remember = len(self.known) + len(fresh) <= REMEMBERED
+        for i, ids in zip(fresh, more, strict=True):
+            made[i] = ids
+            if remember:
+                self.known[pieces[i]] = ids
+        found = pa.array(made, pa.large_binary())
+        ids = found.take(coded.indices)
+        _, places, data = ids.buffers()
+        starts = np.frombuffer(places, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        counts = pc.list_value_length(parted).to_numpy()
+        bounds = starts[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        raw = b"" if data is None else memoryview(data)
+        return [bytes(raw[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def _encoder(path: str) -> Encoder:
@@ -281,10 +330,9 @@ def write_token_files(
             return pa.RecordBatch.from_pydict(row, schema=schema)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                some = batch.slice(at, 128)
-                found = encoder.encode(some.column(1).to_pylist())
-                for i, raw in zip(some.column(0).to_pylist(), found, strict=True):
+            for at, until, _, _ in words.chunks(batch.column(1), TEXT_BYTES):
+                some = batch.slice(at, until - at)
+                for i, raw in zip(some.column(0).to_pylist(), encoder.encode(some.column(1)), strict=True):
                     ids.append(i)
                     held.append(raw + end)
                     size += len(raw) // 2 + 1

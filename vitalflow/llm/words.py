@@ -49,12 +49,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8), at.astype(np.int64)
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets from 0) of stretches of about `CHUNK` bytes."""
+def chunks(
+    column: pa.Array, size: int = CHUNK
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets from 0) of stretches of about `size` bytes."""
     data, offsets = buffers(column)
     row, rows = 0, len(column)
     while row < rows:
-        end = int(np.searchsorted(offsets, offsets[row] + CHUNK, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1
         end = min(max(end, row + 1), rows)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end

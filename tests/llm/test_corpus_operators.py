@@ -188,6 +188,37 @@ def test_a_pair_that_meets_in_many_tables_is_made_once(spark):
     tables.unpersist()
 
 
+def test_marks_keep_all_wanted_rows_and_few_others(spark):
+    rows = spark.range(-10_000, 30_000).select(F.col("id").alias("node"), F.lit("t").alias("text"))
+    wanted = spark.range(-7_000, 7_000, 70).select(F.col("id").alias("node"))
+    likely = near_dedup._likely(rows, wanted)
+    assert likely.columns == ["node", "text"]
+    got = [r.node for r in likely.collect()]
+    assert set(range(-7_000, 7_000, 70)) <= set(got) and len(got) == len(set(got)) <= 220
+    assert near_dedup._likely(rows, wanted.limit(0)).count() == 0
+
+
+def test_texts_and_sets_of_no_candidate_are_not_shuffled(spark, monkeypatch):
+    written, shuffled = {}, near_dedup.staged
+
+    def staged(df, name, *path):
+        out = shuffled(df, name, *path)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        written.setdefault(name, []).append((plan.count("bitmap_construct_agg"), out))
+        return out
+
+    monkeypatch.setattr(near_dedup, "staged", staged)
+    rows = near_rows(random.Random(8))
+    _, groups = near_dedup.near_groups(docs(spark, [t for _, t in rows]), size=3, percent=85)
+    groups.collect()
+    assert written["near-sets"][0][0] == 1
+    assert all(count == 2 for count, _ in written["near-links"])
+    for name in ("near-alone", "near-tables"):
+        (_, out), = written[name]
+        with pytest.raises(Exception, match="(?i)not.*exist|not.*found"):
+            out.collect()
+
+
 def test_near_groups_of_odd_rows(spark):
     ids = [5, 3, 9, None, 2, 7, 2, 2, 1]
     rows, groups = near_dedup.near_groups(docs(spark, ODD, ids))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from vitalflow.llm import words
 from vitalflow.llm.common import numbered_rows
-from vitalflow.session import staged
+from vitalflow.session import drop_path, fresh_path, staged
 
 WIDTH = 3
 MISS = 5e-5
@@ -38,6 +38,8 @@ SKETCH_WORDS = 8
 LEADS = 2
 #: Links found by a round per member still in it, from which another round is worth its cost.
 MERGING = 0.01
+#: Bits that mark wanted nodes for `_likely`; at 32,768 to a row this is 1 MB, whatever the input.
+MARKS = 1 << 23
 
 
 def group_count(threshold: float, width: int = WIDTH, miss: float = MISS) -> int:
@@ -149,6 +151,22 @@ def full_sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(work, "node long, items array<long>")
 
 
+def _likely(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`rows` without most of those whose `node` is not in `wanted` (node); all others stay.
+
+    A node has one of `MARKS` bits by its hash. So rows with texts or sets that an exact join would
+    drop are not shuffled for it, while no more than the marks reach every task. The join that
+    follows is an inner one, as Spark would move a semi join before the marks.
+    """
+    place = F.pmod(F.xxhash64("node"), F.lit(MARKS)) + 1  # bitmap functions count from 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place).cast("int")
+    marks = wanted.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_marks"))
+    own = F.substring("_marks", F.shiftright(bit, 3) + 1, F.lit(1))
+    marked = F.getbit(F.conv(F.hex(own), 16, 10).cast("int"), bit % 8) == 1
+    joined = rows.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket")
+    return joined.filter(marked).drop("_bucket", "_marks")
+
+
 def _half_key(at: Column, value: Column) -> Column:
     """One of the two halves of a table's key: a minhash group and its place among the groups."""
     return F.xxhash64(at, value)
@@ -194,8 +212,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, type=pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("left_items"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("right_items"))
+    left = _likely(sets, pairs.select(F.col("a").alias("node")))
+    left = left.select(F.col("node").alias("a"), F.col("items").alias("left_items"))
+    right = _likely(sets, pairs.select(F.col("b").alias("node")))
+    right = right.select(F.col("node").alias("b"), F.col("items").alias("right_items"))
     together = pairs.select("a", "b").join(left, "a").join(right, "b")
     near = _close(F.size("left_items"), F.size("right_items"), percent)
     return together.filter(near).mapInArrow(work, "a long, b long")
@@ -270,13 +290,17 @@ def near_groups(
     alone = signed.select(F.col("row_key").alias("node"), "left", "right").join(
         nodes.select("node", "n"), "node"
     )
-    tables = _tables(staged(alone, "near-alone"))
-    tables = staged(tables, "near-tables")
+    spark = docs.sparkSession
+    passing = [fresh_path(spark, name) for name in ("near-alone", "near-tables")]
+    tables = _tables(staged(alone, "near-alone", passing[0]))
+    tables = staged(tables, "near-tables", passing[1])
     meeting = tables.groupBy("table_key").agg(F.count("*").alias("c"))
     shared = meeting.filter("c > 1").select("table_key")
     members = staged(tables.join(shared, "table_key"), "near-members")
+    for path in passing:  # room on the disk: nothing reads them any more
+        drop_path(spark, path)
     wanted = members.select("node").distinct()
-    texts = flat.withColumnRenamed("row_key", "node").join(wanted, "node", "left_semi")
+    texts = _likely(flat.withColumnRenamed("row_key", "node"), wanted).join(wanted, "node")
     sets = staged(full_sets(texts, size), "near-sets")
 
     odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(SKETCH_WORDS)]
@@ -315,12 +339,14 @@ def _meeting_components(
     part: DataFrame | None = None
     compared: DataFrame | None = None
     merging, number = True, 0
+    spark = members.sparkSession
     while True:
+        placed_at = fresh_path(spark, "near-placed")
         if part is None:  # every node is a component, and every table open
             placed = members.withColumn("component", F.col("node"))
             left = members.count()
         else:
-            placed = staged(members.join(part, "node"), "near-placed")
+            placed = staged(members.join(part, "node"), "near-placed", placed_at)
             sizes = placed.groupBy("table_key").agg(
                 F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("c")
             )
@@ -335,6 +361,7 @@ def _meeting_components(
             found = _pairs_left(placed, sketches, percent)
         fresh = found if compared is None else found.join(compared, ["a", "b"], "left_anti")
         fresh = staged(fresh, "near-pairs")
+        drop_path(spark, placed_at)
         links = staged(_linked(fresh, sets, percent), "near-links")
         if part is None:
             part = members.select("node", F.col("node").alias("component")).distinct()
@@ -396,7 +423,8 @@ def _pairs_left(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     group which both have. So there are as many rows as pairs, however many tables alike sets share.
     """
     open_rows = staged(rows.select("table_key", "node", "n", "component"), "near-open")
-    wanted = sketches.join(open_rows.select("node").distinct(), "node")
+    of_open = open_rows.select("node").distinct()
+    wanted = _likely(sketches, of_open).join(of_open, "node")
     wide = staged(open_rows.join(wanted, "node"), "near-sketched")
     columns = ("node", "n", "component", "halves", *[f"odd{k}" for k in range(SKETCH_WORDS)])
     a = wide.select("table_key", *[F.col(c).alias(f"{c}_a") for c in columns])

@@ -97,8 +97,11 @@ def session_settings(spark: SparkSession, **values: str) -> Iterator[None]:
             spark.conf.unset(key) if old is None else spark.conf.set(key, old)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` below the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
+def staged(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write `df` below the shared folder and read it back: cuts lineage, survives lost executors.
+
+    With a `path` of `fresh_path`, the caller can drop it when nothing reads it any more.
+    """
+    path = path or fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -171,6 +171,32 @@ def test_quality_tells_held_out_junk_from_prose(spark):
     assert 230 <= kept.filter("doc_id < 240").count() and kept.filter("doc_id >= 240").count() <= 5
 
 
+def test_features_are_found_and_counted_by_one_python_process_per_task(spark, monkeypatch):
+    plans, to_pandas = [], type(spark.range(0)).toPandas
+
+    def told(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return to_pandas(df)
+
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", told)
+    rng = random.Random(5)
+    frame, marks = labelled(spark, sentences(rng, 60), [s.replace("e", "qx") for s in sentences(rng, 60)], "quality")
+    frame = frame.unionByName(spark.createDataFrame([(-1, None), (-2, "")], "doc_id long, text string"), allowMissingColumns=True)
+    marks = marks.unionByName(spark.createDataFrame([(-1, 1), (-2, 0)], "doc_id long, quality int"), allowMissingColumns=True)
+    rows = linear.labelled_rows(frame, marks, "quality", lambda doc_id: F.lit(True))
+    linear.fit(rows, quality.extract)
+    assert [p.count("MapInArrow") for p in plans] == [1]
+    got, sizes = linear.log_ratios(rows, quality.extract, 3, 0.0)
+    counts, known = np.zeros((2, linear.FEATURES)), rows.collect()
+    for r in known:
+        (found,) = quality.extract(pa.array([r.text]))
+        counts[r.y][found] += 1
+    n0, n1 = (sum(r.y == c for r in known) for c in (0, 1))
+    assert sizes == (n0, n1) and n0 + n1 == 122
+    want = np.log((counts[1] + 1) / (n1 + 2) / ((counts[0] + 1) / (n0 + 2)))
+    assert np.allclose(got, np.where(counts.sum(axis=0) >= 3, want, 0.0))
+
+
 def test_classifiers_on_odd_rows_and_without_labels(spark):
     frame = docs(spark, ODD, [None, *range(1, len(ODD))])
     none = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")

@@ -77,24 +77,26 @@ def with_features(rows: DataFrame, extract: Extract) -> DataFrame:
 
 
 def log_ratios(
-    featured: DataFrame, least: int, band: float
+    rows: DataFrame, extract: Extract, least: int, band: float
 ) -> tuple[np.ndarray, tuple[float, float]]:
     """Log ratio of each indicator's share in class 1 to that in class 0, and the class sizes.
 
-    Indicators in fewer than `least` documents or with a ratio within `band` are set to 0. What comes
-    to the driver is at most one row per feature number.
+    `rows` has (y, text). Indicators in fewer than `least` documents or with a ratio within `band`
+    are set to 0. What comes to the driver is at most one row per feature number. Features are found
+    and counted in one step, as every further one would take a Python process of its own per core,
+    which stays with what it remembers.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, FEATURES), dtype=np.int64)
         sizes = np.zeros(2, dtype=np.int64)
         for batch in batches:
-            lists = batch.column(1)
+            if not batch.num_rows:
+                continue
             y = batch.column(0).to_numpy(zero_copy_only=False)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            of = np.repeat(y, np.diff(lists.offsets.to_numpy()))
+            for c, found in zip(y.tolist(), extract(batch.column(1)), strict=True):
+                totals[c][found] += 1  # a document has each once
             for c in (0, 1):
-                totals[c] += np.bincount(flat[of == c], minlength=FEATURES)
                 sizes[c] += int((y == c).sum())
         at = np.flatnonzero(totals.sum(axis=0))
         ids = np.concatenate([at, [-1]])
@@ -103,7 +105,7 @@ def log_ratios(
             [pa.array(ids), pa.array(both[0]), pa.array(both[1])], ["feature", "c0", "c1"]
         )
 
-    counted = featured.mapInArrow(count, "feature long, c0 long, c1 long").groupBy("feature").agg(
+    counted = rows.select("y", "text").mapInArrow(count, "feature long, c0 long, c1 long").groupBy("feature").agg(
         F.sum("c0").alias("c0"), F.sum("c1").alias("c1")
     )
     table = counted.toPandas()
@@ -180,7 +182,7 @@ def fit(
     """
     known = labelled.filter("y in (0, 1)").select(F.col("y").cast("int").alias("y"), "text", "key")
     known = staged(known.groupBy("text").agg(F.max("y").alias("y"), F.min("key").alias("key")), "fit-rows")
-    ratios, sizes = log_ratios(with_features(known, extract), least, band)
+    ratios, sizes = log_ratios(known, extract, least, band)
     total = sum(sizes)
     if not min(sizes):
         share = (sizes[1] + 1) / (total + 2)

@@ -188,6 +188,34 @@ def test_a_pair_that_meets_in_many_tables_is_made_once(spark):
     tables.unpersist()
 
 
+def test_tables_with_the_same_members_are_one_and_make_every_pair_once(spark):
+    rng = random.Random(12)
+    texts = []
+    for k in range(40):  # two near copies each, and a few larger groups of them
+        base = [f"w{k}_{i}" for i in range(60)]
+        for j in range(5 if k % 10 == 0 else 2):
+            at = rng.randrange(60)
+            texts.append(" ".join(base[:at] + [f"x{j}"] + base[at + 1 :]))
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "row_key long, doc_id long, text string")
+    groups = near_dedup.group_count(0.8)
+    nodes = near_dedup.signatures(rows, 3, groups, near_dedup.WIDTH, 20).withColumnRenamed("row_key", "node")
+    tables = near_dedup._tables(nodes).cache()
+    by_table = defaultdict(set)
+    for r in tables.collect():
+        by_table[r.table_key].add(r.node)
+    several = [frozenset(s) for s in by_table.values() if len(s) > 1]
+    kept = near_dedup._different(tables)
+    found = [frozenset(by_table[r.table_key]) for r in kept.collect()]
+    assert sorted(map(sorted, found)) == sorted(map(sorted, set(several))) and 5 * len(found) < len(several)
+    odd = [F.col("odd")[k].alias(f"odd{k}") for k in range(near_dedup.SKETCH_WORDS)]
+    halves = F.transform(F.concat("left", "right"), lambda v, k: F.xxhash64(k, v)).alias("halves")
+    members = tables.join(kept, "table_key").withColumn("component", F.col("node"))
+    made = near_dedup._pairs_left(members, nodes.select("node", *odd, halves), 10)
+    want = {(a, b) for s in several for a in s for b in s if a < b}
+    assert sorted(map(tuple, made.collect())) == sorted(want)
+    tables.unpersist()
+
+
 def test_marks_keep_all_wanted_rows_and_few_others(spark):
     rows = spark.range(-10_000, 30_000).select(F.col("id").alias("node"), F.lit("t").alias("text"))
     wanted = spark.range(-7_000, 7_000, 70).select(F.col("id").alias("node"))

@@ -7,7 +7,7 @@ pair of sets with likeness s meets in some table unless one collection has no eq
 happens with probability under 2 * (1 - s**width)**groups; `groups` is the smallest number that
 brings this under `miss` at the threshold.
 
-Documents with equal sets are one node. In every table the members are held against a few of them,
+Documents with equal sets are one node. Of tables with the same members one is kept. In every table the members are held against a few of them,
 in rounds, and what is linked becomes one component, until few pairs of members of different
 components are left, which are then all compared. Only pairs that can be linked at all are: sets
 differ in at least as many shingles as their odd sketches (one bit per hash value, turned over by
@@ -173,9 +173,10 @@ def _half_key(at: Column, value: Column) -> Column:
 
 
 def _tables(nodes: DataFrame) -> DataFrame:
-    """(table_key, node, n): one row per node and table in which it could meet another.
+    """(table_key, place, node, n): one row per node and table in which it could meet another.
 
-    Groups that no other node has cannot make a shared key, so only shared ones are paired.
+    Groups that no other node has cannot make a shared key, so only shared ones are paired. `place`
+    is the same in all rows of a table, and smaller for an earlier left and then a later right group.
     """
     half = nodes.select("node", "n", F.posexplode(F.concat("left", "right")).alias("at", "value"))
     half = half.withColumn("half_key", _half_key(F.col("at"), F.col("value")))
@@ -189,10 +190,26 @@ def _tables(nodes: DataFrame) -> DataFrame:
     )
     left = F.filter("halves", lambda h: h["at"] < F.col("groups"))
     right = F.filter("halves", lambda h: h["at"] >= F.col("groups"))
-    pairs = sides.select("node", "n", F.explode(left).alias("l"), right.alias("rights"))
-    pairs = pairs.select("node", "n", "l", F.explode("rights").alias("r"))
+    pairs = sides.select("node", "n", "groups", F.explode(left).alias("l"), right.alias("rights"))
+    pairs = pairs.select("node", "n", "groups", "l", F.explode("rights").alias("r"))
     key = F.xxhash64("l.half_key", "r.half_key")
-    return pairs.select(key.alias("table_key"), "node", "n")
+    place = F.col("l.at") * 2 * F.col("groups") - F.col("r.at")
+    return pairs.select(key.alias("table_key"), place.cast("int").alias("place"), "node", "n")
+
+
+def _different(tables: DataFrame) -> DataFrame:
+    """(table_key) of the tables in which nodes meet, one of those that have the same members.
+
+    Near copies share most of their groups, so most of their tables have the same members, and one
+    of these makes all their pairs. It is the one of the first left and the last right group: no
+    pair of its members has an earlier or a later one in another of them, as `_pairs_left` needs it.
+    Members are the same when their number and 128 bits of their hashes are.
+    """
+    marks = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    meeting = tables.groupBy("table_key").agg(F.count("*").alias("c"), F.min("place").alias("place"), *marks)
+    first = F.min(F.struct("place", "table_key")).alias("first")
+    kept = meeting.filter("c > 1").groupBy("c", "mark0", "mark1").agg(first)
+    return kept.select(F.col("first.table_key").alias("table_key"))
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -294,9 +311,8 @@ def near_groups(
     passing = [fresh_path(spark, name) for name in ("near-alone", "near-tables")]
     tables = _tables(staged(alone, "near-alone", passing[0]))
     tables = staged(tables, "near-tables", passing[1])
-    meeting = tables.groupBy("table_key").agg(F.count("*").alias("c"))
-    shared = meeting.filter("c > 1").select("table_key")
-    members = staged(tables.join(shared, "table_key"), "near-members")
+    shared = _different(tables)
+    members = staged(tables.drop("place").join(shared, "table_key"), "near-members")
     for path in passing:  # room on the disk: nothing reads them any more
         drop_path(spark, path)
     wanted = members.select("node").distinct()

@@ -150,6 +150,50 @@ def test_trees_equal_those_of_going_through_all_cuts(parts, monkeypatch, few, se
     assert np.allclose(got.to_numpy(), want)
 
 
+@pytest.mark.parametrize("few", [0, 60, 20_000])
+def test_rows_held_by_one_task_give_the_trees_of_jobs(parts, monkeypatch, few):
+    """With drawn rows and features, limits of both kinds, and scores written in between."""
+    rows = parts[0].filter("seq < 400").repartition(3)
+    monkeypatch.setattr(boosted, "HELD_ROUNDS", 2)
+    monkeypatch.setattr(boosted, "BLOCK_ROWS", 100)
+    for settings in (
+        dataclasses.replace(boosted.LEAF_BOOSTING, trees=5, min_rows=5, rate=0.3),
+        boosted.BoostedTrees(trees=3, depth=3, rate=0.3, bins=16, row_share=0.7),
+    ):
+        got = settings.fit(rows, row_key="seq")
+        with monkeypatch.context() as jobs_only:
+            jobs_only.setattr(boosted, "HELD_ROWS", 0)
+            jobs_only.setattr(boosted, "FEW_ROWS", few)
+            want = settings.fit(rows, row_key="seq")
+        assert len(got.rounds) == len(want.rounds) == settings.trees
+        for a, b in zip((t for r in got.rounds for t in r), (t for r in want.rounds for t in r), strict=True):
+            for name, values in vars(a).items():
+                assert np.allclose(values, getattr(b, name)), name
+
+
+def test_a_round_of_few_rows_is_no_job_of_its_own(spark, parts):
+    context = spark.sparkContext
+
+    def jobs_of(trees):
+        try:
+            context.setJobGroup(f"rounds-{trees}", "boosting")
+            dataclasses.replace(SMALL, trees=trees).fit(parts[0])
+        finally:
+            context.setLocalProperty("spark.jobGroup.id", None)
+        return len(context.statusTracker().getJobIdsForGroup(f"rounds-{trees}"))
+
+    assert jobs_of(2) == jobs_of(12)
+
+
+def test_losses_do_not_depend_on_how_many_rows_are_scored_at_a_time(spark, parts, model, monkeypatch):
+    want = [r.logloss for r in boosted.staged_multi_logloss(model, parts[1], every=1).collect()]
+    with session_settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": "10"}):
+        for rows in (1, 25, 1_000):
+            monkeypatch.setattr(boosted, "SCORED_ROWS", rows)
+            got = [r.logloss for r in boosted.staged_multi_logloss(model, parts[1], every=1).collect()]
+            assert got == pytest.approx(want)
+
+
 def test_rounds_take_as_many_tasks_as_rows_need(spark, parts):
     """However wide the session's shuffles are, and however few files the rows come in."""
     context, group = spark.sparkContext, "rounds"

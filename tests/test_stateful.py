@@ -4,6 +4,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +68,73 @@ def test_batches_do_not_depend_on_micro_batches(spark, tmp_path):
     assert {w[1] for w in want.values()} == {"count", "time"} and len(got) == 400
 
 
+def test_rows_reach_a_key_in_packs(spark):
+    """A row at a time costs some twenty microseconds in Python, and a log may have one partition."""
+    rows = [(None if i % 3 == 2 else i % 3, i, i, None if i % 7 == 0 else i / 3, "ü") for i in range(900)]
+    log = spark.createDataFrame(rows, LOG).withColumn("at", F.timestamp_millis("arrival_ms")).repartition(2)
+    packs = stateful._packed(log, ["part"], "at")
+    told = packs.collect()
+    assert len(told) <= 6 and {r.part for r in told} == {0, 1, None}
+    for r in told:
+        inside = stateful._from_packs([r._pack]).to_pylist()
+        assert {x["part"] for x in inside} == {r.part} and max(x["arrival_ms"] for x in inside) == r.at.timestamp() * 1000
+    back = stateful._unpacked(packs, log.schema)
+    assert sorted(map(str, back.collect())) == sorted(map(str, log.collect()))
+
+
+def test_batches_of_one_key_follow_the_rule_for_any_times():
+    """Also where times go down along the log, over calls that leave batches open."""
+
+    class Kept:
+        def __init__(self):
+            self.rows, self.timers = [], set()
+
+        def getListState(self, name, schema):  # noqa: N802
+            return self
+
+        def getValueState(self, name, schema):  # noqa: N802
+            return Head()
+
+        def appendValue(self, row):  # noqa: N802
+            self.rows.append(row)
+
+        def get(self):
+            return iter(self.rows)
+
+        def clear(self):
+            self.rows = []
+
+        def registerTimer(self, at):  # noqa: N802
+            self.timers.add(at)
+
+        def deleteTimer(self, at):  # noqa: N802
+            self.timers.discard(at)
+
+    class Head:
+        value = None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+    rng = random.Random(5)
+    times = [rng.randrange(50) + 10 * (i // 7) for i in range(300)]
+    want = batches_by_hand(times, 6, 25)
+    collector, kept, got = stateful._Collector(["n"], "at", 6, 25), Kept(), {}
+    collector.init(kept)
+    for lo in range(0, 300, 17):
+        part = [{"n": i, "at": times[i]} for i in range(lo, min(lo + 17, 300))]
+        rng.shuffle(part)
+        packs = [{"_pack": stateful._as_pack(pa.Table.from_pylist(part[k:k + 5]))} for k in range(0, len(part), 5)]
+        for row in collector.handleInputRows((0,), iter(packs), None):
+            got |= {r["n"]: (r["batch"], r["closed_by"]) for r in stateful._from_packs([row[0]]).to_pylist()}
+        assert len(kept.timers) <= 1
+    assert got == {i: w for i, w in enumerate(want) if w[1]} and len(got) > 290
+    assert {w[1] for w in want} >= {"count", "time"}
+
+
 def test_live_batches_close_by_count_or_by_the_clock(spark, tmp_path):
     schema = "part string, seq long, id string, " + ", ".join(f"{c} double" for c in S.SENSORS)
     rows = [("p", i, "N", *[1.0 * i] * 6) for i in range(25)] + [("q", 100, "M", *[2.0] * 6)]

@@ -3,14 +3,18 @@
 State lies in Spark's state store, below the query's checkpoint folder, and is taken up again after a
 restart. Each key's rows of a micro-batch come together in one task, which sorts them by `order`;
 across micro-batches they must arrive in order. Keys should be many (log partitions, pipelines,
-persons), as one key is one task's work, bounded by what a micro-batch reads.
+persons), as one key is one task's work, bounded by what a micro-batch reads. Batches get
+their rows packed, some thousand of a key in one, and work on arrays.
 """
 
 from __future__ import annotations
 
 from collections import deque
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,40 +35,120 @@ def _with_fields(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.Str
     return T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in fields]])
 
 
+# ---- packed rows -------------------------------------------------------------------------
+
+#: Rows of a pack that is handed on.
+PACK_ROWS = 50_000
+
+
+def _as_pack(rows: pa.Table | pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _from_packs(packs: Iterable[bytes]) -> pa.Table:
+    return pa.concat_tables(pa.ipc.open_stream(pack).read_all() for pack in packs)
+
+
+def _packed(rows: DataFrame, keys: Sequence[str], event_time: str | None = None) -> DataFrame:
+    """(keys, `_pack`): the rows of a stream, those of a key and an Arrow batch in one, with the latest
+    `event_time` among them."""
+    added = [] if event_time is None else [rows.schema[event_time]]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = np.zeros(batch.num_rows, dtype=np.int64)
+            for k in keys:
+                own = batch.column(k).dictionary_encode(null_encoding="encode")
+                mixed = codes * len(own.dictionary) + own.indices.to_numpy(zero_copy_only=False)
+                codes = np.unique(mixed, return_inverse=True)[1]
+            places = np.argsort(codes, kind="stable")
+            starts = np.flatnonzero(np.diff(codes[places], prepend=-1))
+            parts = [batch.take(pa.array(own)) for own in np.split(places, starts[1:])]
+            columns = [batch.column(k).take(pa.array(places[starts])) for k in keys]
+            columns.append(pa.array([_as_pack(part) for part in parts], pa.binary()))
+            if event_time is not None:
+                latest = [pc.max(part.column(event_time)) for part in parts]
+                columns.append(pa.array([x.as_py() for x in latest], batch.column(event_time).type))
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = [*keys, "_pack", *[f.name for f in added]]
+    fields = [*[rows.schema[k] for k in keys], T.StructField("_pack", T.BinaryType()), *added]
+    return rows.mapInArrow(pack, T.StructType(fields))
+
+
+def _unpacked(packs: DataFrame, schema: T.StructType) -> DataFrame:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack in batch.column("_pack"):
+                yield from pa.ipc.open_stream(pack.as_buffer())
+
+    return packs.mapInArrow(unpack, schema)
+
+
+def _in_order(rows: pa.Table, order: Sequence[str]) -> pa.Table:
+    """By `order`, nulls first; rows that are equal in it stay as they came."""
+    keys = [rows.column(c) for c in order]
+    keys = [k.cast(pa.int8()) if pa.types.is_boolean(k.type) else k for k in keys]
+    table = pa.table(keys, [str(i) for i in range(len(keys))])
+    ascending = [(c, "ascending") for c in table.column_names]
+    return rows.take(pc.sort_indices(table, sort_keys=ascending, null_placement="at_start"))
+
+
+def _in_packs(rows: pa.Table) -> Iterator[bytes]:
+    for at in range(0, rows.num_rows, PACK_ROWS):
+        yield _as_pack(rows.slice(at, PACK_ROWS).combine_chunks())
+
+
 # ---- batches by count or time ------------------------------------------------------------
 
 
 class _Collector(StatefulProcessor):
     """The open batch of one key: its records, its number, when it began and how many it has."""
 
-    def __init__(self, schema: T.StructType, order: Sequence[str], time_ms: str | None, size: int, wait_ms: int):
-        self.schema, self.order, self.time_ms = schema, list(order), time_ms
+    def __init__(self, order: Sequence[str], time_ms: str | None, size: int, wait_ms: int):
+        self.order, self.time_ms = list(order), time_ms
         self.size, self.wait_ms = size, wait_ms
-        self.row = Row(*schema.names, "batch", "closed_by")
+        self.row = Row("_pack")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.records = handle.getListState("records", self.schema)
+        self.records = handle.getListState("records", "pack binary")
         self.head = handle.getValueState("head", "number long, first_ms long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = None if self.time_ms else timerValues.getCurrentProcessingTimeInMs()
+        fresh = _in_order(_from_packs(row["_pack"] for row in rows), self.order)
+        if self.time_ms:
+            times = fresh.column(self.time_ms).to_numpy()
+        else:
+            times = np.full(fresh.num_rows, timerValues.getCurrentProcessingTimeInMs())
         number, first, n = self.head.get() or (0, None, 0)
-        fresh: list[tuple] = []
-        for row in _sorted(rows, self.order):
-            at = row[self.time_ms] if self.time_ms else now
-            if n and at > first + self.wait_ms:
-                yield from self._closed(number, first, fresh, BY_TIME)
-                number, n, fresh = number + 1, 0, []
+        began, kept, at = first, n, 0
+        ends: list[tuple[int, int, str]] = []  # of closed batches: number, place after the last fresh record, why
+        while at < len(times):
             if not n:
-                first = at
-            fresh.append(tuple(row))
-            n += 1
-            if n == self.size:
-                yield from self._closed(number, first, fresh, BY_COUNT)
-                number, n, fresh = number + 1, 0, []
-        if fresh:
-            self.records.appendList(fresh)
+                first = int(times[at])
+            near = times[at : at + self.size - n]
+            over = np.flatnonzero(near > first + self.wait_ms)
+            more = int(over[0]) if len(over) else len(near)
+            at, n = at + more, n + more
+            if len(over) or n == self.size:
+                ends.append((number, at, BY_TIME if len(over) else BY_COUNT))
+                number, n = number + 1, 0
+        if ends:
+            numbers, upto, whys = zip(*ends)
+            of = np.repeat(np.arange(len(ends)), np.diff(upto, prepend=-kept))
+            closed = fresh.slice(0, upto[-1])
+            if kept:
+                closed = pa.concat_tables([self._taken(began), closed])
+            yield from self._closed(closed, pa.array(numbers, pa.int64()).take(of), pa.array(whys).take(of))
+            fresh = fresh.slice(upto[-1])
+        if fresh.num_rows:
+            self.records.appendValue((_as_pack(fresh.combine_chunks()),))
         if n:
             self.handle.registerTimer(first + self.wait_ms + 1)
         self.head.update((number, first if n else None, n))
@@ -72,16 +156,20 @@ class _Collector(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         number, first, n = self.head.get() or (0, None, 0)
         if n and first + self.wait_ms < expiredTimerInfo.getExpiryTimeInMs():
-            yield from self._closed(number, first, [], BY_TIME)
+            closed = self._taken(first)
+            yield from self._closed(closed, pa.array([number] * n, pa.int64()), pa.array([BY_TIME] * n))
             self.head.update((number + 1, None, 0))
 
-    def _closed(self, number: int, first: int, fresh: list[tuple], why: str) -> Iterator[Row]:
-        """The kept and the fresh records of the batch, which leaves nothing behind."""
-        kept = list(self.records.get()) if self.records.exists() else []
+    def _taken(self, first: int) -> pa.Table:
+        """The kept records of a batch that closes, which leaves nothing behind."""
+        kept = _from_packs([pack for (pack,) in self.records.get()])
         self.records.clear()
         self.handle.deleteTimer(first + self.wait_ms + 1)
-        for record in [*kept, *fresh]:
-            yield self.row(*record, number, why)
+        return kept
+
+    def _closed(self, records: pa.Table, numbers: pa.Array, whys: pa.Array) -> Iterator[Row]:
+        told = records.append_column("batch", numbers).append_column("closed_by", whys)
+        yield from map(self.row, _in_packs(told))
 
 
 def collect_batches(
@@ -106,18 +194,22 @@ def collect_batches(
     live form. With it, the column holds arrival times that do not go down along the log, and
     `event_time` the same as a timestamp: timers then go by its watermark, so that a recorded log
     gives the same batches however it is cut into micro-batches. Arrival times must not be null.
+    Records that come after the watermark count for nothing, unless they are read together with
+    later ones of their key.
     """
     if (time_ms is None) != (event_time is None):
         raise ValueError("give both time_ms and event_time, or neither")
     mode = "ProcessingTime" if time_ms is None else "EventTime"
-    source = records if event_time is None else records.withWatermark(event_time, delay)
+    packs = _packed(records, keys, event_time)
+    source = packs if event_time is None else packs.withWatermark(event_time, delay)
     out = _with_fields(records.schema, ("batch", T.LongType()), ("closed_by", T.StringType()))
-    return source.groupBy(*keys).transformWithState(
-        statefulProcessor=_Collector(records.schema, order, time_ms, size, wait_ms),
-        outputStructType=out,
+    collected = source.groupBy(*keys).transformWithState(
+        statefulProcessor=_Collector(order, time_ms, size, wait_ms),
+        outputStructType="_pack binary",
         outputMode="Append",
         timeMode=mode,
     )
+    return _unpacked(collected, out)
 
 
 # ---- the monitor's mode ------------------------------------------------------------------

@@ -4,6 +4,7 @@ import random
 import time
 from datetime import datetime, timedelta
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -286,6 +287,50 @@ def test_stretches_come_from_all_checks(spark, partly_dated, monkeypatch):
     assert sorted(((r.from_us, r.until_us, r.in_fallback) for r in seen), key=str) == sorted(want, key=str)
 
 
+def test_modes_of_many_checks_are_those_of_one_after_the_other():
+    rng = random.Random(3)
+    for _ in range(200):
+        told = monitor(checks := random_checks(rng, 60))
+        healthy = np.array([bool(h) for h, _ in checks])
+        lag = np.array([np.nan if x is None else x for _, x in checks], dtype=float)
+        late = lag > S.LAG_LIMIT_S
+        breach, reset = ~healthy | late, healthy & ~late & ~np.isnan(lag)
+        stop = healthy & (lag != 0) & (lag < S.LAG_LIMIT_S * S.RESUME_SHARE)
+        active, count, got = False, 0, []
+        for lo in range(0, 60, 13):
+            part = slice(lo, lo + 13)
+            modes, count = stateful._modes(breach[part], reset[part], stop[part], active, count, S.VIOLATIONS)
+            active = bool(modes[-1])
+            got += modes.tolist()
+            assert count == told[len(got) - 1][2]
+        assert got == [t[1] for t in told]
+
+
+def test_points_meet_stretches_of_any_length(spark):
+    """Each once, and only those of about their time, however many there are in a minute."""
+    rng = random.Random(6)
+    points = [(n, 5_000_000 + rng.randrange(900_000)) for n in range(400)]
+    lengths = (1, 40, 99, 100, 101, 700, 1_999, 2_000, 2_001, 30_000, 60_000, 60_001, 400_000)
+    stretches = []
+    for length in lengths * 6:
+        at = 5_000_000 + rng.randrange(900_000)
+        stretches.append((1_000 * at, 1_000 * (at + length), rng.random() < 0.8))
+    sides = (
+        spark.createDataFrame(points, "n int, time_ms long"),
+        spark.createDataFrame(stretches, "from_us long, until_us long, in_fallback boolean"),
+    )
+    got = sorted(r.n for r in stateful.points_in_fallback(*sides).collect())
+    want = sorted(n for n, at in points for a, b, on in stretches if on and a // 1_000 <= at < b // 1_000)
+    assert got == want and len(want) > 400
+    close = [(1_000 * at, 1_000 * (at + 30), True) for at in range(5_000_000, 5_060_000, 30)]
+    many = spark.createDataFrame([(at, at) for at in range(5_000_000, 5_060_000, 30)], "n int, time_ms long")
+    joined = stateful.points_in_fallback(many, spark.createDataFrame(close, sides[1].schema))
+    assert joined.count() == 2_000
+    # of four million pairs of that minute, those of equal buckets are compared
+    keys = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "_size" in keys and stateful.JOIN_BUCKETS_MS[0] <= 100
+
+
 def test_points_wait_for_their_stretch_and_are_let_go(spark, tmp_path):
     # a stream takes rows of time 0 for late ones: its watermark starts there
     points = [(i, 1_000 * i) for i in range(10, 2_010, 10)]

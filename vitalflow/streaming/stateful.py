@@ -3,8 +3,8 @@
 State lies in Spark's state store, below the query's checkpoint folder, and is taken up again after a
 restart. Each key's rows of a micro-batch come together in one task, which sorts them by `order`;
 across micro-batches they must arrive in order. Keys should be many (log partitions, pipelines,
-persons), as one key is one task's work, bounded by what a micro-batch reads. Batches get
-their rows packed, some thousand of a key in one, and work on arrays.
+persons), as one key is one task's work, bounded by what a micro-batch reads. Batches and the
+monitor's stretches get their rows packed, some thousand of a key in one, and work on arrays.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vitalflow import schemas as S
@@ -269,28 +270,49 @@ def fallback_state_stream(
     )
 
 
-class _Intervals(_Monitor):
+class _Intervals(StatefulProcessor):
     """The monitor, with the time of the last check: each check ends the stretch that the one before
     it began."""
 
-    def __init__(self, key: str, order: str, time_us: str, violations: int):
-        super().__init__([], key, order, violations)
-        self.time_us = time_us
-        self.stretch = Row(key, "from_us", "until_us", "in_fallback")
+    def __init__(self, key: str, order: str, time_us: str, violations: int, kinds: pa.Schema):
+        self.key, self.order, self.time_us, self.violations = key, order, time_us, violations
+        self.kinds = kinds
+        self.row = Row("_pack")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
+        self.mode = handle.getValueState("mode", "in_fallback boolean, violation_count long")
         self.last = handle.getValueState("last", "at long, in_fallback boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        ordered = _sorted(rows, [self.order])
-        modes = super().handleInputRows(key, iter(ordered), timerValues)
-        last = self.last.get()
-        for row, mode in zip(ordered, modes, strict=True):
-            if last is not None:
-                yield self.stretch(key[0], last[0], row[self.time_us], last[1])
-            last = (row[self.time_us], mode["in_fallback"])
-        self.last.update(last)
+        checks = _in_order(_from_packs(row["_pack"] for row in rows), [self.order])
+        flags = (checks.column(c).to_numpy() for c in ("breach", "reset", "_stop"))
+        modes, count = _modes(*flags, *(self.mode.get() or (False, 0)), self.violations)
+        times = checks.column(self.time_us).combine_chunks()
+        last, ended = self.last.get(), pa.array(modes)
+        self.mode.update((bool(modes[-1]), count))
+        self.last.update((times[-1].as_py(), bool(modes[-1])))
+        start = [] if last is None else [last]
+        began = pa.concat_arrays([pa.array([at for at, _ in start], pa.int64()), times[:-1]])
+        within = pa.concat_arrays([pa.array([mode for _, mode in start], pa.bool_()), ended[:-1]])
+        until = times[len(times) - len(began) :]
+        keys = pa.array([key[0]] * len(began), self.kinds.field(0).type)
+        yield from map(self.row, _in_packs(pa.Table.from_arrays([keys, began, until, within], schema=self.kinds)))
+
+
+def _modes(
+    breach: np.ndarray, reset: np.ndarray, stop: np.ndarray, active: bool, count: int, violations: int
+) -> tuple[np.ndarray, int]:
+    """The mode after each check, in order, and the breaches counted after the last one, where the
+    monitor begins in a mode with so many breaches counted. What stops the fallback is a reset too,
+    so breaches during the fallback, which do not count, are gone when it ends."""
+    places = np.arange(len(breach))
+    breaches = np.cumsum(breach) + count
+    newest = np.maximum.accumulate(np.where(reset, places, -1))
+    run = breaches - np.where(newest < 0, 0, breaches[newest])
+    started = np.maximum.accumulate(np.where(run >= violations, places, -1))
+    stopped = np.maximum.accumulate(np.where(stop, places, -1))
+    modes = (started > stopped) | (active & (stopped < 0))
+    return modes, 0 if modes[-1] else int(run[-1])
 
 
 def mode_intervals_stream(
@@ -311,12 +333,18 @@ def mode_intervals_stream(
             T.StructField("until_us", T.LongType()), T.StructField("in_fallback", T.BooleanType()),
         ]
     )
-    return flagged.groupBy(key).transformWithState(
-        statefulProcessor=_Intervals(key, order, time_us, violations),
-        outputStructType=out,
+    needed = flagged.select(key, order, F.col(time_us).cast("long"), "breach", "reset", "_stop")
+    stretches = _packed(needed, [key]).groupBy(key).transformWithState(
+        statefulProcessor=_Intervals(key, order, time_us, violations, to_arrow_schema(out)),
+        outputStructType="_pack binary",
         outputMode="Append",
         timeMode="None",
     )
+    return _unpacked(stretches, out)
+
+
+#: Points and stretches meet in buckets of time, stretches in the first that are no shorter than they.
+JOIN_BUCKETS_MS = 100, 2_000, 60_000
 
 
 def points_in_fallback(
@@ -331,29 +359,30 @@ def points_in_fallback(
     for the stretch that it lies in, which is known only after its end, and a stretch for its
     points. Stretches are at most `longest_s` seconds long, so a point is let go once the watermark
     of the stretches is past that. `points` has `time_ms`; `intervals` (from_us, until_us,
-    in_fallback) are those of one monitor.
+    in_fallback) are those of one monitor, so short ones are many and long ones few.
     """
-    bucket_ms = 60_000
-    timed = points.withColumns(
-        {
-            "_at": F.timestamp_millis("time_ms"),
-            "_bucket": F.floor(F.col("time_ms") / bucket_ms),
-        }
-    ).withWatermark("_at", delay)
+    met = [F.struct(F.lit(b).alias("_size"), F.floor(F.col("time_ms") / b).alias("_bucket")) for b in JOIN_BUCKETS_MS]
+    timed = points.withColumn("_met", F.explode(F.array(*met))).withColumn("_at", F.timestamp_millis("time_ms"))
+    timed = timed.withWatermark("_at", delay)
     first, last = (F.floor(F.col(c) / 1_000) for c in ("from_us", "until_us"))
+    *shorter, longest = JOIN_BUCKETS_MS
+    size = F.coalesce(*[F.when(last - first <= b, b) for b in shorter], F.lit(longest))
     ended = intervals.filter("in_fallback").filter(last > first).select(
         first.alias("_from"),
         last.alias("_until"),
         F.timestamp_millis(last).alias("_end"),
-        # a stretch is laid into each minute that it touches, as the streams meet by equal minutes
+        size.alias("_long"),
+        # a stretch is laid into each bucket that it touches, as the streams meet by equal buckets
         F.explode(
-            F.sequence(F.floor(first / bucket_ms), F.floor((last - 1) / bucket_ms))
-        ).alias("_minute"),
+            F.sequence(
+                F.floor(F.greatest(first, last - longest_s * 1_000) / size), F.floor((last - 1) / size)
+            )
+        ).alias("_touched"),
     )
     ended = ended.withWatermark("_end", delay)
     inside = (F.col("time_ms") >= F.col("_from")) & (F.col("time_ms") < F.col("_until"))
     near = (F.col("_at") <= F.col("_end")) & (F.col("_at") >= F.col("_end") - F.expr(f"interval {longest_s} seconds"))
-    same = F.col("_bucket") == F.col("_minute")
+    same = (F.col("_met._size") == F.col("_long")) & (F.col("_met._bucket") == F.col("_touched"))
     return timed.join(ended, same & inside & near).select(*points.columns)
 
 

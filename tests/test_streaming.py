@@ -6,6 +6,7 @@ from vitalflow import schemas as S
 from vitalflow.models import scoring
 from vitalflow.models.scoring import RuleModel
 from vitalflow.plans import catalog
+from vitalflow.session import session_settings
 from vitalflow.sources import points as pts
 from vitalflow.sources import streams
 from vitalflow.streaming import jobs, stateful
@@ -217,6 +218,59 @@ def test_no_more_calls_live_than_there_are_places():
     over.set()
 
 
+def test_late_calls_do_not_add_up():
+    """The calls behind a late one are made while it lasts, so twenty late ones take the time of few."""
+    import time
+
+    def ask(request, timeout_s):
+        if int(request) % 20 == 0:
+            time.sleep(3 * timeout_s)
+        return request
+
+    start = time.monotonic()
+    told = scoring._ordered_calls(ask, [str(i) for i in range(400)], 0.4, 20, 1, True)
+    assert told == [None if i % 20 == 0 else str(i) for i in range(400)]
+    assert time.monotonic() - start < 4  # a second or two; 20 x 0.4 one after the other
+
+
+def test_calls_wait_for_a_place_that_comes_free():
+    import time
+
+    def ask(request, timeout_s):
+        if int(request) < 8:
+            time.sleep(3 * timeout_s)
+        return request
+
+    told = scoring._ordered_calls(ask, [str(i) for i in range(40)], 0.3, 4, 1, True)
+    assert told == [None] * 8 + [str(i) for i in range(8, 40)]
+
+
+def test_late_calls_keep_their_places_for_the_next_rows(spark):
+    """However few rows come at a time, in their order, and with no more calls than places."""
+    rows = [(float(i), 1.0, 1.0, 1.0, float(i), 1.0) for i in range(120)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in S.SENSORS)).coalesce(1)
+    alive = []
+
+    def ask(request, timeout_s):
+        import time
+
+        hr = int(float(request.split("hr=")[1].split("&")[0]))
+        alive.append(hr)
+        try:
+            if len(alive) > 6:
+                raise ConnectionError("too many")
+            if hr % 15 == 0:
+                time.sleep(3 * timeout_s)
+            return f'{{"stress_level_prediction": "{hr % 2 * 2}"}}'
+        finally:
+            alive.remove(hr)
+
+    with session_settings(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": "10"}):
+        got = scoring.score_remote(df, ask, timeout_s=0.5, in_flight=6, default=1).collect()
+    assert [r.X for r in got] == [r[0] for r in rows]
+    assert [r.stress_level for r in got] == [1 if i % 15 == 0 else i % 2 * 2 for i in range(120)]
+
+
 def test_count_or_time_trigger():
     assert streams.count_or_time_trigger() == {
         "max_offsets": 1000, "min_offsets": 1000, "max_delay": "30s",
